@@ -1,20 +1,19 @@
 """Strict casting of VARIANT values to typed columns.
 
 A field tree is a plain Spark data type in which ``VariantType`` stands for a JSON column. Every
-function returns a Column, so a whole entity casts inside one projection. A value that does not
-have the wanted type becomes null in :func:`cast_value`, and :func:`cast_errors` then tells a
-legal null from a wrong type.
+function takes and returns SQL text, so a whole entity casts inside one projection. A value that does
+not have the wanted type becomes null in :func:`cast_value`; :func:`cast_ok` and :func:`cast_errors`
+then tell a legal null from a wrong type.
 """
 
 from __future__ import annotations
 
 from itertools import product
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluiceway.functions import errors as E
+from sluiceway.functions.sql import every, field, first_found, quoted, record
 
 ACCESSORS = "accessors"
 V2 = "v2"
@@ -47,14 +46,6 @@ def type_name(dtype: T.DataType, mode: str = V2) -> str:
     raise TypeError(f"no cast for {dtype}")
 
 
-def has_json(dtype: T.DataType) -> bool:
-    if isinstance(dtype, T.StructType):
-        return any(has_json(f.dataType) for f in dtype.fields)
-    if isinstance(dtype, T.ArrayType):
-        return has_json(dtype.elementType)
-    return isinstance(dtype, T.VariantType)
-
-
 def json_text_type(dtype: T.DataType) -> T.DataType | None:
     """The part of a tree that leads to JSON leaves, keyed by source property, leaves as strings.
 
@@ -83,7 +74,7 @@ def _ambiguous(dtype: T.StructType) -> bool:
     return len(set(names)) < len(names)
 
 
-def members_of(node: Column, dtype: T.DataType) -> Column | None:
+def members_of(node: str, dtype: T.DataType) -> str | None:
     """The properties of a record, all taken from its VARIANT in one step; null if it is no object.
 
     Passed as ``members`` to the functions below it saves them a walk from the root per property.
@@ -93,12 +84,12 @@ def members_of(node: Column, dtype: T.DataType) -> Column | None:
     names = [a for f in dtype.fields for a in accessors(f)]
     if any("`" in n for n in names):
         return None
-    return F.try_variant_get(node, "$", "struct<" + ",".join(f"`{n}`:variant" for n in names) + ">")
+    wanted = "struct<" + ",".join(f"`{n}`:variant" for n in names) + ">"
+    return f"try_variant_get({node}, '$', {quoted(wanted)})"
 
 
-def _member(members: Column, field: T.StructField) -> Column:
-    found = [members.getField(a) for a in accessors(field)]
-    return found[0] if len(found) == 1 else F.coalesce(*found)
+def _member(members: str, f: T.StructField) -> str:
+    return first_found([field(members, a) for a in accessors(f)])
 
 
 def _step(accessor: str) -> str:
@@ -109,148 +100,137 @@ def _step(accessor: str) -> str:
     raise ValueError(f"property name cannot be addressed by a JSON path: {accessor!r}")
 
 
-def _get(node: Column, paths: list[str], wanted: str) -> Column:
-    getter = F.variant_get if wanted == "variant" else F.try_variant_get
-    found = [node if path == "$" and wanted == "variant" else getter(node, path, wanted) for path in paths]
-    return found[0] if len(found) == 1 else F.coalesce(*found)
+def _get(node: str, paths: list[str], wanted: str) -> str:
+    found = []
+    for path in paths:
+        if wanted == "variant":
+            found.append(node if path == "$" else f"variant_get({node}, {quoted(path)}, 'variant')")
+        else:
+            found.append(f"try_variant_get({node}, {quoted(path)}, {quoted(wanted)})")
+    return first_found(found)
 
 
-def _below(paths: list[str], field: T.StructField) -> list[str]:
-    return [path + _step(accessor) for path, accessor in product(paths, accessors(field))]
+def _below(paths: list[str], f: T.StructField) -> list[str]:
+    return [path + _step(accessor) for path, accessor in product(paths, accessors(f))]
 
 
-def _text_below(text: Column | None, field: T.StructField) -> Column | None:
-    if text is None or not has_json(field.dataType):
+def _text_below(text: str | None, f: T.StructField) -> str | None:
+    if text is None or json_text_type(f.dataType) is None:
         return None
-    found = [text.getField(accessor) for accessor in accessors(field)]
-    return found[0] if len(found) == 1 else F.coalesce(*found)
+    return first_found([field(text, a) for a in accessors(f)])
 
 
-def _is_whole(tag: Column) -> Column:
-    return (tag == "BIGINT") | tag.rlike(r"^DECIMAL\([0-9]+,0\)$")
+def _nullish(node: str) -> str:
+    return f"({node} IS NULL OR is_variant_null({node}))"
 
 
-def _decimal(node: Column, paths: list[str], dtype: T.DecimalType, tag: Column) -> Column:
-    cast = _get(node, paths, dtype.simpleString())
-    digits = F.regexp_extract(tag, r",([0-9]+)\)$", 1).try_cast("int")
-    exact = (
-        F.when(tag == "BIGINT", F.lit(True))
-        .when(tag.startswith("DECIMAL"), digits <= dtype.scale)
-        .when(tag == "DOUBLE", cast.cast("double") == _get(node, paths, "double"))
-    )
-    return F.when(exact, cast)
+def _scalar(node: str, paths: list[str], dtype: T.DataType, tag: str) -> str:
+    """Value of a scalar whose JSON type is the wanted one."""
+    number = f"{tag} IN ('BIGINT', 'DOUBLE', 'FLOAT') OR startswith({tag}, 'DECIMAL')"
+    string = f"CASE WHEN {tag} = 'STRING' THEN {_get(node, paths, 'string')} END"
+    if isinstance(dtype, (T.IntegerType, T.LongType)):
+        whole = f"{tag} = 'BIGINT' OR (startswith({tag}, 'DECIMAL') AND endswith({tag}, ',0)'))"
+        return f"CASE WHEN {whole} THEN {_get(node, paths, dtype.simpleString())} END"
+    if isinstance(dtype, T.DoubleType):
+        return f"CASE WHEN {number} THEN {_get(node, paths, 'double')} END"
+    if isinstance(dtype, T.DecimalType):
+        cast = _get(node, paths, dtype.simpleString())
+        digits = f"try_cast(regexp_extract({tag}, ',([0-9]+)', 1) AS int)"
+        return (
+            f"CASE WHEN {tag} = 'BIGINT' THEN {cast} "
+            f"WHEN startswith({tag}, 'DECIMAL') AND {digits} <= {dtype.scale} THEN {cast} "
+            f"WHEN {tag} = 'DOUBLE' AND CAST({cast} AS double) = {_get(node, paths, 'double')} THEN {cast} END"
+        )
+    if isinstance(dtype, T.BooleanType):
+        return f"CASE WHEN {tag} = 'BOOLEAN' THEN {_get(node, paths, 'boolean')} END"
+    if isinstance(dtype, T.StringType):
+        return string
+    if isinstance(dtype, T.DateType):
+        return f"CASE WHEN {string} RLIKE {quoted(DATE_PATTERN)} THEN try_cast({string} AS date) END"
+    if isinstance(dtype, T.TimestampType):
+        moment = f"CASE WHEN {string} RLIKE {quoted(TIMESTAMP_PATTERN)} THEN try_cast({string} AS timestamp) END"
+        return f"date_trunc('millisecond', {moment})"
+    raise TypeError(f"no cast for {dtype}")
 
 
-def cast_value(node: Column, dtype: T.DataType, mode: str = V2, text: Column | None = None,
-               paths: list[str] | None = None, members: Column | None = None) -> Column:
+def cast_value(node: str, dtype: T.DataType, mode: str = V2, text: str | None = None,
+               paths: list[str] | None = None, members: str | None = None, depth: int = 0) -> str:
     """Typed value of a VARIANT, or null where the JSON type is not the wanted one.
 
     ``text`` is the matching part of the :func:`json_text_type` parse, needed for JSON leaves only.
     """
     paths = paths or ["$"]
     if members is not None:
-        return F.when(members.isNotNull(), F.struct(*[
-            cast_value(_member(members, f), f.dataType, mode, _text_below(text, f)).alias(f.name)
-            for f in dtype.fields
-        ]))
-    tag = F.schema_of_variant(_get(node, paths, "variant"))
+        fields = [(f.name, cast_value(_member(members, f), f.dataType, mode, _text_below(text, f), depth=depth))
+                  for f in dtype.fields]
+        return f"CASE WHEN {members} IS NOT NULL THEN {record(fields)} END"
+    found = _get(node, paths, "variant")
+    tag = f"schema_of_variant({found})"
     if isinstance(dtype, T.StructType):
-        members = [
-            cast_value(node, f.dataType, mode, _text_below(text, f), _below(paths, f)).alias(f.name)
-            for f in dtype.fields
-        ]
-        return F.when(tag.startswith("OBJECT"), F.struct(*members))
+        fields = [(f.name, cast_value(node, f.dataType, mode, _text_below(text, f), _below(paths, f), depth=depth))
+                  for f in dtype.fields]
+        return f"CASE WHEN startswith({tag}, 'OBJECT') THEN {record(fields)} END"
     if isinstance(dtype, T.ArrayType):
-        items = _get(node, paths, "array<variant>")
-        if text is not None and has_json(dtype.elementType):
-            cast = F.transform(
-                F.arrays_zip(items.alias("v"), text.alias("t")),
-                lambda e: cast_value(e["v"], dtype.elementType, mode, e["t"]),
-            )
+        items, e = _get(node, paths, "array<variant>"), f"e{depth}"
+        if text is not None and json_text_type(dtype.elementType) is not None:
+            t = f"t{depth}"
+            one = cast_value(e, dtype.elementType, mode, t, depth=depth + 1)
+            cast = f"zip_with({items}, {text}, ({e}, {t}) -> {one})"
         else:
-            cast = F.transform(items, lambda e: cast_value(e, dtype.elementType, mode))
-        return F.filter(cast, lambda e: e.isNotNull())
+            one = cast_value(e, dtype.elementType, mode, depth=depth + 1)
+            cast = f"transform({items}, {e} -> {one})"
+        return f"filter({cast}, {e} -> {e} IS NOT NULL)"
     if isinstance(dtype, T.VariantType):
-        plain = _get(node, paths, "string") if mode == LEGACY else F.to_json(_get(node, paths, "variant"))
-        nested = F.to_json(_get(node, paths, "variant"))
-        if text is not None:
-            nested = F.coalesce(text, nested)
+        plain = _get(node, paths, "string") if mode == LEGACY else f"to_json({found})"
+        nested = f"to_json({found})" if text is None else f"coalesce({text}, to_json({found}))"
         return (
-            F.when(tag == "STRING", plain)
-            .when(tag.startswith("OBJECT") | tag.startswith("ARRAY"), nested)
-            .when(tag != "VOID", F.to_json(_get(node, paths, "variant")))
+            f"CASE WHEN {tag} = 'STRING' THEN {plain} "
+            f"WHEN startswith({tag}, 'OBJECT') OR startswith({tag}, 'ARRAY') THEN {nested} "
+            f"WHEN {tag} <> 'VOID' THEN to_json({found}) END"
         )
-    if isinstance(dtype, T.DecimalType):
-        return _decimal(node, paths, dtype, tag)
-    if isinstance(dtype, (T.IntegerType, T.LongType)):
-        return F.when(_is_whole(tag), _get(node, paths, dtype.simpleString()))
-    if isinstance(dtype, T.DoubleType):
-        number = tag.isin("BIGINT", "DOUBLE", "FLOAT") | tag.startswith("DECIMAL")
-        return F.when(number, _get(node, paths, "double"))
-    if isinstance(dtype, T.BooleanType):
-        return F.when(tag == "BOOLEAN", _get(node, paths, "boolean"))
-    string = F.when(tag == "STRING", _get(node, paths, "string"))
-    if isinstance(dtype, T.StringType):
-        return string
-    if isinstance(dtype, T.DateType):
-        return F.when(string.rlike(DATE_PATTERN), string.try_cast("date"))
-    if isinstance(dtype, T.TimestampType):
-        moment = F.when(string.rlike(TIMESTAMP_PATTERN), string.try_cast("timestamp"))
-        return F.date_trunc("millisecond", moment)
-    raise TypeError(f"no cast for {dtype}")
+    return _scalar(node, paths, dtype, tag)
 
 
-def _nullish(node: Column) -> Column:
-    return node.isNull() | F.is_variant_null(node)
-
-
-def cast_ok(value: Column, node: Column, dtype: T.DataType, nullable: bool, mode: str = V2,
-            paths: list[str] | None = None, members: Column | None = None) -> Column:
+def cast_ok(value: str, node: str, dtype: T.DataType, nullable: bool, mode: str = V2,
+            paths: list[str] | None = None, members: str | None = None, depth: int = 0) -> str:
     """Whether ``value``, the result of :func:`cast_value`, is a legal reading of the VARIANT."""
     paths = paths or ["$"]
-    present = value.isNotNull()
+    present = [f"{value} IS NOT NULL"]
     if members is not None:
-        for f in dtype.fields:
-            present = present & cast_ok(value.getField(f.name), _member(members, f), f.dataType, f.nullable, mode)
+        present += [cast_ok(field(value, f.name), _member(members, f), f.dataType, f.nullable, mode, depth=depth)
+                    for f in dtype.fields]
     elif isinstance(dtype, T.StructType):
-        for field in dtype.fields:
-            present = present & cast_ok(
-                value.getField(field.name), node, field.dataType, field.nullable, mode, _below(paths, field)
-            )
+        present += [cast_ok(field(value, f.name), node, f.dataType, f.nullable, mode, _below(paths, f), depth=depth)
+                    for f in dtype.fields]
     elif isinstance(dtype, T.ArrayType):
-        items = _get(node, paths, "array<variant>")
-        present = present & F.forall(
-            items,
-            lambda e: cast_ok(
-                cast_value(e, dtype.elementType, mode), e, dtype.elementType, dtype.containsNull, mode
-            ),
-        )
+        e = f"e{depth}"
+        one = cast_value(e, dtype.elementType, mode, depth=depth + 1)
+        legal = cast_ok(one, e, dtype.elementType, dtype.containsNull, mode, depth=depth + 1)
+        present.append(f"forall({_get(node, paths, 'array<variant>')}, {e} -> {legal})")
     if nullable:
-        return F.when(value.isNull(), _nullish(_get(node, paths, "variant"))).otherwise(present)
-    return present
+        return f"CASE WHEN {value} IS NULL THEN {_nullish(_get(node, paths, 'variant'))} ELSE {every(present)} END"
+    return every(present)
 
 
-def cast_errors(value: Column, node: Column, dtype: T.DataType, nullable: bool, key: Column,
-                mode: str = V2, paths: list[str] | None = None) -> Column:
-    """All wrong types below a VARIANT, one error record per bad leaf."""
+def cast_errors(value: str, node: str, dtype: T.DataType, nullable: bool, key: str, mode: str = V2,
+                paths: list[str] | None = None, depth: int = 0) -> str:
+    """All wrong types below a VARIANT, one error record per bad leaf; null if there is none."""
     paths = paths or ["$"]
     found = _get(node, paths, "variant")
-    wrong = F.array(
-        E.error(E.WRONG_TYPE, key, F.coalesce(F.to_json(found), F.lit("null")), type_name(dtype, mode))
-    )
+    shown = f"coalesce(to_json({found}), 'null')"
+    wrong = f"array({E.error(E.WRONG_TYPE, key, shown, type_name(dtype, mode))})"
     if nullable:
-        wrong = F.when(_nullish(found), E.no_errors()).otherwise(wrong)
-    below = E.no_errors()
+        wrong = f"CASE WHEN NOT {_nullish(found)} THEN {wrong} END"
     if isinstance(dtype, T.StructType):
         below = E.join_errors([
-            cast_errors(value.getField(f.name), node, f.dataType, f.nullable, key, mode, _below(paths, f))
+            cast_errors(field(value, f.name), node, f.dataType, f.nullable, key, mode, _below(paths, f), depth)
             for f in dtype.fields
         ])
     elif isinstance(dtype, T.ArrayType):
-        below = F.flatten(F.transform(
-            _get(node, paths, "array<variant>"),
-            lambda e: cast_errors(
-                cast_value(e, dtype.elementType, mode), e, dtype.elementType, dtype.containsNull, key, mode
-            ),
-        ))
-    return F.when(value.isNull(), wrong).otherwise(below)
+        e = f"e{depth}"
+        one = cast_value(e, dtype.elementType, mode, depth=depth + 1)
+        inner = cast_errors(one, e, dtype.elementType, dtype.containsNull, key, mode, depth=depth + 1)
+        below = f"flatten(array_compact(transform({_get(node, paths, 'array<variant>')}, {e} -> {inner})))"
+    else:
+        return f"CASE WHEN {value} IS NULL THEN {wrong} END"
+    return f"CASE WHEN {value} IS NULL THEN {wrong} ELSE {below} END"

@@ -1,12 +1,13 @@
-"""The error record shared by every stage that can reject an event."""
+"""The error record shared by every stage that can reject an event, as SQL text."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sluiceway.functions.sql import quoted, record
+
 ERROR_TYPE = "struct<error:string,schema_key:string,value:string,expected:string>"
-NO_ERRORS = f"array<{ERROR_TYPE}>"
 
 # Error names, then kinds of failed event.
 FIELD_COUNT = "FieldCountMismatch"
@@ -23,38 +24,31 @@ SCHEMA = "loader_schema_error"
 RUNTIME = "loader_runtime_error"
 SIZE = "size_violation"
 
+NO_ERRORS = f"CAST(array() AS array<{ERROR_TYPE}>)"
 
-def error(name: str | Column, key: Column | None = None, value: Column | None = None,
-          expected: str | Column | None = None) -> Column:
-    def text(part):
-        if isinstance(part, Column):
-            return part.cast("string")
-        return F.lit(part).cast("string")
 
-    return F.struct(
-        text(name).alias("error"),
-        text(key).alias("schema_key"),
-        text(value).alias("value"),
-        text(expected).alias("expected"),
-    )
+def error(name: str, key: str = "CAST(NULL AS STRING)", value: str = "CAST(NULL AS STRING)",
+          expected: str | None = None) -> str:
+    """One error record; ``name`` and ``expected`` are plain text, ``key`` and ``value`` SQL."""
+    return record([
+        ("error", f"CAST({quoted(name)} AS STRING)"), ("schema_key", f"CAST({key} AS STRING)"),
+        ("value", f"CAST({value} AS STRING)"), ("expected", f"CAST({quoted(expected)} AS STRING)"),
+    ])
 
 
-def no_errors() -> Column:
-    return F.array().cast(NO_ERRORS)
+def join_errors(lists: list[str]) -> str:
+    """All errors of several lists, of which some may be null."""
+    return f"flatten(array_compact(array({', '.join(lists)})))" if lists else NO_ERRORS
 
 
-def join_errors(lists: list[Column]) -> Column:
-    if not lists:
-        return no_errors()
-    return lists[0] if len(lists) == 1 else F.concat(*lists)
+def first_non_empty(lists: list[str]) -> str:
+    """The earliest list that has errors: a later stage is not reported once one has failed."""
+    cases = " ".join(f"WHEN size({found}) > 0 THEN {found}" for found in lists)
+    return f"CASE {cases} ELSE {NO_ERRORS} END"
 
 
-def first_non_empty(lists: list[Column]) -> Column:
-    """The earliest list that has errors: a later stage is not reported once one has failed."""
-    chosen = F.lit(None).cast(NO_ERRORS)
-    for candidate in reversed(lists):
-        chosen = F.when(F.size(candidate) > 0, candidate).otherwise(chosen)
-    return F.coalesce(chosen, no_errors())
+def failure(kind: str, errors: str) -> str:
+    return record([("kind", quoted(kind)), ("errors", errors)])
 
 
 def settled(frame: DataFrame) -> DataFrame:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from sluiceway.functions import errors as E
 from sluiceway.functions.casting import type_name
+from sluiceway.functions.sql import field, name, record
 
 
 def fits(source: T.DataType, target: T.DataType) -> bool:
@@ -24,89 +24,97 @@ def fits(source: T.DataType, target: T.DataType) -> bool:
     return type(source) is type(target)
 
 
-def misfits(value: Column, source: T.DataType, target: T.DataType | None, nullable: bool, path: str) -> Column | None:
+def misfits(value: str, source: T.DataType, target: T.DataType | None, nullable: bool, path: str,
+            depth: int = 0) -> str | None:
     """Errors that keep a value out of its table column, or None if no value of the type can have any.
 
     An unknown field or a wrong shape fails a row only where it holds a value.
     """
+    def when(condition: str, kind: str, expected: str) -> str:
+        return f"CASE WHEN {value} {condition} THEN array({E.error(kind, expected=expected)}) END"
+
     if target is None:
-        return F.when(value.isNotNull(), F.array(E.error(E.NOT_IN_TABLE, None, None, path)))
+        return when("IS NOT NULL", E.NOT_IN_TABLE, path)
     found = []
     if not nullable and not isinstance(target, T.ArrayType):
-        found.append(F.when(value.isNull(), F.array(E.error(E.MISSING_REQUIRED, None, None, path))))
+        found.append(when("IS NULL", E.MISSING_REQUIRED, path))
     if isinstance(source, T.StructType) and isinstance(target, T.StructType):
-        for field in source.fields:
-            known = target[field.name] if field.name in target.fieldNames() else None
-            below = misfits(value.getField(field.name), field.dataType, known.dataType if known else None,
-                            known.nullable if known else True, f"{path}.{field.name}")
+        known = {f.name: f for f in target.fields}
+        for f in source.fields:
+            match = known.get(f.name)
+            below = misfits(field(value, f.name), f.dataType, match.dataType if match else None,
+                            match.nullable if match else True, f"{path}.{f.name}", depth)
             if below is not None:
-                found.append(F.when(value.isNotNull(), below))
-        for field in target.fields:
-            if not field.nullable and field.name not in source.fieldNames() and not isinstance(field.dataType, T.ArrayType):
-                found.append(F.when(value.isNotNull(), F.array(
-                    E.error(E.MISSING_REQUIRED, None, None, f"{path}.{field.name}"))))
+                found.append(f"CASE WHEN {value} IS NOT NULL THEN {below} END")
+        for f in target.fields:
+            if not f.nullable and f.name not in source.fieldNames() and not isinstance(f.dataType, T.ArrayType):
+                found.append(when("IS NOT NULL", E.MISSING_REQUIRED, f"{path}.{f.name}"))
     elif isinstance(source, T.ArrayType) and isinstance(target, T.ArrayType):
-        if misfits(F.lit(None), source.elementType, target.elementType, True, path) is not None:
-            found.append(F.flatten(F.transform(value, lambda e: F.coalesce(
-                misfits(e, source.elementType, target.elementType, True, f"{path}[]"), E.no_errors()
-            ))))
+        e = f"m{depth}"
+        below = misfits(e, source.elementType, target.elementType, True, f"{path}[]", depth + 1)
+        if below is not None:
+            found.append(f"flatten(array_compact(transform({value}, {e} -> {below})))")
     elif isinstance(source, (T.StructType, T.ArrayType)) or not fits(source, target):
-        found.append(F.when(value.isNotNull(), F.array(E.error(
-            E.WRONG_TYPE, None, None, f"{path} {type_name(target)}"
-        ))))
+        found.append(when("IS NOT NULL", E.WRONG_TYPE, f"{path} {type_name(target)}"))
     if not found:
         return None
-    return F.flatten(F.array_compact(F.array(*found)))
+    return found[0] if len(found) == 1 else E.join_errors(found)
 
 
-def aligned(value: Column, source: T.DataType, target: T.DataType) -> Column:
+def aligned(value: str, source: T.DataType, target: T.DataType, depth: int = 0) -> str:
     """A fitting value in the type of its table column; absent fields become null."""
     if isinstance(source, T.StructType) and isinstance(target, T.StructType):
+        if [f.name for f in source.fields] == [f.name for f in target.fields] and all(
+            s.dataType == t.dataType and not isinstance(s.dataType, (T.StructType, T.ArrayType))
+            for s, t in zip(source.fields, target.fields)
+        ):
+            return value
         members = [
-            (aligned(value.getField(f.name), source[f.name].dataType, f.dataType)
-             if f.name in source.fieldNames() else F.lit(None).cast(f.dataType)).alias(f.name)
+            (f.name, aligned(field(value, f.name), source[f.name].dataType, f.dataType, depth)
+             if f.name in source.fieldNames() else _absent(f.dataType))
             for f in target.fields
         ]
-        return F.when(value.isNotNull(), F.struct(*members))
+        return f"CASE WHEN {value} IS NOT NULL THEN {record(members)} END"
     if isinstance(source, T.ArrayType) and isinstance(target, T.ArrayType):
-        return F.transform(value, lambda e: aligned(e, source.elementType, target.elementType))
+        e = f"a{depth}"
+        one = aligned(e, source.elementType, target.elementType, depth + 1)
+        return value if one == e else f"transform({value}, {e} -> {one})"
     if isinstance(source, (T.StructType, T.ArrayType)) or not fits(source, target):
-        return F.lit(None).cast(target)
-    return value if source == target else value.cast(target)
+        return _absent(target)
+    return value if source == target else f"CAST({value} AS {target.simpleString()})"
+
 
+def _absent(dtype: T.DataType) -> str:
+    return f"CAST(NULL AS {dtype.simpleString()})"
 
-def conform(transformed: DataFrame, table: T.StructType, partition_columns: tuple[str, ...] = ()) -> DataFrame:
+
+def conform(transformed: DataFrame, table: T.StructType) -> DataFrame:
     """Fail the rows that do not fit the table and shape the others like it.
 
     Runs before the single append, so one bad row never makes the good ones be written twice. A row
     that has failed earlier keeps its first failure.
     """
     source = transformed.schema["row"].dataType
-    targets = {f.name: f for f in table.fields if f.name not in partition_columns}
+    known = {f.name: f for f in table.fields}
     found = []
-    for field in source.fields:
-        known = targets.get(field.name)
-        errors = misfits(F.col(f"row.{field.name}"), field.dataType, known.dataType if known else None,
-                         known.nullable if known else True, field.name)
+    for f in source.fields:
+        match = known.get(f.name)
+        errors = misfits(name("row", f.name), f.dataType, match.dataType if match else None,
+                         match.nullable if match else True, f.name)
         if errors is not None:
             found.append(errors)
-    for field in targets.values():
-        if not field.nullable and field.name not in source.fieldNames():
-            found.append(F.array(E.error(E.MISSING_REQUIRED, None, None, field.name)))
-    misfit = F.flatten(F.array_compact(F.array(*found))) if found else E.no_errors()
-    row = F.struct(*[
-        (aligned(F.col(f"row.{f.name}"), source[f.name].dataType, f.dataType)
-         if f.name in source.fieldNames() else F.lit(None).cast(f.dataType)).alias(f.name)
-        for f in targets.values()
+    for f in table.fields:
+        if not f.nullable and f.name not in source.fieldNames():
+            found.append(f"array({E.error(E.MISSING_REQUIRED, expected=f.name)})")
+    row = record([
+        (f.name, aligned(name("row", f.name), source[f.name].dataType, f.dataType)
+         if f.name in source.fieldNames() else _absent(f.dataType))
+        for f in table.fields
     ])
-    others = [c for c in transformed.columns if c not in ("failure", "row")]
-    staged = transformed.withColumn(
-        "misfit_", F.when(F.col("failure").isNull(), misfit).otherwise(E.no_errors())
-    )
-    return staged.select(
+    others = [name(c) for c in transformed.columns if c not in ("failure", "row")]
+    misfit = f"CASE WHEN failure IS NULL THEN {E.join_errors(found)} END" if found else E.NO_ERRORS
+    return transformed.selectExpr("*", f"{misfit} AS misfit_").selectExpr(
         *others,
-        F.when(F.col("failure").isNotNull(), F.col("failure"))
-        .when(F.size("misfit_") > 0, F.struct(F.lit(E.RUNTIME).alias("kind"), F.col("misfit_").alias("errors")))
-        .alias("failure"),
-        row.alias("row"),
+        f"CASE WHEN failure IS NOT NULL THEN failure WHEN size(misfit_) > 0 THEN {E.failure(E.RUNTIME, 'misfit_')} END AS failure",
+        f"{row} AS row",
     )

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluiceway.functions import errors as E
-from sluiceway.functions.keys import is_key
+from sluiceway.functions.keys import URI_PATTERN
+from sluiceway.functions.sql import every, name, quoted
 
 TSTAMP_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,6})?$"
 ENTITY = "struct<schema:string,data:variant>"
@@ -23,15 +22,15 @@ def payload_text(value: Column, dtype: T.DataType) -> Column:
     )
 
 
-def _typed(text: Column, dtype: T.DataType) -> Column:
+def _typed(text: str, dtype: T.DataType) -> str:
     if isinstance(dtype, T.StringType):
         return text
     if isinstance(dtype, T.BooleanType):
-        return F.when(text == "1", F.lit(True)).when(text == "0", F.lit(False))
+        return f"CASE {text} WHEN '1' THEN true WHEN '0' THEN false END"
     if isinstance(dtype, T.TimestampType):
         # Times on the wire are UTC, whatever the session time zone is.
-        return F.when(text.rlike(TSTAMP_PATTERN), F.concat(text, F.lit("+00:00")).try_cast("timestamp"))
-    return text.try_cast(dtype)
+        return f"CASE WHEN {text} RLIKE {quoted(TSTAMP_PATTERN)} THEN try_cast(concat({text}, '+00:00') AS timestamp) END"
+    return f"try_cast({text} AS {dtype.simpleString()})"
 
 
 def entities_of(text: Column, kind: str, enveloped: bool, element: str = ENTITY) -> Column:
@@ -65,12 +64,11 @@ def parse_lines(lines: DataFrame, atomic: T.StructType, unstruct: str = "unstruc
         F.octet_length("value").cast("long").alias("n_bytes"),
     ).withColumn("parts_", F.split("payload", "\t", -1))
 
-    texts = {f.name: F.nullif(F.get("parts_", F.lit(i)), F.lit("")) for i, f in enumerate(atomic.fields)}
-    typed = split.select(
-        *extra, "payload", "n_bytes",
-        F.size("parts_").alias("n_fields_"),
-        *[_typed(texts[f.name], f.dataType).alias(f.name) for f in atomic.fields],
-        *[texts[f.name].alias(f"text_{f.name}_") for f in atomic.fields
+    texts = {f.name: f"nullif(get(parts_, {i}), '')" for i, f in enumerate(atomic.fields)}
+    typed = split.selectExpr(
+        *[name(c) for c in extra], "payload", "n_bytes", "size(parts_) AS n_fields_",
+        *[f"{_typed(texts[f.name], f.dataType)} AS {name(f.name)}" for f in atomic.fields],
+        *[f"{texts[f.name]} AS {name(f'text_{f.name}_')}" for f in atomic.fields
           if not isinstance(f.dataType, T.StringType)],
     )
     with_entities = typed.withColumns({
@@ -79,30 +77,35 @@ def parse_lines(lines: DataFrame, atomic: T.StructType, unstruct: str = "unstruc
     })
 
     # Whether a line is good is one boolean; error records are built for bad lines only.
-    fine, bad = [F.col("n_fields_") == len(atomic.fields)], []
+    fine, bad = [f"n_fields_ = {len(atomic.fields)}"], []
+
+    def check(condition: str, text: str, expected: str) -> None:
+        fine.append(condition)
+        bad.append(f"CASE WHEN NOT ({condition}) THEN {E.error(E.FIELD_DECODING, value=text, expected=expected)} END")
+
     for field in atomic.fields:
         is_text = isinstance(field.dataType, T.StringType)
-        text = F.col(field.name if is_text else f"text_{field.name}_")
-        if field.nullable and is_text:
-            continue
-        decoded = F.col(field.name).isNotNull()
-        fine.append(decoded | text.isNull() if field.nullable else decoded)
-        expected = f"{field.name} {field.dataType.simpleString()}"
-        bad.append(F.when(~fine[-1], E.error(E.FIELD_DECODING, None, text, expected)))
-    fine.append(F.col(unstruct).isNull() | F.coalesce(is_key(F.col("unstruct_.schema")), F.lit(False)))
-    bad.append(F.when(~fine[-1], E.error(E.FIELD_DECODING, None, F.col(unstruct), f"{unstruct} entity")))
+        column, text = name(field.name), name(field.name if is_text else f"text_{field.name}_")
+        decoded = f"{column} IS NOT NULL"
+        if not field.nullable:
+            check(decoded, text, f"{field.name} {field.dataType.simpleString()}")
+        elif not is_text:
+            check(f"{decoded} OR {text} IS NULL", text, f"{field.name} {field.dataType.simpleString()}")
+    valid = f"RLIKE {quoted(URI_PATTERN)}"
+    check(f"{name(unstruct)} IS NULL OR coalesce(unstruct_.schema {valid}, false)", name(unstruct), f"{unstruct} entity")
     for c in contexts:
         # A malformed array reads as null or as an array with null members: both are failures.
-        legal = F.forall(f"contexts_{c}_", lambda e: F.coalesce(is_key(e["schema"]), F.lit(False)))
-        fine.append(F.col(c).isNull() | F.coalesce(legal, F.lit(False)))
-        bad.append(F.when(~fine[-1], E.error(E.FIELD_DECODING, None, F.col(c), f"{c} entities")))
-    count_error = F.array(E.error(E.FIELD_COUNT, None, F.col("n_fields_"), str(len(atomic.fields))))
-    errors = F.when(F.col("n_fields_") != len(atomic.fields), count_error).otherwise(F.array_compact(F.array(*bad)))
-    with_entities = with_entities.withColumn("fine_", reduce(lambda x, y: x & y, fine))
+        legal = f"forall({name(f'contexts_{c}_')}, e -> coalesce(e.schema {valid}, false))"
+        check(f"{name(c)} IS NULL OR coalesce({legal}, false)", name(c), f"{c} entities")
+    count_error = E.error(E.FIELD_COUNT, value="n_fields_", expected=str(len(atomic.fields)))
+    errors = f"""CASE WHEN fine_ THEN {E.NO_ERRORS}
+        WHEN n_fields_ <> {len(atomic.fields)} THEN array({count_error})
+        ELSE array_compact(array({', '.join(bad)})) END"""
+    with_entities = with_entities.withColumn("fine_", F.expr(every(fine)))
     all_contexts = [F.coalesce(F.col(f"contexts_{c}_"), F.array().cast(f"array<{ENTITY}>")) for c in contexts]
     return with_entities.select(
         *extra, "payload", "n_bytes",
-        F.when(F.col("fine_"), E.no_errors()).otherwise(errors).alias("parse_errors"),
+        F.expr(errors).alias("parse_errors"),
         *[f.name for f in atomic.fields],
         F.col("unstruct_").alias("unstruct_entity"),
         (F.concat(*all_contexts) if all_contexts else F.array().cast(f"array<{ENTITY}>"))

@@ -7,7 +7,7 @@ entity is cast once; nothing is exchanged.
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from sluiceway.functions import errors as E
 from sluiceway.functions.casting import LEGACY, V2, cast_errors, cast_ok, cast_value, json_text_type, members_of
+from sluiceway.functions.sql import every, name, one_of, quoted, record
 from sluiceway.operators.entities import is_legacy, is_skipped
 from sluiceway.operators.parse import ENTITY_TEXT, entities_of
 from sluiceway.operators.registry import EntityColumn, Resolved
@@ -23,39 +24,34 @@ CONTEXT_TEXTS = "context_texts_"
 UNSTRUCT_TEXT = "unstruct_text_"
 
 
-def _all(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions, F.lit(True))
-
-
 def unknown_uris(resolved: Resolved, skip_schemas=(), legacy_schemas=(), legacy_mode: bool = False) -> Column:
     """Schema URIs of the event that are wanted but absent from the registry or invalid there.
 
     The known keys are literals, so an event is checked without a join and an unknown key in the
     data never has to be listed anywhere.
     """
-    known = list(resolved.uris)
-
-    def unknown(uri: Column) -> Column:
-        return ~uri.isin(known) & ~is_skipped(uri, skip_schemas, legacy_schemas, legacy_mode)
+    def unknown(uri: Column, text: str) -> Column:
+        known = F.expr(one_of(text, resolved.uris))
+        return ~known & ~is_skipped(uri, skip_schemas, legacy_schemas, legacy_mode)
 
     entity = F.col("unstruct_entity.schema")
-    contexts = F.filter(F.transform("context_entities", lambda e: e["schema"]), unknown)
-    return F.when(entity.isNotNull() & unknown(entity), F.concat(F.array(entity), contexts)).otherwise(contexts)
-
-
-def lookup_errors(uris: Column, resolved: Resolved, legacy: bool, legacy_schemas=(),
-                  legacy_mode: bool = False) -> Column:
-    """One error per unknown URI of one column style."""
-    invalid = list(resolved.invalid)
-
-    def mine(uri: Column) -> Column:
-        style = is_legacy(uri, legacy_schemas, legacy_mode)
-        return style if legacy else ~style
+    contexts = F.filter(
+        F.expr("array_except(transform(context_entities, e -> e.schema), array("
+               + ", ".join(quoted(u) for u in resolved.uris) + "))")
+        if resolved.uris else F.expr("transform(context_entities, e -> e.schema)"),
+        lambda u: ~is_skipped(u, skip_schemas, legacy_schemas, legacy_mode),
+    )
+    wanted = entity.isNotNull() & unknown(entity, "unstruct_entity.schema")
+    return F.when(wanted, F.concat(F.array(entity), contexts)).otherwise(contexts)
 
-    def named(uri: Column) -> Column:
-        return E.error(F.when(uri.isin(invalid), E.INVALID_SCHEMA).otherwise(E.NOT_FOUND), uri)
 
-    return F.transform(F.array_distinct(F.filter(uris, mine)), named)
+def lookup_errors(resolved: Resolved, style: str) -> str:
+    """One error per unknown URI of one column style, from the column that lists them."""
+    invalid = one_of("u", resolved.invalid)
+    named = E.error(E.NOT_FOUND, key="u")
+    if resolved.invalid:
+        named = f"CASE WHEN {invalid} THEN {E.error(E.INVALID_SCHEMA, key='u')} ELSE {named} END"
+    return f"transform(array_distinct(unknown_{style}_), u -> {named})"
 
 
 def with_entity_texts(parsed: DataFrame, columns: Iterable[EntityColumn], unstruct: str = "unstruct_event",
@@ -76,108 +72,76 @@ def with_entity_texts(parsed: DataFrame, columns: Iterable[EntityColumn], unstru
     return parsed.withColumns(added) if added else parsed
 
 
-def _text_of(data: Column, column: EntityColumn) -> Column:
+def _text_of(text: str, column: EntityColumn) -> str:
     wanted = json_text_type(column.data_type)
-    if isinstance(wanted, T.StringType):
-        return data
-    return F.from_json(data, wanted)
+    return text if isinstance(wanted, T.StringType) else f"from_json({text}, {quoted(wanted.simpleString())})"
 
 
-def _unstruct_stages(i: int, c: EntityColumn) -> tuple[Column, Column, Column, Column]:
-    """Source, value, ok and errors of a column; each refers to the columns of the stages before."""
-    source, value = F.col(f"source_{i}_"), F.col(f"raw_{i}_")
-    node, key = source.getField("data"), source.getField("schema")
-    picked = [F.col("unstruct_entity.schema").alias("schema"), F.col("unstruct_entity.data").alias("data")]
-    members = members_of(F.col("unstruct_entity.data"), c.data_type)
-    if members is not None:
-        picked.append(members.alias("members"))
-        members = source.getField("members")
-    text = None
-    if json_text_type(c.data_type) is not None:
-        picked.append(_text_of(F.col(f"{UNSTRUCT_TEXT}.data"), c).alias("text"))
-        text = source.getField("text")
-    mine = F.col("unstruct_entity.schema").isin(list(c.uris))
-    # An event without the entity is no error, and neither is a root that is JSON null.
-    return (
-        F.when(mine, F.struct(*picked)),
-        F.when(source.isNotNull(), cast_value(node, c.data_type, c.mode, text, members=members)),
-        F.when(source.isNull(), True).otherwise(cast_ok(value, node, c.data_type, True, c.mode, members=members)),
-        F.when(source.isNotNull(), cast_errors(value, node, c.data_type, True, key, c.mode)),
-    )
+class _Stages(NamedTuple):
+    """SQL of one entity column, in the order of evaluation; each step refers to the ones before."""
 
+    source: str
+    value: str
+    ok: str
+    errors: str
+    final: str
 
-def _context_stages(i: int, c: EntityColumn) -> tuple[Column, Column, Column, Column]:
-    source, value = F.col(f"source_{i}_"), F.col(f"raw_{i}_")
-    dtype, mode, uris = c.data_type, c.mode, list(c.uris)
-    text_too = json_text_type(dtype) is not None
-    entities = F.col("context_entities")
-    if text_too:
-        entities = F.transform(
-            F.arrays_zip(entities.alias("e"), F.col(CONTEXT_TEXTS).alias("t")),
-            lambda z: F.struct(z["e"]["schema"].alias("schema"), z["e"]["data"].alias("data"),
-                               z["t"]["data"].alias("text")),
+
+def _prepared(schema: str, data: str, text: str | None, c: EntityColumn) -> str:
+    parts = [("schema", schema), ("data", data)]
+    members = members_of(data, c.data_type)
+    if members is not None:
+        parts.append(("members", members))
+    if text is not None:
+        parts.append(("text", _text_of(text, c)))
+    return record(parts)
+
+
+def _stages(i: int, c: EntityColumn) -> _Stages:
+    source, value = f"source_{i}_", f"raw_{i}_"
+    grouped = members_of("x", c.data_type) is not None
+    text_too = json_text_type(c.data_type) is not None
+
+    def members(e: str) -> str | None:
+        return f"{e}.members" if grouped else None
+
+    def cast(e: str) -> str:
+        return cast_value(f"{e}.data", c.data_type, c.mode, f"{e}.text" if text_too else None, members=members(e))
+
+    if c.entity == "unstruct":
+        mine = one_of("unstruct_entity.schema", c.uris)
+        text = f"{UNSTRUCT_TEXT}.data" if text_too else None
+        ok = cast_ok(value, f"{source}.data", c.data_type, True, c.mode, members=members(source))
+        errors = cast_errors(value, f"{source}.data", c.data_type, True, f"{source}.schema", c.mode)
+        # An event without the entity is no error, and neither is a root that is JSON null.
+        return _Stages(
+            f"CASE WHEN {mine} THEN {_prepared('unstruct_entity.schema', 'unstruct_entity.data', text, c)} END",
+            f"CASE WHEN {source} IS NOT NULL THEN {cast(source)} END",
+            f"CASE WHEN {source} IS NULL THEN true ELSE {ok} END",
+            f"CASE WHEN {source} IS NOT NULL THEN {errors} END",
+            value,
         )
-    mine = F.filter(entities, lambda e: e["schema"].isin(uris))
-
-    def prepared(e: Column) -> Column:
-        parts = [e["schema"].alias("schema"), e["data"].alias("data")]
-        members = members_of(e["data"], dtype)
-        if members is not None:
-            parts.append(members.alias("members"))
-        if text_too:
-            parts.append(_text_of(e["text"], c).alias("text"))
-        return F.struct(*parts)
-
-    grouped = members_of(F.lit(None), dtype) is not None
-
-    def value_in(e: Column) -> Column:
-        text = e["text"] if text_too else None
-        return cast_value(e["data"], dtype, mode, text, members=e["members"] if grouped else None)
-
-    def ok_in(z: Column) -> Column:
-        members = z["s"]["members"] if grouped else None
-        return cast_ok(z["v"], z["s"]["data"], dtype, True, mode, members=members)
-
-    def errors_in(z: Column) -> Column:
-        return cast_errors(z["v"], z["s"]["data"], dtype, True, z["s"]["schema"], mode)
-
-    zipped = F.arrays_zip(value.alias("v"), source.alias("s"))
-    return (
-        F.transform(mine, prepared),
-        F.transform(source, value_in),
-        F.forall(zipped, ok_in),
-        F.flatten(F.transform(zipped, errors_in)),
+    mine = f"filter(context_entities, c -> {one_of('c.schema', c.uris)})"
+    prepared = f"transform({mine}, c -> {_prepared('c.schema', 'c.data', None, c)})"
+    if text_too:
+        both = f"""zip_with(context_entities, {CONTEXT_TEXTS}, (e, t) ->
+            named_struct('schema', e.schema, 'data', e.data, 'text', t.data))"""
+        mine = f"filter({both}, c -> {one_of('c.schema', c.uris)})"
+        prepared = f"transform({mine}, c -> {_prepared('c.schema', 'c.data', 'c.text', c)})"
+    ok = cast_ok("v", "s.data", c.data_type, True, c.mode, members=members("s"))
+    errors = cast_errors("v", "s.data", c.data_type, True, "s.schema", c.mode)
+    # Contexts lose null members and become null, never an empty array, when nothing matched.
+    return _Stages(
+        prepared,
+        f"transform({source}, c -> {cast('c')})",
+        f"forall(zip_with({value}, {source}, (v, s) -> {ok}), fine -> fine)",
+        f"flatten(array_compact(zip_with({value}, {source}, (v, s) -> {errors})))",
+        f"CASE WHEN size({value}) > 0 THEN filter({value}, c -> c IS NOT NULL) END",
     )
 
 
-def with_entity_columns(events: DataFrame, columns: tuple[EntityColumn, ...]) -> DataFrame:
-    """Cast the entities of each event to the given columns.
-
-    Adds three internal columns per entity column, one projection each: the matching entities, their
-    cast value and whether the cast went well. See :func:`value_of` and :func:`style_errors`.
-    """
-    selected, values, oks = {}, {}, {}
-    for i, column in enumerate(columns):
-        selected[f"source_{i}_"], values[f"raw_{i}_"], oks[f"ok_{i}_"], _ = _stages(i, column)
-    return events.withColumns(selected).withColumns(values).withColumns(oks) if columns else events
-
-
-def _stages(i: int, column: EntityColumn) -> tuple[Column, Column, Column, Column]:
-    return (_unstruct_stages if column.entity == "unstruct" else _context_stages)(i, column)
-
-
-def value_of(i: int, column: EntityColumn) -> Column:
-    """Final value of a column: contexts lose null members and become null when nothing matched."""
-    raw = F.col(f"raw_{i}_")
-    if column.entity == "unstruct":
-        return raw
-    return F.when(F.size(raw) > 0, F.filter(raw, lambda e: e.isNotNull()))
-
-
-def style_errors(columns: tuple[EntityColumn, ...], mode: str) -> Column:
-    """All wrong types over all entities of one column style."""
-    parts = [_stages(i, c)[3] for i, c in enumerate(columns) if c.mode == mode]
-    return E.join_errors([F.coalesce(part, E.no_errors()) for part in parts])
+def _with(frame: DataFrame, added: dict[str, str]) -> DataFrame:
+    return frame.selectExpr("*", *[f"{sql} AS {column}" for column, sql in added.items()]) if added else frame
 
 
 def transform_events(parsed: DataFrame, atomic: T.StructType, resolved: Resolved, load_tstamp: Column,
@@ -190,33 +154,40 @@ def transform_events(parsed: DataFrame, atomic: T.StructType, resolved: Resolved
     Result: ``payload``, ``n_bytes``, the columns in ``keep``, ``failure`` (null for a good row, else
     ``struct<kind, errors>``), ``row`` (a struct of the atomic columns without the raw entity JSON,
     ``load_tstamp`` and the entity columns). One pass serves good rows, failed events and counts.
+
+    Per entity column three projections follow each other: the matching entities, their cast value and
+    whether the cast went well. Errors come in a fixed order, and the first list that is not empty is
+    the failure: unknown schemas, wrong types, then the same for legacy columns.
     """
-    legacy = {"legacy_schemas": legacy_schemas, "legacy_mode": legacy_mode}
     columns = resolved.columns
+    stages = [_stages(i, c) for i, c in enumerate(columns)]
+    fixed = [f.name for f in atomic.fields if f.name != unstruct and f.name not in contexts]
     staged = with_entity_texts(parsed, columns, unstruct, contexts, enveloped)
-    staged = with_entity_columns(
-        staged.withColumn("unknown_", unknown_uris(resolved, skip_schemas, **legacy)), columns
-    )
-    parses = F.size("parse_errors") == 0
-    clean = _all([parses, F.size("unknown_") == 0, *[F.col(f"ok_{i}_") for i in range(len(columns))]])
+    staged = staged.withColumn("unknown_", unknown_uris(resolved, skip_schemas, legacy_schemas, legacy_mode))
+    staged = _with(staged, {f"source_{i}_": s.source for i, s in enumerate(stages)})
+    staged = _with(staged, {f"raw_{i}_": s.value for i, s in enumerate(stages)})
+    clean = ["size(parse_errors) = 0", "size(unknown_) = 0", *[s.ok for s in stages]]
+    staged = staged.withColumns({
+        "clean_": F.expr(every(clean)),
+        "stamp_": load_tstamp,
+        "unknown_legacy_": F.filter("unknown_", lambda u: is_legacy(u, legacy_schemas, legacy_mode)),
+        "unknown_v2_": F.filter("unknown_", lambda u: ~is_legacy(u, legacy_schemas, legacy_mode)),
+    })
     # Error records are built for failing events only; the others stop at the boolean.
     schema_errors = E.first_non_empty([
-        lookup_errors(F.col("unknown_"), resolved, False, **legacy),
-        style_errors(columns, V2),
-        lookup_errors(F.col("unknown_"), resolved, True, **legacy),
-        style_errors(columns, LEGACY),
+        step for style in (V2, LEGACY)
+        for step in (
+            lookup_errors(resolved, style),
+            E.join_errors([s.errors for s, c in zip(stages, columns) if c.mode == style]),
+        )
     ])
-    failure = (
-        F.when(F.col("clean_"), None)
-        .when(~parses, F.struct(F.lit(E.PARSING).alias("kind"), F.col("parse_errors").alias("errors")))
-        .otherwise(F.struct(F.lit(E.SCHEMA).alias("kind"), schema_errors.alias("errors")))
-    )
-    fixed = [f.name for f in atomic.fields if f.name != unstruct and f.name not in contexts]
-    named = {c.name: value_of(i, c).alias(c.name) for i, c in enumerate(columns)}  # legacy last, so it wins
-    return staged.withColumn("clean_", clean).select(
-        "payload", "n_bytes", *keep,
-        failure.alias("failure"),
-        F.struct(*fixed, load_tstamp.alias("load_tstamp"), *named.values()).alias("row"),
+    failure = f"""CASE WHEN clean_ THEN NULL
+        WHEN size(parse_errors) > 0 THEN {E.failure(E.PARSING, 'parse_errors')}
+        ELSE {E.failure(E.SCHEMA, schema_errors)} END"""
+    finals = {c.name: s.final for c, s in zip(columns, stages)}  # legacy comes last, so it wins
+    row = record([(f, name(f)) for f in fixed] + [("load_tstamp", "stamp_"), *finals.items()])
+    return staged.selectExpr(
+        "payload", "n_bytes", *[name(c) for c in keep], f"{failure} AS failure", f"{row} AS row"
     )
 
 

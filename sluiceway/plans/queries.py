@@ -186,9 +186,10 @@ def registry_fields(spark, sf_dir):
 
 def strict_cast_int(spark, sf_dir):
     good = good_events(_parsed(spark, sf_dir), "event_id", "unstruct_entity")
-    data, dtype = F.col("unstruct_entity.data"), T.StructType([T.StructField("k", T.IntegerType(), False)])
-    cast = good.withColumn("value_", cast_value(data, dtype, members=members_of(data, dtype)))
-    errors = cast_errors(F.col("value_"), data, dtype, False, F.col("unstruct_entity.schema"))
+    dtype = T.StructType([T.StructField("k", T.IntegerType(), False)])
+    data = "unstruct_entity.data"
+    cast = good.withColumn("value_", F.expr(cast_value(data, dtype, members=members_of(data, dtype))))
+    errors = F.expr(cast_errors("value_", data, dtype, False, "unstruct_entity.schema"))
     wrong = F.get(errors, F.lit(0))
     return cast.select("event_id", F.col("value_.k").alias("k"), wrong["error"].alias("error"),
                        wrong["value"].alias("wrong_value"), wrong["expected"].alias("expected"))
@@ -197,11 +198,10 @@ def strict_cast_int(spark, sf_dir):
 def _typed(spark, sf_dir, dtype, mode):
     configure(spark)
     rows = X.typed_json(spark, sf_dir).select("l_orderkey", "l_linenumber", "j", F.parse_json("j").alias("v"))
-    text = F.from_json("j", json_text_type(dtype))
-    prepared = rows.select("l_orderkey", "l_linenumber", "v", text.alias("text"), members_of(F.col("v"), dtype).alias("m"))
-    return prepared.select(
-        "l_orderkey", "l_linenumber", cast_value(F.col("v"), dtype, mode, F.col("text"), members=F.col("m")).alias("r")
-    )
+    prepared = rows.select("l_orderkey", "l_linenumber", "v", F.from_json("j", json_text_type(dtype)).alias("text"),
+                           F.expr(members_of("v", dtype)).alias("m"))
+    return prepared.select("l_orderkey", "l_linenumber",
+                           F.expr(cast_value("v", dtype, mode, "text", members="m")).alias("r"))
 
 
 def cast_all_types(spark, sf_dir):
@@ -240,8 +240,8 @@ def json_text_legacy(spark, sf_dir):
 def array_null_drop(spark, sf_dir):
     configure(spark)
     dtype = T.StructType([T.StructField("a", T.ArrayType(T.LongType(), True), False)])
-    v = F.parse_json("j")
-    cast = X.array_json(spark, sf_dir).select("event_id", cast_value(v, dtype).alias("r"))
+    parsed = X.array_json(spark, sf_dir).select("event_id", F.parse_json("j").alias("v"))
+    cast = parsed.select("event_id", F.expr(cast_value("v", dtype)).alias("r"))
     a = F.col("r.a")
     return cast.select("event_id", F.size(a).alias("n_items"),
                        F.aggregate(a, F.lit(0).cast("long"), lambda s, e: s + e).alias("total"))
