@@ -52,8 +52,8 @@ def parse_lines(lines: DataFrame, atomic: T.StructType, unstruct: str = "unstruc
 
     Adds ``payload`` (text of the line), ``n_bytes`` (of every line, good or bad), ``parse_errors``
     (empty for a good event), ``unstruct_entity`` and ``context_entities``. The two entity columns
-    hold null for an absent entity and an empty array for no contexts. Other columns of ``lines``
-    pass through.
+    hold null for an absent entity and an empty array for no contexts. A bad line has nulls in all
+    atomic columns. Other columns of ``lines`` pass through.
     """
     contexts = tuple(c for c in contexts if c in atomic.fieldNames())
     value_type = lines.schema["value"].dataType
@@ -102,14 +102,16 @@ def parse_lines(lines: DataFrame, atomic: T.StructType, unstruct: str = "unstruc
         WHEN n_fields_ <> {len(atomic.fields)} THEN array({count_error})
         ELSE array_compact(array({', '.join(bad)})) END"""
     with_entities = with_entities.withColumn("fine_", F.expr(every(fine)))
-    all_contexts = [F.coalesce(F.col(f"contexts_{c}_"), F.array().cast(f"array<{ENTITY}>")) for c in contexts]
+    # A line that does not parse yields no values at all, only its payload and its errors.
+    none = F.array().cast(f"array<{ENTITY}>")
+    found = [F.coalesce(F.col(f"contexts_{c}_"), none) for c in contexts]
     return with_entities.select(
         *extra, "payload", "n_bytes",
         F.expr(errors).alias("parse_errors"),
-        *[f.name for f in atomic.fields],
-        F.col("unstruct_").alias("unstruct_entity"),
-        (F.concat(*all_contexts) if all_contexts else F.array().cast(f"array<{ENTITY}>"))
-        .alias("context_entities"),
+        *[F.expr(f"CASE WHEN fine_ THEN {name(f.name)} END AS {name(f.name)}") for f in atomic.fields],
+        F.when(F.col("fine_"), F.col("unstruct_")).alias("unstruct_entity"),
+        F.when(F.col("fine_"), F.concat(*found)).otherwise(none).alias("context_entities") if found
+        else none.alias("context_entities"),
     )
 
 

@@ -13,8 +13,11 @@ MAX_BATCH_BYTES = 10_000_000
 
 def text_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines of text files, for backfills. Only a newline ends a line."""
-    read = spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true")
-    return read.text(path).select("value", F.col("_metadata.file_modification_time").alias("source_tstamp"))
+    return _lines(spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true").text(path))
+
+
+def _lines(files: DataFrame) -> DataFrame:
+    return files.select("value", F.col("_metadata.file_modification_time").alias("source_tstamp"))
 
 
 def parquet_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -26,12 +29,12 @@ def text_stream(spark: SparkSession, path: str, max_bytes: int = MAX_BATCH_BYTES
                 since: datetime | None = None) -> DataFrame:
     """Stream of text files in micro-batches of about ``max_bytes``.
 
-    ``since`` skips files last changed before that moment.
+    ``since`` leaves out files last changed before that moment; the filter is on file metadata, so
+    their content is not read.
     """
     reader = spark.readStream.option("maxBytesPerTrigger", str(max_bytes)).option("lineSep", "\n")
-    if since is not None:
-        reader = reader.option("modifiedAfter", _utc(since).strftime("%Y-%m-%dT%H:%M:%S")).option("timeZone", "UTC")
-    return reader.text(path).select("value", F.col("_metadata.file_modification_time").alias("source_tstamp"))
+    lines = _lines(reader.text(path))
+    return lines if since is None else lines.filter(F.col("source_tstamp") >= F.lit(_utc(since)))
 
 
 def kafka_options(bootstrap_servers: str, topic: str, start: str | datetime = "earliest",

@@ -64,7 +64,7 @@ def load_state(spark: SparkSession, root: str) -> TableState | None:
         raise
     if not records:
         return None
-    records.sort(key=lambda r: (r["version"], r["at"]))
+    records.sort(key=lambda r: (r["version"], r["at"], r["schema"]))
     schema = T.StructType.fromJson(json.loads(records[0]["schema"]))
     for record in records[1:]:
         schema = merge_columns(schema, T.StructType.fromJson(json.loads(record["schema"])).fields)
