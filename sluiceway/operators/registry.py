@@ -232,13 +232,19 @@ def wanted_schemas(found: DataFrame, registry: DataFrame) -> DataFrame:
 
 def resolve(versions: DataFrame, registry: DataFrame, skip_schemas=(), legacy_schemas=(),
             legacy_mode: bool = False) -> Resolved:
-    """Derive the columns of a batch from its entity versions and a compiled registry.
+    """Derive the columns of a batch from its entity versions and a compiled registry."""
+    styled = with_style(versions, skip_schemas, legacy_schemas, legacy_mode)
+    return resolve_matched(match_registry(styled, registry), registry)
+
+
+def resolve_matched(matched: DataFrame, registry: DataFrame, known: dict[frozenset, Resolved] | None = None) -> Resolved:
+    """Derive columns from styled versions that were matched with the registry.
 
     Only versions that the registry holds reach the driver, as column metadata; however many
-    unresolved keys the data has does not matter.
+    unresolved keys the data has does not matter. ``known`` keeps the last result, since
+    most batches of a stream hold the same schemas as the one before.
     """
-    styled = with_style(versions, skip_schemas, legacy_schemas, legacy_mode)
-    found = styled.join(registry.select("uri"), "uri", "left_semi")
+    found = matched.filter("found")
     entity, vendor, name, model = (F.col(c) for c in ("entity", "vendor", "name", "model"))
     present = found.select(
         "entity", "style", "vendor", "name", "format", "model", "revision", "addition", "uri",
@@ -246,7 +252,19 @@ def resolve(versions: DataFrame, registry: DataFrame, skip_schemas=(), legacy_sc
             legacy_column_name(entity, vendor, name, model, F.col("revision"), F.col("addition"))
         ).alias("column"),
     ).collect()
+    batch = frozenset((r["entity"], r["style"], r["uri"]) for r in present)
+    if known is not None and batch in known:
+        return known[batch]
     schemas = {r["uri"]: r for r in wanted_schemas(found, registry).collect()} if present else {}
+    resolved = _columns_of(present, schemas)
+    if known is not None:
+        known.clear()
+        known[batch] = resolved
+    return resolved
+
+
+def _columns_of(present: list, schemas: dict) -> Resolved:
+    """Group the schemas of a batch into columns, merging the versions of each family."""
     invalid = {uri for uri, r in schemas.items() if not r["legal"]}
 
     def family_of(row) -> tuple:

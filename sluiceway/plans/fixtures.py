@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluiceway.operators.registry import compile_registry, registry_from_rows
+from sluiceway.sources.lines import spread_out
 
 ATOMIC = T.StructType([
     T.StructField("event_id", T.LongType(), False),
@@ -31,7 +32,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def enriched_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One tab-separated line per event; some are malformed, mistyped or of an unknown schema."""
-    events = table(spark, sf_dir, "events")
+    events = spread_out(table(spark, sf_dir, "events"))
     i = F.col("event_id")
     vendor = F.when(i % 103 == 0, "com.unknown").otherwise("com.acme")
     data = F.when(i % 101 == 0, '{"k":"xyz"}').otherwise(F.col("props"))
@@ -75,7 +76,8 @@ def acme_registry(spark: SparkSession) -> DataFrame:
 def typed_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per line item one JSON object with a value of every type."""
     ship = F.date_format("l_shipdate", "yyyy-MM-dd")
-    return table(spark, sf_dir, "lineitem").select(
+    columns = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate"]
+    return spread_out(table(spark, sf_dir, "lineitem").select(*columns)).select(
         "l_orderkey", "l_linenumber",
         F.to_json(F.struct(
             F.col("l_orderkey").alias("my_long"),
@@ -120,7 +122,7 @@ def array_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = F.col("event_id").cast("string")
     following = (F.col("event_id") + 1).cast("string")
     full = F.concat(F.lit('{"a":['), i, F.lit(",null,"), following, F.lit("]}"))
-    return table(spark, sf_dir, "events").select(
+    return spread_out(table(spark, sf_dir, "events")).select(
         "event_id",
         F.when(F.col("event_id") % 7 == 0, '{"a":[null]}')
         .when(F.col("event_id") % 5 == 0, '{"a":[]}').otherwise(full).alias("j"),
@@ -163,7 +165,7 @@ def enveloped_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         envelope("contexts", F.concat(F.lit("["), user, F.lit(","), place, F.lit("]"))))
     derived = F.when(F.col("event_type") == "error", "").otherwise(
         envelope("contexts", F.concat(F.lit("["), user, F.lit("]"))))
-    return table(spark, sf_dir, "events").select(F.concat_ws(
+    return spread_out(table(spark, sf_dir, "events")).select(F.concat_ws(
         "\t", F.col("event_id").cast("string"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS"),
         F.col("event_type"), number, F.when(F.col("event_type") == "purchase", "1").otherwise("0"),
         unstruct, contexts, derived,

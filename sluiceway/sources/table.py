@@ -14,7 +14,8 @@ from collections.abc import Iterable
 from datetime import datetime, timedelta, timezone
 from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,6 +48,12 @@ def _utc(moment: datetime | None) -> datetime | None:
     return None if moment is None else moment.astimezone(timezone.utc)
 
 
+def one_row(spark: SparkSession, values: dict, schema: str) -> DataFrame:
+    """A record as a DataFrame of one row in one partition, made without Python workers."""
+    fields = T.StructType.fromDDL(schema).fields
+    return spark.range(1, numPartitions=1).select(*[F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in fields])
+
+
 def initial_schema(atomic: T.StructType, unstruct: str = "unstruct_event",
                    contexts: tuple[str, ...] = ("contexts", "derived_contexts")) -> T.StructType:
     """Table schema before any entity was seen: atomic fields without entity JSON, and the load time."""
@@ -72,13 +79,20 @@ def load_state(spark: SparkSession, root: str) -> TableState | None:
 
 
 def _append_log(spark: SparkSession, root: str, state: TableState, at: datetime) -> None:
-    row = [(state.version, at, state.schema.json(), state.disabled_until)]
-    spark.createDataFrame(row, LOG_SCHEMA).coalesce(1).write.mode("append").json(f"{root}/schema_log")
+    row = {"version": state.version, "at": at, "schema": state.schema.json(), "disabled_until": state.disabled_until}
+    one_row(spark, row, LOG_SCHEMA).write.mode("append").json(f"{root}/schema_log")
 
 
 def create_if_missing(spark: SparkSession, root: str, schema: T.StructType, now: datetime | None = None) -> TableState:
-    """Create the table unless it exists. A table created by another loader meanwhile is fine."""
-    known = load_state(spark, root)
+    """Create the table unless it exists.
+
+    A table created by another loader meanwhile is fine, and if looking it up fails, creating it is
+    still tried: one more record with the initial schema changes nothing for an existing table.
+    """
+    try:
+        known = load_state(spark, root)
+    except (PySparkException, Py4JError):
+        known = None
     if known is not None:
         return known
     _append_log(spark, root, TableState(schema, 0), now or _now())
@@ -86,8 +100,8 @@ def create_if_missing(spark: SparkSession, root: str, schema: T.StructType, now:
 
 
 def raise_alert(spark: SparkSession, root: str, alert: str, columns: Iterable[str], cause: str, at: datetime) -> None:
-    row = [(at, alert, list(columns), cause)]
-    spark.createDataFrame(row, ALERT_SCHEMA).coalesce(1).write.mode("append").json(f"{root}/alerts")
+    row = {"at": at, "alert": alert, "columns": list(columns), "cause": cause}
+    one_row(spark, row, ALERT_SCHEMA).write.mode("append").json(f"{root}/alerts")
 
 
 def evolve(spark: SparkSession, root: str, known: TableState, batch: list[T.StructField],
@@ -127,12 +141,13 @@ def append_rows(rows: DataFrame, root: str, load_date: str, batch_id: str, clust
 
     A batch has one load time, so it is one directory and needs no dynamic partitioning. Rows are
     sorted inside each task, which gives row groups narrow ``event_name`` ranges without a shuffle.
-    With ``spread`` the rows are range-partitioned first into that many files; a random second key
-    splits an event name that holds a large share of the rows.
+    With ``spread`` the rows are range-partitioned first into that many files; a hash of the row as
+    second key splits an event name that holds a large share of the rows.
     """
-    if cluster_by is not None:
+    if cluster_by is not None and cluster_by in rows.columns:
         if spread is not None:
-            rows = rows.repartitionByRange(spread, F.col(cluster_by), F.xxhash64("event_id"))
+            scalars = [f.name for f in rows.schema.fields if not isinstance(f.dataType, (T.StructType, T.ArrayType))]
+            rows = rows.repartitionByRange(spread, F.col(cluster_by), F.xxhash64(*scalars))
         rows = rows.sortWithinPartitions(cluster_by)
     rows.write.mode("overwrite").parquet(f"{root}/events/load_date={load_date}/batch_id={batch_id}")
 
@@ -161,7 +176,7 @@ def read_failed(spark: SparkSession, root: str) -> DataFrame:
 
 
 def write_metrics(metrics: DataFrame, root: str, batch_id: str) -> None:
-    metrics.coalesce(1).write.mode("overwrite").parquet(f"{root}/metrics/batch_id={batch_id}")
+    metrics.write.mode("overwrite").parquet(f"{root}/metrics/batch_id={batch_id}")
 
 
 def read_metrics(spark: SparkSession, root: str) -> DataFrame:

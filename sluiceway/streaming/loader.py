@@ -17,7 +17,7 @@ from sluiceway.operators.entities import entity_versions, with_style
 from sluiceway.operators.failed import MAX_RECORD_BYTES, failed_events, processor, serialised
 from sluiceway.operators.metrics import batch_summary
 from sluiceway.operators.parse import parse_lines
-from sluiceway.operators.registry import resolve, unresolved
+from sluiceway.operators.registry import Resolved, match_registry, resolve_matched
 from sluiceway.operators.transform import good_rows, transform_events
 from sluiceway.sources import table
 
@@ -49,6 +49,7 @@ def load_batch(lines: DataFrame, batch_id: str, root: str, registry: DataFrame,
                unstruct: str = "unstruct_event", contexts: tuple[str, ...] = ("contexts", "derived_contexts"),
                enveloped: bool = True, skip_schemas=(), legacy_schemas=(), legacy_mode: bool = False,
                exit_on_missing_schema: bool = True, known: table.TableState | None = None,
+               resolutions: dict[frozenset, Resolved] | None = None,
                max_columns: int = table.MAX_COLUMNS, column_delay: timedelta = table.TOO_MANY_COLUMNS_DELAY,
                max_failed_bytes: int = MAX_RECORD_BYTES, app: tuple[str, str] = ("sluiceway", "0.1.0"),
                storage: StorageLevel | None = StorageLevel.MEMORY_AND_DISK, spread: int | None = None,
@@ -60,6 +61,7 @@ def load_batch(lines: DataFrame, batch_id: str, root: str, registry: DataFrame,
 
     The lines are read twice: once for the schema keys only, once for the rows. The rows are kept
     (spilling to disk) because three outputs use them; ``storage=None`` recomputes them instead.
+    ``known`` and ``resolutions`` carry table and column metadata from one batch to the next.
     """
     spark = lines.sparkSession
     parsing = {"unstruct": unstruct, "contexts": contexts, "enveloped": enveloped}
@@ -68,13 +70,13 @@ def load_batch(lines: DataFrame, batch_id: str, root: str, registry: DataFrame,
     sourced = "source_tstamp" in lines.columns
     parsed = parse_lines(lines, atomic, **parsing)
 
-    versions = entity_versions(parsed).persist()
+    matched = match_registry(with_style(entity_versions(parsed), **criteria), registry).persist()
     try:
-        resolved = resolve(versions, registry, **criteria)
+        resolved = resolve_matched(matched, registry, resolutions)
         if exit_on_missing_schema:
-            _stop_on_missing(versions, registry, resolved.invalid, criteria)
+            _stop_on_missing(matched, resolved.invalid)
     finally:
-        versions.unpersist()
+        matched.unpersist()
 
     state = table.evolve(spark, root, state, resolved.fields, max_columns, column_delay)
     transformed = transform_events(
@@ -92,9 +94,8 @@ def load_batch(lines: DataFrame, batch_id: str, root: str, registry: DataFrame,
     return state
 
 
-def _stop_on_missing(versions: DataFrame, registry: DataFrame, invalid: tuple[str, ...], criteria: dict) -> None:
-    styled = with_style(versions, **criteria)
-    missing = unresolved(styled, registry).select("uri").distinct().take(SHOWN_SCHEMAS)
+def _stop_on_missing(matched: DataFrame, invalid: tuple[str, ...]) -> None:
+    missing = matched.filter("NOT found").select("uri").distinct().take(SHOWN_SCHEMAS)
     problems = [f"{NOT_FOUND}: {r['uri']}" for r in missing] + [f"{INVALID_SCHEMA}: {u}" for u in invalid]
     if problems:
         raise MissingSchemaError(
@@ -107,8 +108,9 @@ def _write_batch(conformed: DataFrame, batch_id: str, root: str, app: tuple[str,
                  sourced: bool, spread: int | None, send_failed) -> None:
     spark = conformed.sparkSession
     newest = F.max("source_tstamp") if sourced else F.lit(None).cast("timestamp")
-    found = batch_summary(conformed, "load_tstamp", extra=[newest.alias("newest")]).first()
-    if found is None:
+    loaded = F.min("load_tstamp").alias("load_tstamp")
+    found = batch_summary(conformed, extra=[newest.alias("newest"), loaded]).first()
+    if found["n_events"] == 0:
         return
     latency = _millis_since(found["newest"])
     if found["n_good"] > 0:
@@ -117,9 +119,8 @@ def _write_batch(conformed: DataFrame, batch_id: str, root: str, app: tuple[str,
     e2e = _millis_since(found["earliest_collector_tstamp"])
     if found["n_bad"] > 0:
         send_failed(serialised(failed_events(conformed, processor(*app)), max_failed_bytes), root, batch_id)
-    row = [(found["load_tstamp"], found["n_events"], found["n_good"], found["n_bad"], found["n_bytes"],
-            found["earliest_collector_tstamp"], latency, e2e)]
-    table.write_metrics(spark.createDataFrame(row, METRICS_SCHEMA), root, batch_id)
+    row = {**found.asDict(), "latency_millis": latency, "e2e_latency_millis": e2e}
+    table.write_metrics(table.one_row(spark, row, METRICS_SCHEMA), root, batch_id)
 
 
 def load_lines(lines: DataFrame, batch_id: str, root: str, registry: DataFrame, atomic: T.StructType,
@@ -143,11 +144,13 @@ def run_stream(lines: DataFrame, root: str, registry: DataFrame, atomic: T.Struc
     state = {"known": table.create_if_missing(spark, root, table.initial_schema(
         atomic, options.get("unstruct", "unstruct_event"), options.get("contexts", ("contexts", "derived_contexts"))
     ))}
+    resolutions: dict[frozenset, Resolved] = {}
     stamped = lines.withColumn("load_tstamp", F.current_timestamp())
 
     def load(batch: DataFrame, batch_id: int) -> None:
         state["known"] = load_batch(
-            batch, f"{loader}-{batch_id}", root, registry, atomic, known=state["known"], **options
+            batch, f"{loader}-{batch_id}", root, registry, atomic, known=state["known"],
+            resolutions=resolutions, **options
         )
 
     return (

@@ -139,6 +139,20 @@ def test_two_loaders_keep_each_others_columns(spark, tmp_path):
     assert again == table.load_state(spark, root).schema.fieldNames() and again[0] == "a"
 
 
+def test_a_denied_lookup_falls_back_to_creating(spark, tmp_path, monkeypatch):
+    root, base = str(tmp_path), T.StructType([T.StructField("a", T.StringType(), False)])
+    lookup, calls = table.load_state, []
+
+    def denied_once(*args):
+        calls.append(args)
+        if len(calls) == 1:
+            raise table.PySparkException("access denied")
+        return lookup(*args)
+
+    monkeypatch.setattr(table, "load_state", denied_once)
+    assert table.create_if_missing(spark, root, base, NOW).schema == base
+
+
 def test_column_cap_pauses_evolution(spark, tmp_path):
     root, delay = str(tmp_path), datetime.timedelta(seconds=300)
     state = table.create_if_missing(spark, root, T.StructType([T.StructField("a", T.StringType())]), NOW)
