@@ -13,6 +13,7 @@ from sluiceway.functions.sql import every, name, quoted
 TSTAMP_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,6})?$"
 ENTITY = "struct<schema:string,data:variant>"
 ENTITY_TEXT = "struct<schema:string,data:string>"
+ENTITY_KEY = "struct<schema:string>"
 
 
 def payload_text(value: Column, dtype: T.DataType) -> Column:
@@ -47,14 +48,18 @@ def entities_of(text: Column, kind: str, enveloped: bool, element: str = ENTITY)
 
 def parse_lines(lines: DataFrame, atomic: T.StructType, unstruct: str = "unstruct_event",
                 contexts: tuple[str, ...] = ("contexts", "derived_contexts"),
-                enveloped: bool = True) -> DataFrame:
+                enveloped: bool = True, with_data: bool = True) -> DataFrame:
     """Parse ``value`` into the atomic columns.
 
     Adds ``payload`` (text of the line), ``n_bytes`` (of every line, good or bad), ``parse_errors``
     (empty for a good event), ``unstruct_entity`` and ``context_entities``. The two entity columns
     hold null for an absent entity and an empty array for no contexts. A bad line has nulls in all
     atomic columns. Other columns of ``lines`` pass through.
+
+    With ``with_data=False`` the entities carry their schema key only, which is all that finding the
+    schemas of a batch needs; the data of the entities is then never decoded.
     """
+    element = ENTITY if with_data else ENTITY_KEY
     contexts = tuple(c for c in contexts if c in atomic.fieldNames())
     value_type = lines.schema["value"].dataType
     extra = [c for c in lines.columns if c != "value"]
@@ -72,8 +77,8 @@ def parse_lines(lines: DataFrame, atomic: T.StructType, unstruct: str = "unstruc
           if not isinstance(f.dataType, T.StringType)],
     )
     with_entities = typed.withColumns({
-        "unstruct_": entities_of(F.col(unstruct), "unstruct", enveloped),
-        **{f"contexts_{c}_": entities_of(F.col(c), "contexts", enveloped) for c in contexts},
+        "unstruct_": entities_of(F.col(unstruct), "unstruct", enveloped, element),
+        **{f"contexts_{c}_": entities_of(F.col(c), "contexts", enveloped, element) for c in contexts},
     })
 
     # Whether a line is good is one boolean; error records are built for bad lines only.
@@ -103,7 +108,7 @@ def parse_lines(lines: DataFrame, atomic: T.StructType, unstruct: str = "unstruc
         ELSE array_compact(array({', '.join(bad)})) END"""
     with_entities = with_entities.withColumn("fine_", F.expr(every(fine)))
     # A line that does not parse yields no values at all, only its payload and its errors.
-    none = F.array().cast(f"array<{ENTITY}>")
+    none = F.array().cast(f"array<{element}>")
     found = [F.coalesce(F.col(f"contexts_{c}_"), none) for c in contexts]
     return with_entities.select(
         *extra, "payload", "n_bytes",

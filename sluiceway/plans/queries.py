@@ -54,13 +54,17 @@ def scratch(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/sluiceway-{uuid.uuid4().hex}"
 
 
-def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _parsed(spark: SparkSession, sf_dir: str, with_data: bool = True) -> DataFrame:
     configure(spark)
-    return parse_lines(X.enriched_lines(spark, sf_dir), X.ATOMIC, **X.LAYOUT)
+    return parse_lines(X.enriched_lines(spark, sf_dir), X.ATOMIC, **X.LAYOUT, with_data=with_data)
 
 
-def _resolved(parsed: DataFrame, registry: DataFrame, **criteria) -> Resolved:
-    versions = entity_versions(parsed).persist()
+def _versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return entity_versions(_parsed(spark, sf_dir, with_data=False))
+
+
+def _resolved(keys: DataFrame, registry: DataFrame, **criteria) -> Resolved:
+    versions = entity_versions(keys).persist()
     try:
         return resolve(versions, registry, **criteria)
     finally:
@@ -69,7 +73,8 @@ def _resolved(parsed: DataFrame, registry: DataFrame, **criteria) -> Resolved:
 
 def _transformed(spark: SparkSession, sf_dir: str, registry: DataFrame | None = None, **criteria) -> DataFrame:
     parsed = _parsed(spark, sf_dir)
-    resolved = _resolved(parsed, registry or _registry(spark), **criteria)
+    keys = _parsed(spark, sf_dir, with_data=False)
+    resolved = _resolved(keys, registry or _registry(spark), **criteria)
     return transform_events(parsed, X.ATOMIC, resolved, F.lit(LOAD_TSTAMP), **X.LAYOUT, **criteria,
                             keep=("event_id", "collector_tstamp"))
 
@@ -78,19 +83,19 @@ def _transformed(spark: SparkSession, sf_dir: str, registry: DataFrame | None =
 
 def parse_good_bad(spark, sf_dir):
     status = F.when(F.size("parse_errors") == 0, "good").otherwise("bad").alias("status")
-    return _parsed(spark, sf_dir).groupBy(status).agg(F.count("*").alias("n_events"))
+    return _parsed(spark, sf_dir, with_data=False).groupBy(status).agg(F.count("*").alias("n_events"))
 
 
 def parse_failures(spark, sf_dir):
     error = F.get("parse_errors", F.lit(0))
-    return bad_lines(_parsed(spark, sf_dir)).select(
+    return bad_lines(_parsed(spark, sf_dir, with_data=False)).select(
         "payload", error["error"].alias("error"), error["value"].alias("found"), error["expected"].alias("expected")
     )
 
 
 def payload_bytes(spark, sf_dir):
     status = F.when(F.size("parse_errors") == 0, "good").otherwise("bad").alias("status")
-    return _parsed(spark, sf_dir).groupBy(status).agg(F.sum("n_bytes").alias("n_bytes"))
+    return _parsed(spark, sf_dir, with_data=False).groupBy(status).agg(F.sum("n_bytes").alias("n_bytes"))
 
 
 def payload_as_utf8(spark, sf_dir):
@@ -126,28 +131,28 @@ def contexts_concat(spark, sf_dir):
 # Entities and naming
 
 def entity_counts(spark, sf_dir):
-    return entity_versions(_parsed(spark, sf_dir)).drop("uri")
+    return _versions(spark, sf_dir).drop("uri")
 
 
 def column_names_v2(spark, sf_dir):
-    versions = entity_versions(_parsed(spark, sf_dir))
+    versions = _versions(spark, sf_dir)
     name = column_name(*[F.col(c) for c in ("entity", "vendor", "name", "model")])
     return versions.groupBy(name.alias("column_name")).agg(F.sum("occurrences").alias("occurrences"))
 
 
 def column_names_legacy(spark, sf_dir):
-    versions = entity_versions(_parsed(spark, sf_dir))
+    versions = _versions(spark, sf_dir)
     parts = [F.col(c) for c in ("entity", "vendor", "name", "model", "revision", "addition")]
     return versions.select(legacy_column_name(*parts).alias("column_name"), "occurrences")
 
 
 def skip_schemas(spark, sf_dir):
-    kept = with_style(entity_versions(_parsed(spark, sf_dir)), X.SKIP, X.LEGACY)
+    kept = with_style(_versions(spark, sf_dir), X.SKIP, X.LEGACY)
     return kept.select("uri", "style", "occurrences")
 
 
 def legacy_selection(spark, sf_dir):
-    versions = entity_versions(_parsed(spark, sf_dir))
+    versions = _versions(spark, sf_dir)
     chosen = with_style(versions, X.SKIP, X.LEGACY).filter(F.col("style") == LEGACY_STYLE)
     everything = with_style(versions, X.SKIP, X.LEGACY, legacy_mode=True)
     return chosen.select(F.lit("criteria").alias("chosen_by"), "uri", "occurrences").unionByName(
@@ -158,16 +163,16 @@ def legacy_selection(spark, sf_dir):
 # Registry
 
 def resolve_schemas(spark, sf_dir):
-    versions = entity_versions(_parsed(spark, sf_dir))
+    versions = _versions(spark, sf_dir)
     return match_registry(versions, _registry(spark)).select("uri", "found", "occurrences")
 
 
 def unresolved_schemas(spark, sf_dir):
-    return unresolved(entity_versions(_parsed(spark, sf_dir)), _registry(spark)).select("uri", "occurrences")
+    return unresolved(_versions(spark, sf_dir), _registry(spark)).select("uri", "occurrences")
 
 
 def any_unresolved(spark, sf_dir):
-    matched = match_registry(entity_versions(_parsed(spark, sf_dir)), _registry(spark))
+    matched = match_registry(_versions(spark, sf_dir), _registry(spark))
     return matched.agg(F.bool_or(~F.col("found")).alias("any_unresolved"))
 
 
@@ -324,7 +329,7 @@ def _narrow_table(resolved: Resolved) -> T.StructType:
 
 def row_conformance(spark, sf_dir):
     parsed = _parsed(spark, sf_dir)
-    resolved = _resolved(parsed, _registry(spark))
+    resolved = _resolved(_parsed(spark, sf_dir, with_data=False), _registry(spark))
     transformed = transform_events(parsed, X.ATOMIC, resolved, F.lit(LOAD_TSTAMP), **X.LAYOUT, keep=("event_id",))
     failed = failures(conform(transformed, _narrow_table(resolved)), "event_id")
     return failed.filter(F.col("failure.kind") == E.RUNTIME).select("event_id", F.inline("failure.errors"))
@@ -337,7 +342,7 @@ def _occurrences_by_column(parsed: DataFrame) -> DataFrame:
 
 def schema_diff(spark, sf_dir):
     """Columns for which the table has to change, with the entities in the data that need them."""
-    parsed = _parsed(spark, sf_dir)
+    parsed = _parsed(spark, sf_dir, with_data=False)
     resolved = _resolved(parsed, _registry(spark))
     wanted = [f.name for f in fields_to_alter(_narrow_table(resolved), resolved.fields)]
     return _occurrences_by_column(parsed).filter(F.col("column_name").isin(wanted))
@@ -345,7 +350,7 @@ def schema_diff(spark, sf_dir):
 
 def schema_merge(spark, sf_dir):
     """Paths of the merged table schema, with the entities in the data that fill them."""
-    parsed = _parsed(spark, sf_dir)
+    parsed = _parsed(spark, sf_dir, with_data=False)
     resolved = _resolved(parsed, _registry(spark))
     merged = merge_columns(_narrow_table(resolved), resolved.fields)
     paths = spark.createDataFrame(flat_paths(merged), "path string, type string, nullable boolean")

@@ -70,7 +70,8 @@ def load_batch(lines: DataFrame, batch_id: str, root: str, registry: DataFrame,
     sourced = "source_tstamp" in lines.columns
     parsed = parse_lines(lines, atomic, **parsing)
 
-    matched = match_registry(with_style(entity_versions(parsed), **criteria), registry).persist()
+    versions = entity_versions(parse_lines(lines, atomic, **parsing, with_data=False))
+    matched = match_registry(with_style(versions, **criteria), registry).persist()
     try:
         resolved = resolve_matched(matched, registry, resolutions)
         if exit_on_missing_schema:

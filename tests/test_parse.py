@@ -89,6 +89,15 @@ def test_invalid_utf8_in_a_binary_line(spark):
     assert row["n_bytes"] == 4
 
 
+def test_keys_alone(spark):
+    text = line(unstruct=entity("cart", {"itemCount": 1}), contexts=[entity("a", {})])
+    row = parse_lines(lines_of(spark, text), ATOMIC, with_data=False).first()
+    assert row["parse_errors"] == [] and row["unstruct_entity"].asDict() == {"schema": uri("cart")}
+    assert [c.asDict() for c in row["context_entities"]] == [{"schema": uri("a")}]
+    plan = parse_lines(lines_of(spark, text), ATOMIC, with_data=False)._jdf.queryExecution().optimizedPlan().toString()
+    assert "VariantType" not in plan
+
+
 def test_good_and_bad_split(spark):
     parsed = parse(spark, line(), "x", line("e2"))
     assert {r["event_id"] for r in good_events(parsed, "event_id").collect()} == {"e1", "e2"}
