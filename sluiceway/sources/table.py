@@ -164,7 +164,12 @@ def nullable(dtype: T.DataType) -> T.DataType:
 def read_table(spark: SparkSession, root: str) -> DataFrame:
     """The whole table under its current schema. Filters on ``load_date`` prune directories."""
     schema = T.StructType(nullable(load_state(spark, root).schema).fields + PARTITIONS.fields)
-    return spark.read.schema(schema).option("basePath", f"{root}/events").parquet(f"{root}/events")
+    try:
+        return spark.read.schema(schema).option("basePath", f"{root}/events").parquet(f"{root}/events")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":  # no row has been loaded yet
+            return spark.createDataFrame([], schema)
+        raise
 
 
 def write_failed(serialised: DataFrame, root: str, batch_id: str) -> None:

@@ -46,6 +46,7 @@ def test_good_batch(spark, registry, tmp_path):
 def test_batch_of_bad_lines_only(spark, registry, tmp_path):
     load(spark, tmp_path, registry, "b-0", "x", "yy")
     assert not (tmp_path / "events").exists()
+    assert table.read_table(spark, str(tmp_path)).count() == 0
     assert table.read_failed(spark, str(tmp_path)).count() == 2
     row = metrics(spark, tmp_path)["b-0"]
     assert (row["n_good"], row["n_bad"], row["n_bytes"]) == (0, 2, 3)
