@@ -7,10 +7,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from sluiceway.plans.oracles import all_oracles
+from sluiceway.plans.queries import all_queries
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
-QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 
 
 @pytest.fixture(scope="module")
@@ -41,5 +43,10 @@ def test_query_matches_sql(spark, duck, name):
     assert ours == theirs and ours
 
 
+def test_all_are_registered():
+    assert set(QUERIES) <= set(driver.queries())
+    assert set(ORACLES) <= set(driver.oracle_sql())
+
+
 def test_entry(spark):
     assert driver.entry(spark).count() > 0
