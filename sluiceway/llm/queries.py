@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.llm import line_dedup, mixing, quality_rules, secrets
+from sluiceway.llm import decontamination, line_dedup, mixing, near_dedup, quality_rules, secrets
 from sluiceway.llm.oracles import ORACLES
 from sluiceway.llm.stage import written
 
@@ -26,6 +26,21 @@ def line_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "n_lines", "n_removed", "n_chunks", _sha(F.col("kept")).alias("kept_sha256"))
 
 
+def decontamination_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    found = decontamination.scan(docs, items, F.struct("doc_id"))
+    return found.select(
+        "row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        _sha(F.array_join("items", ",")).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def near_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.classes(_table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept"))
+
+
 def mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = written(mixing.sized(_table(spark, sf_dir, "documents"), F.struct("doc_id")))
     return mixing.assigned(sizes).select("row.doc_id", "size", "source_size", "target", "taken")
@@ -51,6 +66,8 @@ def quality_rules_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES = {
     "op1_line_dedup": line_dedup_query,
+    "op2_decontamination": decontamination_query,
+    "op4_minhash_near_dedup": near_dedup_query,
     "op5_mixing": mixing_query,
     "op7_secret_scan": secrets_query,
     "op10_quality_rules": quality_rules_query,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterable
@@ -23,13 +25,28 @@ def shared_folder(spark: SparkSession) -> str:
     """`spark.checkpoint.dir`; a temporary folder is made only for a session in one process, as in tests."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not spark.sparkContext.master.startswith(("local[", "local")) or spark.sparkContext.master.startswith("local-cluster"):
+        if not _one_process(spark):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="sluiceway-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+def _one_process(spark: SparkSession) -> bool:
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
+def importable(spark: SparkSession) -> None:
+    """Sends this package to Python workers that would not find it by themselves."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    context = spark.sparkContext
+    if root not in map(os.path.abspath, known) and not any(p.startswith("sluiceway-") for p in context._python_includes):
+        archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(), f"sluiceway-{os.getpid()}"), "zip", root, "sluiceway")
+        context.addPyFile(archive)
+
+
 def written(frame: DataFrame) -> DataFrame:
     """The rows, written to the shared folder and read again: later jobs do not depend on what made them."""
     spark = frame.sparkSession

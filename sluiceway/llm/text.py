@@ -13,6 +13,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import SparkSession
 
+from sluiceway.llm.stage import importable
+
 SLICE = 1 << 20
 BATCH_BYTES = 4 << 20
 _ONE = np.uint64(1)
@@ -20,6 +22,7 @@ _ONE = np.uint64(1)
 
 def bounded_batches(spark: SparkSession) -> None:
     """Arrow batches by bytes, as thousands of long texts would not fit a Python worker."""
+    importable(spark)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
