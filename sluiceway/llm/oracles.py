@@ -99,6 +99,18 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(p.n, 0)::BIGINT AS n_hit, coa
 FROM d LEFT JOIN p USING (doc_id) LEFT JOIN m USING (doc_id)
 """
 
+SUBSTRING_DEDUP = r"""
+WITH w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, s, array_to_string(w[s:s + 34], ' ') AS gram FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS s FROM w)),
+r AS (SELECT doc_id, s FROM (SELECT doc_id, s, count(*) OVER (PARTITION BY gram) AS n FROM s) WHERE n > 1),
+p AS (SELECT doc_id, list(DISTINCT p) AS gone FROM (SELECT doc_id, unnest(range(s, s + 35)) AS p FROM r) GROUP BY doc_id),
+k AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept FROM (
+  SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM w) ANTI JOIN (SELECT doc_id, unnest(gone) AS i FROM p) USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN p USING (doc_id) LEFT JOIN k USING (doc_id)
+"""
+
 NEAR_DEDUP = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -118,6 +130,7 @@ FROM documents JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)
 
 ORACLES = {
     "op2_decontamination": DECONTAMINATION,
+    "op3_substring_dedup": SUBSTRING_DEDUP,
     "op4_minhash_near_dedup": NEAR_DEDUP,
     "op1_line_dedup": LINE_DEDUP,
     "op5_mixing": MIXING,

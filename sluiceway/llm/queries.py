@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.llm import decontamination, line_dedup, mixing, near_dedup, quality_rules, secrets
+from sluiceway.llm import decontamination, line_dedup, mixing, near_dedup, quality_rules, secrets, substring_dedup
 from sluiceway.llm.oracles import ORACLES
 from sluiceway.llm.stage import written
 
@@ -35,6 +35,11 @@ def decontamination_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def substring_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.dedup(_table(spark, sf_dir, "documents"), F.struct("doc_id"))
+    return out.select("row.doc_id", "n_words", "n_removed", _sha(F.col("kept")).alias("kept_sha256"))
+
+
 def near_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup.classes(_table(spark, sf_dir, "documents"))
     return found.select(
@@ -67,6 +72,7 @@ def quality_rules_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 _QUERIES = {
     "op1_line_dedup": line_dedup_query,
     "op2_decontamination": decontamination_query,
+    "op3_substring_dedup": substring_dedup_query,
     "op4_minhash_near_dedup": near_dedup_query,
     "op5_mixing": mixing_query,
     "op7_secret_scan": secrets_query,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import shutil
 import tempfile
@@ -53,3 +54,9 @@ def written(frame: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark)}/{uuid.uuid4().hex}.parquet"
     frame.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of plans that nobody holds any more, before the next large shuffle."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
