@@ -196,7 +196,8 @@ def _whole_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             number = np.maximum(np.minimum(number, size - WINDOW + 1), 0)
             row = np.repeat(np.arange(part.num_rows), number)
             step = np.arange(len(row)) - np.repeat(np.cumsum(number) - number, number)
-            window = sequence_hashes(flat, first[row] + step, np.full(len(row), WINDOW), 4)
+            # With the anchor's place in it: a window that holds an anchor twice is not its own copy.
+            window = mixed(sequence_hashes(flat, first[row] + step, np.full(len(row), WINDOW), 4) ^ (back[row] - step).astype(np.uint64), 4)
             take = pa.array(row)
             start = (place >> 2 * _BITS)[row] - back[row] + step
             yield pa.RecordBatch.from_arrays(
