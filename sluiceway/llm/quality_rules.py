@@ -12,6 +12,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluiceway.llm.stage import col, late, packed
+
 BLANKS = r"[ \t-\r]+"
 SYMBOLS = r"[#*$%&|<>]"
 # Frequent function words of the four languages.
@@ -38,7 +40,7 @@ def measured(docs: DataFrame, text: str = "text", keep: Iterable[str] | None = N
     columns = docs.columns if keep is None else list(keep)
     # Names of our own only, so that a column of the documents may have any name.
     staged = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_text")
+        packed(columns).alias("row"), F.coalesce(col(text), F.lit("")).alias("_text")
     )
     words = F.array_remove(F.split("_text", BLANKS), "")
     lines = F.filter(F.split("_text", "\n"), lambda x: x.rlike(r"[^ \t-\r]"))
@@ -94,4 +96,4 @@ def verdict(rules: Iterable[tuple[str, str, float | None, float | None]] = RULES
 
 def filter_documents(docs: DataFrame, text: str = "text", rules: Iterable = RULES) -> DataFrame:
     """The documents that pass the base rules and the table, with their own columns."""
-    return measured(docs, text).where(~base_failed() & verdict(rules)).select("row.*")
+    return measured(docs, text).where(late(~base_failed() & verdict(rules))).select("row.*")

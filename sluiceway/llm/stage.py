@@ -22,6 +22,11 @@ def packed(columns: Iterable[str]) -> Column:
     return F.struct(*[col(c) for c in columns])
 
 
+def late(condition: Column) -> Column:
+    """The condition, for a filter that Spark must not move below the projections that compute its columns (and so compute them twice)."""
+    return F.when(F.rand() >= 0, condition)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """`spark.checkpoint.dir`; a temporary folder is made only for a session in one process, as in tests."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
