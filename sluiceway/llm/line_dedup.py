@@ -50,7 +50,8 @@ def repeated(docs: DataFrame, id_column: str = "doc_id", text: str = "text", lea
     some = chunked(docs, id_column, text, F.lit(0))
     wordy = lambda c: F.size(F.filter(F.slice("lines", c["start"] + 1, c["end"] - c["start"]), lambda x: x.rlike(_WORD))) >= least
     staged = some.withColumn("chunks", F.filter("chunks", wordy))
-    staged = staged.select("id", "lines", F.explode("chunks").alias("c"))
+    # With explode Spark would add a filter on the size of `chunks` and compute them anew for it, below all projections.
+    staged = staged.select("id", "lines", F.explode_outer("chunks").alias("c")).where("c IS NOT NULL")
     staged = staged.select("id", F.col("c.start").alias("start"), _text_of(F.col("c")).alias("chunk"))
     staged = staged.withColumn("key", F.xxhash64("chunk"))
     # Keys alone are counted first, with partial sums: most chunks are unique and go no further.

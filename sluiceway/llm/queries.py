@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.llm import decontamination, line_dedup, mixing, near_dedup, quality_rules, secrets, substring_dedup
+from sluiceway.llm import (
+    decontamination, language_id, line_dedup, mixing, near_dedup, quality_classifier, quality_rules, secrets, substring_dedup, toxicity,
+)
 from sluiceway.llm.oracles import ORACLES
 from sluiceway.llm.stage import written
 
@@ -61,6 +63,37 @@ def secrets_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _turn(parts: int) -> Column:
+    """The remainder by which ids are dealt into folds."""
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(parts))
+
+
+def _labelled(spark: SparkSession, sf_dir: str, label: str, parts: int, held_out: int) -> DataFrame:
+    """Text and label of the documents to learn from."""
+    labels = _table(spark, sf_dir, "labels").select(F.col("doc_id").alias("_id"), F.col(label).alias("label"))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text").where(_turn(parts) != held_out)
+    return docs.join(labels, F.col("doc_id") == F.col("_id")).select("doc_id", "text", "label")
+
+
+def language_id_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = language_id.fit(docs.where(_turn(4) != 2))
+    found = language_id.identify(docs, model, F.struct("doc_id", (_turn(4) == 2).alias("held_out")))
+    return found.select("row.doc_id", "row.held_out", F.col("language").alias("lang_pred"), "score", "rejected")
+
+
+def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lexicon = toxicity.fit(_labelled(spark, sf_dir, "toxic", 3, 1))
+    found = toxicity.score(_table(spark, sf_dir, "documents"), lexicon, F.struct("doc_id", (_turn(3) == 1).alias("held_out")))
+    return found.select("row.doc_id", "row.held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def quality_classifier_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = quality_classifier.fit(_labelled(spark, sf_dir, "quality", 5, 0))
+    found = quality_classifier.score(_table(spark, sf_dir, "documents"), model, F.struct("doc_id", (_turn(5) == 0).alias("held_out")))
+    return found.select("row.doc_id", "row.held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def quality_rules_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules.measured(_table(spark, sf_dir, "documents"), keep=["doc_id"])
     return out.select(
@@ -75,7 +108,10 @@ _QUERIES = {
     "op3_substring_dedup": substring_dedup_query,
     "op4_minhash_near_dedup": near_dedup_query,
     "op5_mixing": mixing_query,
+    "op6_language_id": language_id_query,
     "op7_secret_scan": secrets_query,
+    "op8_toxicity": toxicity_query,
+    "op9_quality_classifier": quality_classifier_query,
     "op10_quality_rules": quality_rules_query,
 }
 
