@@ -33,7 +33,8 @@ from sluiceway.llm.text import Words, bounded_batches, minimum_by, mixed, sequen
 WINDOW = 35
 ANCHOR = 12
 STARTS = WINDOW - ANCHOR + 1
-GROUP = 4096
+GROUP = 1 << 16
+BATCH = 4096
 _RANK_BITS = np.uint64(40)
 _BITS = 6
 
@@ -160,7 +161,7 @@ def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rest.append(batch)
         held += batch.num_rows
-        if held >= GROUP:
+        if held >= BATCH:
             table = pa.Table.from_batches(rest)
             anchor = table.column("anchor").to_numpy()
             changes = np.flatnonzero(anchor[1:] != anchor[:-1]) + 1
@@ -174,10 +175,10 @@ def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _runs(changes: np.ndarray, cut: int) -> Iterator[tuple[int, int]]:
-    """Ranges of whole groups with about GROUP rows."""
+    """Ranges of whole groups with about BATCH rows."""
     first = 0
     for end in changes.tolist():
-        if end <= cut and (end - first >= GROUP or end == cut):
+        if end <= cut and (end - first >= BATCH or end == cut):
             yield first, end
             first = end
 
