@@ -56,7 +56,7 @@ def repeated(docs: DataFrame, id_column: str = "doc_id", text: str = "text", lea
     staged = staged.withColumn("key", F.xxhash64("chunk"))
     # Keys alone are counted first, with partial sums: most chunks are unique and go no further.
     twice = written(staged.groupBy("key").count().where("count > 1").select("key"))
-    found = written(staged.join(twice, "key", "left_semi"))
+    found = written(staged.join(twice.hint("merge"), "key", "left_semi"))
     place = F.col("id").cast("decimal(28,0)") * F.lit(_PLACES).cast("decimal(11,0)") + F.col("start")
     found = found.withColumn("place", place.cast("decimal(38,0)"))
     # Grouping by the text itself compares the bytes.
