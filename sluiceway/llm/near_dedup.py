@@ -9,9 +9,9 @@ Each representative is posted under its (coordinate, value) pairs. Pairs that on
 with fewer than `MATCHES` left. In the order of rarity, two that agree in `MATCHES` pairs share one among the first
 s - MATCHES + 1 of their s pairs, so only these prefixes are joined: what many documents have by chance is skipped.
 
-A list of a pair may still be long, as all near copies of a text share it. So lists are not joined with themselves at once.
-First, in `ROUNDS` rounds, each representative is compared with one other of its lists, and takes its label if they are linked. Then
-what has not the most frequent label of its list is compared with all of the list that have another label. Every pair that is
+A list of a pair may still be long, as all near copies of a text share it. So lists are not joined with themselves. First, in
+`ROUNDS` rounds, each representative is compared with `LEADS` others that lead its lists, and components of the links become labels. Then
+what has not the most frequent label of its list is compared with all of that label, in blocks of texts. Every pair that is
 left out has a common label, and so a path of confirmed links. Links are counted on the full sets of both texts.
 
 Rows without an id are linked with nothing and stay. Rows that share an id are one document if their texts are equal.
@@ -33,7 +33,10 @@ from sluiceway.llm.text import Words, bounded_batches, lower_ascii, mixed, seque
 SIMILARITY = 80
 COORDINATES = 64
 MATCHES = 36
-ROUNDS = 3
+ROUNDS = 2
+LEADS = 8
+ASKING = 256
+ASKED = 1024
 
 
 def shingles(words: Words, size: int = 2) -> tuple[np.ndarray, np.ndarray]:
@@ -130,41 +133,109 @@ def _linked(known: DataFrame, members: DataFrame) -> DataFrame:
     wanted = written(lists.select("rep").distinct())
     # Texts of one id are as one: rows that share an id and differ would each be a class of their own.
     texts = written(known.join(wanted, F.col("id") == F.col("rep"), "left_semi").select(F.col("id").alias("rep"), "text").dropDuplicates(["rep"]))
-    labels = wanted.select("rep", F.col("rep").alias("label"))
     links = None
     for turn in range(ROUNDS):
-        entries = lists.join(labels, "rep")
-        rank = F.xxhash64(F.lit(turn), "rep")
-        lead = entries.groupBy("pair").agg(
-            F.min_by("rep", rank).alias("lead"), F.min_by("label", rank).alias("lead_label"), F.min(rank).alias("rank"), F.min("label").alias("low"), F.max("label").alias("high"))
-        lead = written(lead.where("low <> high").drop("low", "high"))
-        # One comparison for each representative: the first of the leaders of its lists.
-        pairs = entries.join(lead, "pair").where("label <> lead_label").groupBy("rep").agg(F.min_by("lead", "rank").alias("lead"))
-        found = written(_confirmed(pairs.select(F.col("rep").alias("a"), F.col("lead").alias("b")), texts))
+        entries = lists if links is None else lists.join(labels, "rep", "left")
+        label = F.col("rep") if links is None else F.coalesce("least", "rep")
+        entries = entries.withColumn("label", label).select("pair", "rep", "label")
+        found = written(_confirmed(_led(entries, turn), texts))
         links = found if links is None else links.union(found)
-        # a takes the label of b, and then what that has taken.
-        step = written(labels.join(found, F.col("rep") == F.col("a"), "left").select("rep", "label", F.coalesce("b", "rep").alias("to")))
-        by = step.select(F.col("rep").alias("to"), F.when(F.col("to") == F.col("rep"), F.col("label")).otherwise(F.col("to")).alias("next"))
-        labels = written(step.join(by, "to").select("rep", F.when(F.col("to") == F.col("rep"), F.col("label")).otherwise(F.col("next")).alias("label")))
-    found = written(_confirmed(_left_over(lists, labels, members), texts))
+        labels = components(links).withColumnRenamed("node", "rep")
+    entries = written(lists.join(labels, "rep", "left").select("pair", "rep", F.coalesce("least", "rep").alias("label")))
+    found = written(_left_over(entries, texts))
     return written(components(links.union(found)))
 
 
-def _left_over(lists: DataFrame, labels: DataFrame, members: DataFrame) -> DataFrame:
-    """Pairs of a list with different labels that agree in enough coordinates."""
-    entries = written(lists.join(labels, "rep"))
+def _led(entries: DataFrame, turn: int) -> DataFrame:
+    """For each representative at most LEADS others with another label, each the leader of one of its lists; leaders are drawn anew in each turn."""
+    rank = F.xxhash64(F.lit(turn), "rep", "pair")
+    lead = entries.groupBy("pair").agg(
+        F.min_by("rep", rank).alias("lead"), F.min_by("label", rank).alias("lead_label"), F.min("label").alias("low"), F.max("label").alias("high"))
+    lead = written(lead.where("low <> high").drop("low", "high"))
+    pairs = entries.join(lead, "pair").where("label <> lead_label").groupBy("rep").agg(F.collect_set("lead").alias("leads"))
+    ordered = F.transform(F.slice(F.sort_array(F.transform("leads", lambda x: F.struct(F.xxhash64(x, "rep").alias("r"), x.alias("x")))), 1, LEADS), lambda y: y["x"])
+    return pairs.select(F.col("rep").alias("a"), F.explode(ordered).alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _left_over(entries: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between different labels that share a list.
+
+    The most frequent label of a list stands for it. All others of the list are asked: each is compared with every member of that label, and with all
+    that are asked for it. Askers and those they ask are cut into blocks, and each pair of blocks is one unit of work with a bounded
+    number of texts, of which only the links come out.
+    """
     counts = entries.groupBy("pair", "label").agg(F.count("*").alias("n"))
     main = counts.groupBy("pair").agg(F.max_by("label", "n").alias("main"), F.count("*").alias("labels")).where("labels > 1").drop("labels")
-    main = written(main)
-    open_lists = written(entries.join(main, "pair"))
-    few = open_lists.where("label <> main").select("pair", F.col("rep").alias("a"), F.col("label").alias("label_a"))
-    pairs = few.join(open_lists, "pair").where("label <> label_a AND (label = main OR a < rep)")
-    pairs = pairs.select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct()
-    signatures = members.where("signature IS NOT NULL").dropDuplicates(["rep"])
-    pairs = pairs.join(signatures.select(F.col("rep").alias("a"), F.col("signature").alias("sa")), "a")
-    pairs = pairs.join(signatures.select(F.col("rep").alias("b"), F.col("signature").alias("sb")), "b")
-    equal = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda x: x))
-    return pairs.where(equal >= MATCHES).select("a", "b")
+    asking = entries.join(written(main), "pair").where("label <> main").select("main", "rep", "label").distinct()
+    asking = written(asking)
+    labels = entries.select("rep", "label").distinct()
+    asked = labels.join(asking.select("main").distinct(), F.col("label") == F.col("main")).select("main", "rep", "label")
+    both = asked.withColumn("asks", F.lit(False)).union(asking.withColumn("asks", F.lit(True)))
+    blocks = written(both.groupBy("main").agg(
+        F.ceil(F.sum(F.col("asks").cast("int")) / ASKING).cast("int").alias("rows"), F.ceil(F.count("*") / ASKED).cast("int").alias("columns")))
+    both = both.join(blocks, "main").withColumns({"r": F.pmod(F.xxhash64("rep"), F.col("rows")), "c": F.pmod(F.xxhash64("rep", F.lit(1)), F.col("columns"))})
+    every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    units = both.where("asks").select("main", F.col("r").cast("int").alias("r"), F.explode(every("columns")).alias("c"), "rep", "label", "asks").union(
+        both.select("main", F.explode(every("rows")).alias("r"), F.col("c").cast("int").alias("c"), "rep", "label", F.lit(False)))
+    units = units.select(F.xxhash64("main", "r", "c").alias("unit"), "rep", "label", "asks").join(texts, "rep").select("unit", "asks", "rep", "label", "text")
+    return units.repartition("unit").sortWithinPartitions("unit").mapInArrow(_unit_links, "a long, b long")
+
+
+def _unit_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of each unit. Rows come in order of their units."""
+    rest: list[pa.RecordBatch] = []
+    for batch in batches:
+        rest.append(batch)
+        unit = batch.column("unit").to_numpy()
+        if rest[0].column("unit")[0].as_py() != unit[-1]:
+            table = pa.Table.from_batches(rest).combine_chunks()
+            unit = table.column("unit").to_numpy()
+            changes = (np.flatnonzero(unit[1:] != unit[:-1]) + 1).tolist()
+            for a, b in zip([0, *changes[:-1]], changes):
+                yield from _linked_blocks(table.slice(a, b - a))
+            rest = table.slice(changes[-1]).combine_chunks().to_batches()
+    if rest:
+        table = pa.Table.from_batches(rest).combine_chunks()
+        unit = table.column("unit").to_numpy()
+        changes = (np.flatnonzero(unit[1:] != unit[:-1]) + 1).tolist()
+        for a, b in zip([0, *changes], [*changes, table.num_rows]):
+            yield from _linked_blocks(table.slice(a, b - a))
+
+
+def _linked_blocks(unit: pa.Table) -> Iterator[pa.RecordBatch]:
+    """Links between the texts that ask and those that are asked, with different labels."""
+    asks = unit.column("asks").to_numpy()
+    chars, fold = space_words(), lower_ascii()
+    sides = []
+    for mask in (asks, ~asks):
+        part = unit.filter(pa.array(mask))
+        if not part.num_rows:
+            return
+        owner, hashes = shingles(Words(part.column("text").combine_chunks(), chars, fold))
+        sides.append((part.column("rep").to_numpy(), part.column("label").to_numpy(), np.bincount(owner, minlength=part.num_rows), owner, hashes))
+    (rep_a, label_a, size_a, owner_a, hash_a), (rep_b, label_b, size_b, owner_b, hash_b) = sides
+    order = np.argsort(hash_a, kind="stable")
+    owner_a, hash_a = owner_a[order], hash_a[order]
+    first = np.searchsorted(hash_a, hash_b)
+    number = np.searchsorted(hash_a, hash_b, "right") - first
+    total = np.concatenate([[0], np.cumsum(number)])
+    n = len(rep_a)
+    at = 0
+    while at < len(rep_b):
+        # As many of those asked as have about a million shingles in common with those that ask.
+        begin = np.searchsorted(owner_b, at)
+        last = owner_b[min(len(owner_b) - 1, max(begin, int(np.searchsorted(total, total[begin] + (1 << 20))) - 1))] if begin < len(owner_b) else len(rep_b) - 1
+        to = max(at + 1, int(last))
+        end = np.searchsorted(owner_b, to)
+        count = number[begin:end]
+        index = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first[begin:end], count)
+        common = np.bincount((np.repeat(owner_b[begin:end], count) - at) * n + owner_a[index], minlength=(to - at) * n).reshape(to - at, n)
+        linked = 100 * common >= SIMILARITY * (size_b[at:to, None] + size_a[None, :] - common)
+        linked &= (common > 0) & (label_b[at:to, None] != label_a[None, :])
+        b, a = np.nonzero(linked)
+        if len(a):
+            yield pa.RecordBatch.from_arrays([pa.array(rep_a[a]), pa.array(rep_b[at + b])], names=["a", "b"])
+        at = to
 
 
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
