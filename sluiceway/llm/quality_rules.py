@@ -12,7 +12,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.llm.stage import col, late, packed
+from sluiceway.llm.stage import col, packed, where_last
 
 BLANKS = r"[ \t-\r]+"
 SYMBOLS = r"[#*$%&|<>]"
@@ -96,4 +96,4 @@ def verdict(rules: Iterable[tuple[str, str, float | None, float | None]] = RULES
 
 def filter_documents(docs: DataFrame, text: str = "text", rules: Iterable = RULES) -> DataFrame:
     """The documents that pass the base rules and the table, with their own columns."""
-    return measured(docs, text).where(late(~base_failed() & verdict(rules))).select("row.*")
+    return where_last(measured(docs, text), ~base_failed() & verdict(rules)).select("row.*")

@@ -12,6 +12,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluiceway.functions.errors import settled
+
 
 def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
@@ -22,9 +24,9 @@ def packed(columns: Iterable[str]) -> Column:
     return F.struct(*[col(c) for c in columns])
 
 
-def late(condition: Column) -> Column:
-    """The condition, for a filter that Spark must not move below the projections that compute its columns (and so compute them twice)."""
-    return F.when(F.rand() >= 0, condition)
+def where_last(frame: DataFrame, condition: Column) -> DataFrame:
+    """A filter that Spark does not move below the projections that compute its columns, where it would compute them anew for each use."""
+    return settled(frame.withColumn("_passes", condition)).where("_passes").drop("_passes")
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.llm.stage import col, late, written
+from sluiceway.llm.stage import col, written
 from sluiceway.llm.text import Words, bounded_batches, letter_words, lower_ascii, slices
 
 SAMPLE = 24_000
@@ -191,7 +191,7 @@ def _terms(sample: DataFrame) -> dict[str, float]:
     one = words.select("label", F.explode("words").alias("term")).groupBy("term").agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("clean"))
     one = written(one.where("length(term) >= 3"))
     stems = one.select(F.explode(F.array(*[F.when(F.length("term") >= n, F.substring("term", 1, n)) for n in STEM_LENGTHS])).alias("stem"), "toxic", "clean")
-    stems = stems.where(late(F.col("stem").isNotNull())).groupBy("stem").agg(
+    stems = stems.where("stem IS NOT NULL").groupBy("stem").agg(
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.sum((F.col("toxic") > 0).cast("int")).alias("n"))
     odds = (F.col("toxic") + 0.5) / total[1] / ((F.col("clean") + 0.5) / total[0])
     good = (F.col("toxic") >= SUPPORT) & (odds >= ODDS)
