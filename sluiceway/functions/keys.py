@@ -7,11 +7,21 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The schema URI scheme, its grammar and the two column prefixes.
+def _at_most(limit: str) -> str:
+    """Pattern of the whole numbers from 1 to a limit, without leading zeros."""
+    same_length = [
+        f"{limit[:i]}[{0 if i else 1}-{int(digit) - 1}][0-9]{{{len(limit) - i - 1}}}"
+        for i, digit in enumerate(limit) if int(digit) > (0 if i else 1)
+    ]
+    return "|".join([f"[1-9][0-9]{{0,{len(limit) - 2}}}", *same_length, limit])
+
+
+# The schema URI scheme, its grammar and the two column prefixes. A version number fits an int.
 URI_SCHEME = "iglu:"
+_NUMBER = _at_most(str(2**31 - 1))
 URI_PATTERN = (
     r"^iglu:([a-zA-Z0-9_.-]+)/([a-zA-Z0-9_-]+)/([a-zA-Z0-9_-]+)"
-    r"/([1-9][0-9]{0,8})-(0|[1-9][0-9]{0,8})-(0|[1-9][0-9]{0,8})$"
+    rf"/({_NUMBER})-(0|{_NUMBER})-(0|{_NUMBER})$"
 )
 UNSTRUCT_PREFIX = "unstruct_event"
 CONTEXTS_PREFIX = "contexts"
@@ -20,7 +30,7 @@ KEY_PARTS = ("vendor", "name", "format", "model", "revision", "addition")
 
 
 def is_key(uri: Column) -> Column:
-    """Whether a string is a complete schema URI. Nine digits per version number always fit an int."""
+    """Whether a string is a complete schema URI."""
     return uri.rlike(URI_PATTERN)
 
 

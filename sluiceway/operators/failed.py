@@ -32,7 +32,7 @@ def serialised(failed: DataFrame, max_bytes: int = MAX_RECORD_BYTES) -> DataFram
     """One JSON ``value`` per failed event.
 
     A record above the cap is replaced by a size violation that states both sizes and the original
-    kind and shows the start of the payload.
+    kind and shows the start of the payload; ``oversized`` holds the whole payload then, to be kept beside it.
     """
     record = failed.select(
         F.col("kind"), "processor", "payload",
@@ -55,4 +55,5 @@ def serialised(failed: DataFrame, max_bytes: int = MAX_RECORD_BYTES) -> DataFram
     return record.select(
         F.when(F.octet_length("json_") > max_bytes, violation(preview)).otherwise(F.col("json_")).alias("value"),
         F.when(F.octet_length("json_") > max_bytes, F.lit(E.SIZE)).otherwise(F.col("kind")).alias("kind"),
+        F.when(F.octet_length("json_") > max_bytes, F.col("payload")).alias("oversized"),
     )

@@ -108,23 +108,23 @@ def _with_shape(nodes: DataFrame) -> DataFrame:
     )
 
 
-def compile_registry(docs: DataFrame, max_depth: int = 16) -> DataFrame:
+def compile_registry(docs: DataFrame) -> DataFrame:
     """One row per schema: its key, its ``nodes`` (a tree as a list) and whether it is ``legal``.
 
     This is the form the loader resolves against. It is built once and kept, not once per batch.
     """
     node = F.struct("path", "name", "kind", "nullable")
     by_schema = ["uri", "vendor", F.col("schema_name").alias("name"), "format", "model", "revision", "addition"]
-    return field_catalog(docs, max_depth).groupBy(*by_schema).agg(
+    return field_catalog(docs).groupBy(*by_schema).agg(
         F.collect_list(node).alias("nodes"), F.bool_and("legal").alias("legal")
     ).persist()
 
 
-def field_catalog(docs: DataFrame, max_depth: int = 16) -> DataFrame:
+def field_catalog(docs: DataFrame) -> DataFrame:
     """One row per node of every schema: ``path``, snake-case ``name``, ``kind``, ``nullable``, ``legal``.
 
     The walk goes one level per step until nothing is left below, so it runs as many small jobs as
-    the deepest schema has levels. Schemas deeper than ``max_depth`` raise.
+    the deepest schema has levels; a document is finite, so the walk ends.
     """
     keys = ["uri", "vendor", "name", "format", "model", "revision", "addition"]
     key_struct = F.struct(*keys).alias("key")
@@ -133,7 +133,7 @@ def field_catalog(docs: DataFrame, max_depth: int = 16) -> DataFrame:
         F.try_parse_json("doc").alias("node"),
     )
     catalog = None
-    for _ in range(max_depth):
+    while True:
         shaped = _with_shape(level)
         last = F.element_at("path", -1)
         rows = shaped.select(
@@ -156,7 +156,6 @@ def field_catalog(docs: DataFrame, max_depth: int = 16) -> DataFrame:
         ).persist()
         if level.isEmpty():
             return catalog
-    raise ValueError(f"a schema nests deeper than {max_depth} levels")
 
 
 # Resolving the entities of a batch

@@ -36,9 +36,7 @@ def unknown_uris(resolved: Resolved, skip_schemas=(), legacy_schemas=(), legacy_
 
     entity = F.col("unstruct_entity.schema")
     contexts = F.filter(
-        F.expr("array_except(transform(context_entities, e -> e.schema), array("
-               + ", ".join(quoted(u) for u in resolved.uris) + "))")
-        if resolved.uris else F.expr("transform(context_entities, e -> e.schema)"),
+        F.expr("array_distinct(filter(transform(context_entities, e -> e.schema), u -> NOT " + one_of("u", resolved.uris) + "))"),
         lambda u: ~is_skipped(u, skip_schemas, legacy_schemas, legacy_mode),
     )
     wanted = entity.isNotNull() & unknown(entity, "unstruct_entity.schema")

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluiceway.operators.registry import compile_registry, registry_from_rows
-from sluiceway.sources.lines import spread_out
 
 ATOMIC = T.StructType([
     T.StructField("event_id", T.LongType(), False),
@@ -32,7 +31,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def enriched_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One tab-separated line per event; some are malformed, mistyped or of an unknown schema."""
-    events = spread_out(table(spark, sf_dir, "events"))
+    events = table(spark, sf_dir, "events")
     i = F.col("event_id")
     vendor = F.when(i % 103 == 0, "com.unknown").otherwise("com.acme")
     data = F.when(i % 101 == 0, '{"k":"xyz"}').otherwise(F.col("props"))
@@ -74,46 +73,42 @@ def acme_registry(spark: SparkSession) -> DataFrame:
 
 
 def typed_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per line item one JSON object with a value of every type."""
+    """Per line item a shipping record: nested numbers, rates, dates, free JSON and a remark that is null."""
     ship = F.date_format("l_shipdate", "yyyy-MM-dd")
-    columns = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate"]
-    return spread_out(table(spark, sf_dir, "lineitem").select(*columns)).select(
+    columns = ["l_orderkey", "l_linenumber", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+    return table(spark, sf_dir, "lineitem").select(*columns).select(
         "l_orderkey", "l_linenumber",
         F.to_json(F.struct(
-            F.col("l_orderkey").alias("my_long"),
-            F.col("l_linenumber").alias("my_int"),
-            F.col("l_quantity").alias("my_double"),
-            F.col("l_extendedprice").cast("decimal(12,2)").alias("my_decimal"),
-            (F.col("l_returnflag") == "R").alias("my_boolean"),
-            F.col("l_linestatus").alias("my_string"),
-            ship.alias("my_date"),
-            F.concat(ship, F.lit("T20:20:39Z")).alias("my_timestamp"),
-            F.struct(F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status")).alias("my_object"),
-            F.array(F.col("l_linenumber"), F.col("l_linenumber") + 1).alias("my_array"),
-            F.from_json(F.lit("{}"), "map<string,string>").alias("my_empty_object"),
+            F.struct(F.col("l_orderkey").alias("number"), F.col("l_linenumber").alias("line")).alias("order"),
+            F.struct(F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("stage")).alias("label"),
+            F.array("l_discount", "l_tax").alias("rates"),
+            F.col("l_extendedprice").cast("decimal(12,2)").alias("price"),
+            (F.col("l_returnflag") == "R").alias("returned"),
+            ship.alias("shipped_on"),
+            F.concat(ship, F.lit("T07:45:10Z")).alias("packed_at"),
+            F.from_json(F.lit("{}"), "map<string,string>").alias("extras"),
         )).alias("j0"),
     ).select(
         "l_orderkey", "l_linenumber",
         # to_json leaves nulls out, so the explicit null member is added to the text.
-        F.concat(F.expr("substring(j0, 1, length(j0) - 1)"), F.lit(',"my_null":null}')).alias("j"),
+        F.concat(F.expr("substring(j0, 1, length(j0) - 1)"), F.lit(',"remark":null}')).alias("j"),
     )
 
 
 TYPED = T.StructType([
-    T.StructField("my_long", T.LongType(), False),
-    T.StructField("my_int", T.IntegerType(), False),
-    T.StructField("my_double", T.DoubleType(), False),
-    T.StructField("my_decimal", T.DecimalType(12, 2), False),
-    T.StructField("my_boolean", T.BooleanType(), False),
-    T.StructField("my_string", T.StringType(), False),
-    T.StructField("my_date", T.DateType(), False),
-    T.StructField("my_timestamp", T.TimestampType(), False),
-    T.StructField("my_object", T.StructType([
-        T.StructField("flag", T.StringType(), False), T.StructField("status", T.VariantType(), False),
+    T.StructField("order", T.StructType([
+        T.StructField("number", T.LongType(), False), T.StructField("line", T.IntegerType(), False),
     ]), False),
-    T.StructField("my_array", T.ArrayType(T.IntegerType(), False), False),
-    T.StructField("my_empty_object", T.VariantType(), False),
-    T.StructField("my_null", T.StringType(), True),
+    T.StructField("label", T.StructType([
+        T.StructField("flag", T.StringType(), False), T.StructField("stage", T.VariantType(), False),
+    ]), False),
+    T.StructField("rates", T.ArrayType(T.DoubleType(), False), False),
+    T.StructField("price", T.DecimalType(12, 2), False),
+    T.StructField("returned", T.BooleanType(), False),
+    T.StructField("shipped_on", T.DateType(), False),
+    T.StructField("packed_at", T.TimestampType(), False),
+    T.StructField("extras", T.VariantType(), False),
+    T.StructField("remark", T.StringType(), True),
 ])
 
 
@@ -122,7 +117,7 @@ def array_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = F.col("event_id").cast("string")
     following = (F.col("event_id") + 1).cast("string")
     full = F.concat(F.lit('{"a":['), i, F.lit(",null,"), following, F.lit("]}"))
-    return spread_out(table(spark, sf_dir, "events")).select(
+    return table(spark, sf_dir, "events").select(
         "event_id",
         F.when(F.col("event_id") % 7 == 0, '{"a":[null]}')
         .when(F.col("event_id") % 5 == 0, '{"a":[]}').otherwise(full).alias("j"),
@@ -165,7 +160,7 @@ def enveloped_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         envelope("contexts", F.concat(F.lit("["), user, F.lit(","), place, F.lit("]"))))
     derived = F.when(F.col("event_type") == "error", "").otherwise(
         envelope("contexts", F.concat(F.lit("["), user, F.lit("]"))))
-    return spread_out(table(spark, sf_dir, "events")).select(F.concat_ws(
+    return table(spark, sf_dir, "events").select(F.concat_ws(
         "\t", F.col("event_id").cast("string"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS"),
         F.col("event_type"), number, F.when(F.col("event_type") == "purchase", "1").otherwise("0"),
         unstruct, contexts, derived,

@@ -178,19 +178,18 @@ WITH {_FIELDS}
 SELECT 'iglu:com.acme/' || name || '/jsonschema/1-0-0' AS uri, path, column_name AS name, kind, nullable, n AS occurrences
 FROM fields JOIN present USING (name)""",
         "strict_cast_int": _with("SELECT event_id, CAST(k AS INTEGER) AS k, CASE WHEN NOT k_is_int THEN 'WrongType' END AS error, CASE WHEN NOT k_is_int THEN CAST(kj AS VARCHAR) END AS wrong_value, CASE WHEN NOT k_is_int THEN 'Integer' END AS expected FROM typed"),
-        "cast_all_types": f"""
-SELECT l_orderkey, l_linenumber, l_orderkey AS my_long, l_linenumber AS my_int, l_quantity AS my_double,
-  CAST(l_extendedprice AS DECIMAL(12, 2)) AS my_decimal, l_returnflag = 'R' AS my_boolean, l_linestatus AS my_string,
-  CAST(date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE)) AS INTEGER) AS my_date,
-  epoch_us(CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) + INTERVAL '20 hours 20 minutes 39 seconds') AS my_timestamp,
-  l_returnflag AS flag, l_linenumber AS first_item, l_linenumber + 1 AS second_item, 2 AS n_items,
-  CAST(NULL AS VARCHAR) AS my_null
+        "cast_all_types": """
+SELECT l_orderkey, l_linenumber, l_orderkey AS order_number, l_linenumber AS order_line, CAST(l_extendedprice AS DECIMAL(12, 2)) AS price,
+  l_discount AS first_rate, l_tax AS second_rate, 2 AS n_rates, l_returnflag AS flag, l_returnflag = 'R' AS returned,
+  CAST(date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE)) AS INTEGER) AS shipped_on,
+  epoch_us(CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) + INTERVAL '7 hours 45 minutes 10 seconds') AS packed_at,
+  CAST(NULL AS VARCHAR) AS remark
 FROM lineitem""",
-        "json_text_v2": """SELECT l_orderkey, l_linenumber, '"' || l_linestatus || '"' AS status_json, '{}' AS empty_json FROM lineitem""",
+        "json_text_v2": """SELECT l_orderkey, l_linenumber, '"' || l_linestatus || '"' AS stage_json, '{}' AS extras_json FROM lineitem""",
         "json_text_legacy": f"""
-SELECT l_orderkey, l_linenumber, l_linestatus AS my_string, {_SHIP} AS my_date,
-  '{{"flag":"' || l_returnflag || '","status":"' || l_linestatus || '"}}' AS object_json, '{{}}' AS empty_json,
-  CAST(l_extendedprice AS DECIMAL(12, 2)) AS my_decimal
+SELECT l_orderkey, l_linenumber, {_SHIP} AS shipped_on,
+  '{{"flag":"' || l_returnflag || '","stage":"' || l_linestatus || '"}}' AS label_json, '{{}}' AS extras_json,
+  CAST(l_extendedprice AS DECIMAL(12, 2)) AS price
 FROM lineitem""",
         "array_null_drop": """
 SELECT event_id, CASE WHEN event_id % 7 = 0 OR event_id % 5 = 0 THEN 0 ELSE 2 END AS n_items,

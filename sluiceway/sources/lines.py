@@ -16,16 +16,6 @@ def text_lines(spark: SparkSession, path: str) -> DataFrame:
     return _lines(spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true").text(path))
 
 
-def spread_out(rows: DataFrame) -> DataFrame:
-    """Use every core on input that comes in fewer splits than there are cores.
-
-    One compressed file or one large row group is one task, and parsing is CPU-bound. Large inputs
-    already have more splits than cores and are left alone, so nothing is shuffled for them.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
-
-
 def _lines(files: DataFrame) -> DataFrame:
     return files.select("value", F.col("_metadata.file_modification_time").alias("source_tstamp"))
 

@@ -2,7 +2,7 @@
 
 Layout below ``root``: ``events/load_date=<day>/batch_id=<batch>`` holds rows, ``schema_log`` one
 JSON record per schema change, ``failed/batch_id=<batch>`` failed events, ``metrics`` one record per
-batch and ``alerts`` setup failures. The table schema is the merge of all log records in order.
+batch and ``alerts`` setup failures; ``failed_oversized`` keeps whole payloads above a size cap. The table schema is the merge of all log records in order.
 Changes only add fields or relax them, so two loaders that evolve the table at once both keep their
 columns, and old files read with the newer schema give nulls for what they lack.
 """
@@ -22,12 +22,12 @@ from pyspark.sql import types as T
 
 from sluiceway.operators.fields import column_count, fields_to_alter, merge_columns, table_field
 
-# The most leaf fields a table may have, and the wait before trying to add more.
-MAX_COLUMNS = 10_000
+# Fixed value: with a cap on columns, the wait before trying to add more.
 TOO_MANY_COLUMNS_DELAY = timedelta(seconds=300)
 
 LOG_SCHEMA = "version long, at timestamp, schema string, disabled_until timestamp"
 ALERT_SCHEMA = "at timestamp, alert string, columns array<string>, cause string"
+BATCH_OUTPUTS = ("failed", "failed_oversized", "metrics")
 PARTITIONS = T.StructType([
     T.StructField("load_date", T.DateType()), T.StructField("batch_id", T.StringType()),
 ])
@@ -105,26 +105,26 @@ def raise_alert(spark: SparkSession, root: str, alert: str, columns: Iterable[st
 
 
 def evolve(spark: SparkSession, root: str, known: TableState, batch: list[T.StructField],
-           max_columns: int = MAX_COLUMNS, delay: timedelta = TOO_MANY_COLUMNS_DELAY,
+           max_columns: int | None = None, delay: timedelta = TOO_MANY_COLUMNS_DELAY,
            now: datetime | None = None) -> TableState:
     """Add what a batch needs to the table schema.
 
     ``known`` is the schema the loader last saw; the log is read again only when something has to
-    change. Above the column cap nothing is added, an alert is written, and further attempts wait for
+    change. There is no cap on columns unless the caller sets one. Above it nothing is added, an alert is written, and further attempts wait for
     ``delay``; rows that need the columns fail until then.
     """
     now = now or _now()
     if not fields_to_alter(known.schema, batch):
         return known
-    if known.disabled_until is not None and now < known.disabled_until:
+    if max_columns is not None and known.disabled_until is not None and now < known.disabled_until:
         return known
     latest = load_state(spark, root) or known
     wanted = fields_to_alter(latest.schema, batch)
-    if not wanted or (latest.disabled_until is not None and now < latest.disabled_until):
+    if not wanted or (max_columns is not None and latest.disabled_until is not None and now < latest.disabled_until):
         return latest
     merged = merge_columns(latest.schema, wanted)
     count = column_count(merged)
-    if count > max_columns:
+    if max_columns is not None and count > max_columns:
         cause = f"too many total leaf fields: {count}, allowed: {max_columns}"
         raise_alert(spark, root, "failed_to_add_columns", [f.name for f in wanted], cause, now)
         stopped = TableState(latest.schema, latest.version + 1, now + delay)
@@ -135,9 +135,19 @@ def evolve(spark: SparkSession, root: str, known: TableState, batch: list[T.Stru
     return changed
 
 
+def clear_batch(spark: SparkSession, root: str, batch_id: str) -> None:
+    """Remove all output of a batch id, whatever day and kind, so that running it again replaces everything."""
+    jvm = spark.sparkContext._jvm
+    for pattern in (f"{root}/events/load_date=*/batch_id={batch_id}", *(f"{root}/{kind}/batch_id={batch_id}" for kind in BATCH_OUTPUTS)):
+        path = jvm.org.apache.hadoop.fs.Path(pattern)
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for found in files.globStatus(path) or []:
+            files.delete(found.getPath(), True)
+
+
 def append_rows(rows: DataFrame, root: str, load_date: str, batch_id: str, cluster_by: str | None = "event_name",
                 spread: int | None = None) -> None:
-    """Write the good rows of one batch; running a batch id again replaces its files.
+    """Write the good rows of one batch.
 
     A batch has one load time, so it is one directory and needs no dynamic partitioning. Rows are
     sorted inside each task, which gives row groups narrow ``event_name`` ranges without a shuffle.
@@ -173,6 +183,10 @@ def read_table(spark: SparkSession, root: str) -> DataFrame:
 
 
 def write_failed(serialised: DataFrame, root: str, batch_id: str) -> None:
+    """The records as text, and the whole payloads of those above the size cap beside them."""
+    over = serialised.where("oversized IS NOT NULL").select("oversized")
+    if not over.isEmpty():
+        over.write.mode("overwrite").parquet(f"{root}/failed_oversized/batch_id={batch_id}")
     serialised.select("value").write.mode("overwrite").text(f"{root}/failed/batch_id={batch_id}")
 
 

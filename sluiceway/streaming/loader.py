@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from sluiceway.functions.errors import INVALID_SCHEMA, NOT_FOUND
+from sluiceway.functions.sql import one_of
 from sluiceway.operators.conform import conform
 from sluiceway.operators.entities import entity_versions, with_style
 from sluiceway.operators.failed import MAX_RECORD_BYTES, failed_events, processor, serialised
@@ -25,7 +26,6 @@ METRICS_SCHEMA = (
     "load_tstamp timestamp, n_events long, n_good long, n_bad long, n_bytes long, "
     "earliest_collector_tstamp timestamp, latency_millis long, e2e_latency_millis long"
 )
-SHOWN_SCHEMAS = 20
 
 
 class MissingSchemaError(RuntimeError):
@@ -50,14 +50,15 @@ def load_batch(lines: DataFrame, batch_id: str, root: str, registry: DataFrame,
                enveloped: bool = True, skip_schemas=(), legacy_schemas=(), legacy_mode: bool = False,
                exit_on_missing_schema: bool = True, known: table.TableState | None = None,
                resolutions: dict[frozenset, Resolved] | None = None,
-               max_columns: int = table.MAX_COLUMNS, column_delay: timedelta = table.TOO_MANY_COLUMNS_DELAY,
+               max_columns: int | None = None, column_delay: timedelta = table.TOO_MANY_COLUMNS_DELAY,
                max_failed_bytes: int = MAX_RECORD_BYTES, app: tuple[str, str] = ("sluiceway", "0.1.0"),
                storage: StorageLevel | None = StorageLevel.MEMORY_AND_DISK, spread: int | None = None,
                send_failed: Callable[[DataFrame, str, str], None] = table.write_failed) -> table.TableState:
     """Load one batch of lines with a constant ``load_tstamp`` column and return the table state.
 
     Order: resolve, stop on missing schemas, evolve, write rows, send failed events, record metrics.
-    Every output goes to a directory of the batch, so running a batch id again replaces its output.
+    Every output goes to a directory of the batch. All output of the batch id is removed before, so running it again
+    replaces it even if rows change their class or the load time falls on another day.
 
     The lines are read twice: once for the schema keys only, once for the rows. The rows are kept
     (spilling to disk) because three outputs use them; ``storage=None`` recomputes them instead.
@@ -75,7 +76,7 @@ def load_batch(lines: DataFrame, batch_id: str, root: str, registry: DataFrame,
     try:
         resolved = resolve_matched(matched, registry, resolutions)
         if exit_on_missing_schema:
-            _stop_on_missing(matched, resolved.invalid)
+            _stop_on_missing(spark, root, matched, resolved.invalid)
     finally:
         matched.unpersist()
 
@@ -88,6 +89,7 @@ def load_batch(lines: DataFrame, batch_id: str, root: str, registry: DataFrame,
     if storage is not None:
         conformed = conformed.persist(storage)
     try:
+        table.clear_batch(spark, root, batch_id)
         _write_batch(conformed, batch_id, root, app, max_failed_bytes, sourced, spread, send_failed)
     finally:
         if storage is not None:
@@ -95,13 +97,20 @@ def load_batch(lines: DataFrame, batch_id: str, root: str, registry: DataFrame,
     return state
 
 
-def _stop_on_missing(matched: DataFrame, invalid: tuple[str, ...]) -> None:
-    missing = matched.filter("NOT found").select("uri").distinct().take(SHOWN_SCHEMAS)
-    problems = [f"{NOT_FOUND}: {r['uri']}" for r in missing] + [f"{INVALID_SCHEMA}: {u}" for u in invalid]
-    if problems:
+def _stop_on_missing(spark: SparkSession, root: str, matched: DataFrame, invalid: tuple[str, ...]) -> None:
+    """Stop if the batch names a schema that is missing or invalid. The whole list is written to the table's alerts."""
+    problem = F.when(~F.col("found"), F.lit(NOT_FOUND)).when(F.expr(one_of("uri", invalid)), F.lit(INVALID_SCHEMA))
+    problems = matched.select("uri", problem.alias("problem")).where("problem IS NOT NULL").distinct()
+    total = problems.count()
+    if total:
+        at = F.lit(datetime.now(timezone.utc)).alias("at")
+        cause = F.concat_ws(": ", "problem", "uri").alias("cause")
+        listed = problems.select(at, F.lit("missing_schema").alias("alert"), F.array().cast("array<string>").alias("columns"), cause)
+        listed.write.mode("append").json(f"{root}/alerts")
+        first = problems.orderBy("uri").first()
         raise MissingSchemaError(
-            "schemas cannot be resolved; add them to the registry, skip them, or load with "
-            "exit_on_missing_schema=False\n" + "\n".join(problems[:SHOWN_SCHEMAS])
+            f"{total} schemas cannot be resolved; add them to the registry, skip them, or load with exit_on_missing_schema=False. "
+            f"All are listed in {root}/alerts, the first is {first['problem']}: {first['uri']}"
         )
 
 

@@ -24,6 +24,9 @@ def test_snake_case(spark, name, expected):
     ("iglu:com.acme/ad/jsonschema/1-0", False),
     ("com.acme/ad/jsonschema/1-0-0", False),
     ("iglu:com.acme/ad/jsonschema/99999999999-0-0", False),
+    ("iglu:com.acme/ad/jsonschema/2147483647-0-1999999999", True),
+    ("iglu:com.acme/ad/jsonschema/2147483648-0-0", False),
+    ("iglu:com.acme/ad/jsonschema/1-3000000000-0", False),
 ])
 def test_key_grammar(spark, text, expected):
     assert one(spark, is_key, text) is expected

@@ -62,9 +62,10 @@ def test_missing_schema_stops_before_any_write(spark, registry, tmp_path):
     with pytest.raises(MissingSchemaError) as e:
         load(spark, tmp_path, registry, "b-0", line("a"), line("b", unstruct=entity("gone", {})),
              line("c", contexts=[entity("broken", {})]))
-    assert "SchemaNotFound: iglu:org.shop/gone/jsonschema/1-0-0" in str(e.value)
-    assert "InvalidSchema: iglu:org.shop/broken/jsonschema/1-0-0" in str(e.value)
-    assert sorted(p.name for p in tmp_path.iterdir()) == ["schema_log"]
+    assert "2 schemas" in str(e.value)
+    causes = {r["cause"] for r in spark.read.schema(table.ALERT_SCHEMA).json(f"{tmp_path}/alerts").collect()}
+    assert causes == {"SchemaNotFound: iglu:org.shop/gone/jsonschema/1-0-0", "InvalidSchema: iglu:org.shop/broken/jsonschema/1-0-0"}
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["alerts", "schema_log"]
 
 
 def test_missing_schema_can_be_sent_to_failed_events(spark, registry, tmp_path):
@@ -89,6 +90,25 @@ def test_running_a_batch_again_replaces_it(spark, registry, tmp_path):
     assert set(metrics(spark, tmp_path)) == {"b-0", "b-1"}
 
 
+@pytest.mark.parametrize("first,second", [(("gone", "cart"), ("cart", "gone")), (("cart", "gone"), ("gone", "cart"))])
+def test_running_again_moves_rows_between_outputs(spark, registry, tmp_path, first, second):
+    """Rows that change their class leave nothing behind, nor does another load day."""
+    for names, at in ((first, NOW), (second, NOW + datetime.timedelta(days=2))):
+        lines = [line(i, unstruct=entity(n, {"itemCount": 1})) for i, n in zip("ab", names)]
+        load(spark, tmp_path, registry, "b-0", *lines, at=at, exit_on_missing_schema=False)
+    got = table.read_table(spark, str(tmp_path)).collect()
+    assert [(r["event_id"], r["load_date"].day) for r in got] == [("b" if second[1] == "cart" else "a", 3)]
+    assert table.read_failed(spark, str(tmp_path)).count() == 1
+    load(spark, tmp_path, registry, "b-0", line("a"), line("b"))
+    assert table.read_table(spark, str(tmp_path)).count() == 2 and not list((tmp_path / "failed").iterdir())
+
+
+def test_oversized_payload_is_kept_whole(spark, registry, tmp_path):
+    bad = "x" * 5000
+    load(spark, tmp_path, registry, "b-0", bad, max_failed_bytes=1000)
+    assert [r["oversized"] for r in spark.read.parquet(f"{tmp_path}/failed_oversized").collect()] == [bad]
+
+
 def test_recomputing_gives_the_same_as_keeping(spark, registry, tmp_path):
     lines = [cart("a", 1), cart("b", "x"), "bad", line("c", contexts=[entity("cart", {"itemCount": 1})])]
     load(spark, tmp_path / "x", registry, "b-0", *lines)

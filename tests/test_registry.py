@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from pyspark.sql import types as T
 
@@ -46,9 +48,12 @@ def test_registry_directory(spark, tmp_path):
     assert [(r["uri"], r["legal"], len(r["nodes"])) for r in rows] == [(uri("cart"), True, 2)]
 
 
-def test_depth_is_bounded(spark):
-    with pytest.raises(ValueError):
-        field_catalog(registry_from_rows(spark, DOCS), max_depth=2)
+def test_any_depth(spark):
+    node = {"type": "string"}
+    for _ in range(20):
+        node = {"type": "object", "properties": {"a": node}}
+    rows = field_catalog(registry_from_rows(spark, [(uri("deep"), json.dumps(node))])).collect()
+    assert max(len(r["path"]) for r in rows) == 20
 
 
 def test_legacy_column_per_version(spark, registry):
