@@ -91,12 +91,17 @@ def create_if_missing(spark: SparkSession, root: str, schema: T.StructType, now:
     """
     try:
         known = load_state(spark, root)
-    except (PySparkException, Py4JError):
+    except (PySparkException, Py4JError) as e:
+        _setup_alert(spark, root, "failed_to_get_table", [], e, now)
         known = None
     if known is not None:
         return known
-    _append_log(spark, root, TableState(schema, 0), now or _now())
-    return load_state(spark, root)
+    try:
+        _append_log(spark, root, TableState(schema, 0), now or _now())
+        return load_state(spark, root)
+    except (PySparkException, Py4JError) as e:
+        _setup_alert(spark, root, "failed_to_create_events_table", schema.fieldNames(), e, now)
+        raise
 
 
 def raise_alert(spark: SparkSession, root: str, alert: str, columns: Iterable[str], cause: str, at: datetime) -> None:
@@ -104,6 +109,14 @@ def raise_alert(spark: SparkSession, root: str, alert: str, columns: Iterable[st
     one_row(spark, row, ALERT_SCHEMA).write.mode("append").json(f"{root}/alerts")
 
 
+def _setup_alert(spark: SparkSession, root: str, alert: str, columns: Iterable[str], cause: Exception, now: datetime | None) -> None:
+    """An alert about a folder that may not take alerts either; the cause itself must not be hidden by that."""
+    try:
+        raise_alert(spark, root, alert, columns, str(cause), now or _now())
+    except (PySparkException, Py4JError) as e:
+        cause.add_note(f"{alert} could not be written: {e}")
+
+
 def evolve(spark: SparkSession, root: str, known: TableState, batch: list[T.StructField],
            max_columns: int | None = None, delay: timedelta = TOO_MANY_COLUMNS_DELAY,
            now: datetime | None = None) -> TableState:
@@ -171,11 +184,15 @@ def nullable(dtype: T.DataType) -> T.DataType:
     return dtype
 
 
-def read_table(spark: SparkSession, root: str) -> DataFrame:
-    """The whole table under its current schema. Filters on ``load_date`` prune directories."""
+def read_table(spark: SparkSession, root: str, days: Iterable[str] | None = None) -> DataFrame:
+    """The table under its current schema. Filters on ``load_date`` prune directories.
+
+    With ``days`` (ISO dates that have rows) only the directories of these days are listed; a table of years has too many to list all.
+    """
+    paths = [f"{root}/events"] if days is None else [f"{root}/events/load_date={day}" for day in days]
     schema = T.StructType(nullable(load_state(spark, root).schema).fields + PARTITIONS.fields)
     try:
-        return spark.read.schema(schema).option("basePath", f"{root}/events").parquet(f"{root}/events")
+        return spark.read.schema(schema).option("basePath", f"{root}/events").parquet(*paths)
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":  # no row has been loaded yet
             return spark.createDataFrame([], schema)

@@ -200,6 +200,29 @@ def test_rows_that_need_a_capped_column_fail(spark, registry, tmp_path):
     assert json.loads(record["value"])["kind"] == "loader_runtime_error"
 
 
+def test_reads_list_only_the_days_asked_for(spark, registry, tmp_path):
+    load(spark, tmp_path, registry, "b-0", line("a"))
+    load(spark, tmp_path, registry, "b-1", line("b"), at=NOW + datetime.timedelta(days=1))
+    rows = table.read_table(spark, str(tmp_path), days=["2024-06-02"])
+    assert [(r["event_id"], r["load_date"].day) for r in rows.collect()] == [("b", 2)]
+    assert all("load_date=2024-06-02" in f for f in rows.inputFiles())
+
+
+def test_a_failed_lookup_raises_an_alert(spark, tmp_path, monkeypatch):
+    real, calls = table.load_state, []
+
+    def failing(*args):
+        calls.append(args)
+        if len(calls) == 1:
+            raise table.AnalysisException("no access")
+        return real(*args)
+
+    monkeypatch.setattr(table, "load_state", failing)
+    table.create_if_missing(spark, str(tmp_path), T.StructType([T.StructField("a", T.StringType())]), NOW)
+    alert, = spark.read.schema(table.ALERT_SCHEMA).json(f"{tmp_path}/alerts").collect()
+    assert alert["alert"] == "failed_to_get_table" and "no access" in alert["cause"]
+
+
 def test_reads_prune_days_and_push_filters(spark, registry, tmp_path):
     load(spark, tmp_path, registry, "b-0", line("a"))
     load(spark, tmp_path, registry, "b-1", line("b"), at=NOW + datetime.timedelta(days=1))
