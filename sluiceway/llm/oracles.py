@@ -74,7 +74,7 @@ o AS (
     count(*) FILTER (WHERE nth > 1) AS n_chunks, coalesce(string_agg(text, chr(10) ORDER BY i) FILTER (WHERE nth = 1), '') AS kept
   FROM f GROUP BY doc_id)
 SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(n_chunks, 0) AS n_chunks,
-  CASE WHEN text IS NOT NULL THEN sha256(kept) END AS kept_sha256
+  CASE WHEN documents.text IS NOT NULL THEN sha256(o.kept) END AS kept_sha256
 FROM documents LEFT JOIN o USING (doc_id)
 """
 
