@@ -2,8 +2,9 @@
 
 A document's set holds its distinct 2-word shingles (words between blanks and the controls 9 to 13, A to Z lower-cased); with fewer
 words, the whole sequence; without words it is empty and linked with nothing. Documents with equal sets are one class, and
-only one of each class, its representative, is compared. A signature has `COORDINATES` minima. Two sets with a similarity
-of 0.8 or more agree in `MATCHES` or more of them but for a few in a million.
+only one of each class, its representative, is compared. A signature has `COORDINATES` values; each is made of `DEPTH` minima, so that texts with little
+in common, of which there are ever more, do not meet by chance. Two sets with a similarity of 0.8 agree in a coordinate with a
+chance of 0.41, and in fewer than `MATCHES` of them in about one of a million cases.
 
 Each representative is posted under its (coordinate, value) pairs. Pairs that only one has go, and so does a representative
 with fewer than `MATCHES` left. In the order of rarity, two that agree in `MATCHES` pairs share one among the first
@@ -31,10 +32,11 @@ from sluiceway.llm.stage import col, written
 from sluiceway.llm.text import Words, bounded_batches, lower_ascii, mixed, sequence_hashes, slices, space_words
 
 SIMILARITY = 80
-COORDINATES = 64
-MATCHES = 36
+COORDINATES = 48
+DEPTH = 4
+MATCHES = 5
 ROUNDS = 2
-LEADS = 8
+LEADS = 4
 ASKING = 256
 ASKED = 1024
 
@@ -56,8 +58,8 @@ def shingles(words: Words, size: int = 2) -> tuple[np.ndarray, np.ndarray]:
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Set size, two keys of the set and its signature (null without words)."""
     chars, fold = space_words(), lower_ascii()
-    factors = mixed(np.arange(COORDINATES, dtype=np.uint64), 7) | np.uint64(1)
-    masks = mixed(np.arange(COORDINATES, dtype=np.uint64), 8)
+    factors = mixed(np.arange(COORDINATES * DEPTH, dtype=np.uint64), 7) | np.uint64(1)
+    masks = mixed(np.arange(COORDINATES * DEPTH, dtype=np.uint64), 8)
     for whole in batches:
         for batch in slices(whole, "text"):
             words = Words(batch.column("text"), chars, fold)
@@ -71,12 +73,15 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if len(some):
                     key[some] = np.add.reduceat(mixed(hashes, seed), first)
                 keys.append(pa.array(key.view(np.int64)))
-            signature = np.zeros((len(some), COORDINATES), np.uint32)
+            signature = np.zeros((len(some), COORDINATES), np.uint64)
             for c in range(COORDINATES if len(some) else 0):
-                signature[:, c] = np.minimum.reduceat(((hashes ^ masks[c]) * factors[c]) >> np.uint64(32), first)
+                value = np.full(len(some), c, np.uint64)
+                for d in range(c * DEPTH, (c + 1) * DEPTH):
+                    value = mixed(value ^ np.minimum.reduceat((hashes ^ masks[d]) * factors[d], first), 1)
+                signature[:, c] = value
             at = np.zeros(batch.num_rows + 1, np.int32)
             np.cumsum(np.where(size > 0, COORDINATES, 0), out=at[1:])
-            values = pa.ListArray.from_arrays(pa.array(at), pa.array(signature.ravel().view(np.int32)))
+            values = pa.ListArray.from_arrays(pa.array(at), pa.array(signature.ravel().view(np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(size.astype(np.int64)), *keys, values], names=["id", "n", "k1", "k2", "signature"])
 
 
@@ -102,21 +107,21 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Of pairs `a`, `b` those that are linked."""
+    """Of pairs `a`, `b` those that are linked. Here as elsewhere the hint keeps one way of joining at every size."""
     texts_a = texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a"))
     texts_b = texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(texts_a, "a").join(texts_b, "b").select("a", "b", "text_a", "text_b").mapInArrow(_compared, "a long, b long")
+    return pairs.hint("merge").join(texts_a, "a").hint("merge").join(texts_b, "b").select("a", "b", "text_a", "text_b").mapInArrow(_compared, "a long, b long")
 
 
 def classes(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each document that has an id: `id`, `n_shingles`, `component` (the smallest id reachable)."""
     bounded_batches(docs.sparkSession)
     known = docs.select(col(id_column).cast("long").alias("id"), col(text).cast("string").alias("text"))
-    signed = written(known.where("id IS NOT NULL").mapInArrow(_signed, "id long, n long, k1 long, k2 long, signature array<int>"))
+    signed = written(known.where("id IS NOT NULL").mapInArrow(_signed, "id long, n long, k1 long, k2 long, signature array<long>"))
     groups = written(signed.where("n > 0").groupBy("k1", "k2").agg(F.min("id").alias("rep")))
-    members = written(signed.join(groups, ["k1", "k2"]).select("id", "rep", F.when(F.col("id") == F.col("rep"), F.col("signature")).alias("signature")))
+    members = written(signed.join(groups.hint("merge"), ["k1", "k2"]).select("id", "rep", F.when(F.col("id") == F.col("rep"), F.col("signature")).alias("signature")))
     least = _linked(known, members)
-    reached = members.select("id", "rep").join(least.select(F.col("node").alias("rep"), "least"), "rep", "left")
+    reached = members.select("id", "rep").join(least.select(F.col("node").alias("rep"), "least").hint("merge"), "rep", "left")
     reached = reached.groupBy("id").agg(F.min(F.coalesce("least", "rep")).alias("component"))
     sizes = signed.groupBy("id").agg(F.max("n").alias("n_shingles"))
     return sizes.join(reached, "id", "left").select("id", "n_shingles", F.coalesce("component", "id").alias("component"))
@@ -124,24 +129,23 @@ def classes(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> D
 
 def _linked(known: DataFrame, members: DataFrame) -> DataFrame:
     """Rows `node`, `least` for the representatives that are linked with another."""
-    posted = members.where("signature IS NOT NULL").dropDuplicates(["rep"]).select("rep", F.posexplode("signature").alias("c", "v"))
-    posted = posted.select("rep", (F.col("c").cast("long") * F.lit(2**32) + F.col("v")).alias("pair"))
+    posted = members.where("signature IS NOT NULL").dropDuplicates(["rep"]).select("rep", F.explode("signature").alias("pair"))
     often = written(posted.groupBy("pair").agg(F.count("*").alias("n")).where("n > 1"))
-    held = posted.join(often, "pair").groupBy("rep").agg(F.collect_list(F.struct("n", "pair")).alias("pairs")).where(F.size("pairs") >= MATCHES)
+    held = posted.join(often.hint("merge"), "pair").groupBy("rep").agg(F.collect_list(F.struct("n", "pair")).alias("pairs")).where(F.size("pairs") >= MATCHES)
     prefix = F.slice(F.sort_array("pairs"), 1, F.size("pairs") - MATCHES + 1)
     lists = written(held.select("rep", F.explode(prefix).alias("p")).select("rep", F.col("p.pair").alias("pair")))
     wanted = written(lists.select("rep").distinct())
     # Texts of one id are as one: rows that share an id and differ would each be a class of their own.
-    texts = written(known.join(wanted, F.col("id") == F.col("rep"), "left_semi").select(F.col("id").alias("rep"), "text").dropDuplicates(["rep"]))
+    texts = written(known.join(wanted.hint("merge"), F.col("id") == F.col("rep"), "left_semi").select(F.col("id").alias("rep"), "text").dropDuplicates(["rep"]))
     links = None
     for turn in range(ROUNDS):
-        entries = lists if links is None else lists.join(labels, "rep", "left")
+        entries = lists if links is None else lists.join(labels.hint("merge"), "rep", "left")
         label = F.col("rep") if links is None else F.coalesce("least", "rep")
         entries = entries.withColumn("label", label).select("pair", "rep", "label")
         found = written(_confirmed(_led(entries, turn), texts))
         links = found if links is None else links.union(found)
         labels = components(links).withColumnRenamed("node", "rep")
-    entries = written(lists.join(labels, "rep", "left").select("pair", "rep", F.coalesce("least", "rep").alias("label")))
+    entries = written(lists.join(labels.hint("merge"), "rep", "left").select("pair", "rep", F.coalesce("least", "rep").alias("label")))
     found = written(_left_over(entries, texts))
     return written(components(links.union(found)))
 
@@ -177,7 +181,7 @@ def _left_over(entries: DataFrame, texts: DataFrame) -> DataFrame:
     every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     units = both.where("asks").select("main", F.col("r").cast("int").alias("r"), F.explode(every("columns")).alias("c"), "rep", "label", "asks").union(
         both.select("main", F.explode(every("rows")).alias("r"), F.col("c").cast("int").alias("c"), "rep", "label", F.lit(False)))
-    units = units.select(F.xxhash64("main", "r", "c").alias("unit"), "rep", "label", "asks").join(texts, "rep").select("unit", "asks", "rep", "label", "text")
+    units = units.select(F.xxhash64("main", "r", "c").alias("unit"), "rep", "label", "asks").hint("merge").join(texts, "rep").select("unit", "asks", "rep", "label", "text")
     return units.repartition("unit").sortWithinPartitions("unit").mapInArrow(_unit_links, "a long, b long")
 
 
