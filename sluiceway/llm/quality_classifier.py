@@ -17,8 +17,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
+from sluiceway.llm.samples import labelled
 from sluiceway.llm.stage import col
 from sluiceway.llm.text import Words, bounded_batches, mixed, slices, space_words
 
@@ -131,13 +131,13 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(logit, -50, 50)))
 
 
-def fit(training: DataFrame, id_column: str = "doc_id", text: str = "text", label: str = "label", sample: int = SAMPLE) -> Model:
-    """`training` has only rows to learn from; rows without text or label are left out."""
-    bounded_batches(training.sparkSession)
-    rows = training.select(col(id_column).cast("string").alias("id"), col(text).cast("string").alias("text"), col(label).cast("int").alias("label"))
-    rows = rows.where("text IS NOT NULL AND label IS NOT NULL")
-    chosen = rows.orderBy(F.xxhash64("id", F.lit(5)), F.xxhash64("text")).limit(sample)
-    got = chosen.select("text", "label").mapInArrow(_vectors, "label int, places binary, shares binary").collect()
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, **columns: str) -> Model:
+    """`labels` has only rows to learn from; rows without text or label are left out."""
+    bounded_batches(docs.sparkSession)
+    chosen = labelled(docs, labels, sample, 5, **columns)
+    got = chosen.mapInArrow(_vectors, "label int, places binary, shares binary").collect()
+    # In an order that does not depend on how tasks came back, so that a rerun learns the same.
+    got.sort(key=lambda r: (r.label, bytes(r.places), bytes(r.shares)))
     return Model([(r.label, np.frombuffer(r.places, np.uint16).astype(int), np.frombuffer(r.shares, np.float16).astype(np.float32)) for r in got])
 
 

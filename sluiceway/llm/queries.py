@@ -68,13 +68,6 @@ def _turn(parts: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(parts))
 
 
-def _labelled(spark: SparkSession, sf_dir: str, label: str, parts: int, held_out: int) -> DataFrame:
-    """Text and label of the documents to learn from."""
-    labels = _table(spark, sf_dir, "labels").select(F.col("doc_id").alias("_id"), F.col(label).alias("label"))
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text").where(_turn(parts) != held_out)
-    return docs.join(labels, F.col("doc_id") == F.col("_id")).select("doc_id", "text", "label")
-
-
 def language_id_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = language_id.fit(docs.where(_turn(4) != 2))
@@ -83,14 +76,16 @@ def language_id_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lexicon = toxicity.fit(_labelled(spark, sf_dir, "toxic", 3, 1))
-    found = toxicity.score(_table(spark, sf_dir, "documents"), lexicon, F.struct("doc_id", (_turn(3) == 1).alias("held_out")))
+    docs = _table(spark, sf_dir, "documents")
+    lexicon = toxicity.fit(docs, _table(spark, sf_dir, "labels").where(_turn(3) != 1), label="toxic")
+    found = toxicity.score(docs, lexicon, F.struct("doc_id", (_turn(3) == 1).alias("held_out")))
     return found.select("row.doc_id", "row.held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
 def quality_classifier_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = quality_classifier.fit(_labelled(spark, sf_dir, "quality", 5, 0))
-    found = quality_classifier.score(_table(spark, sf_dir, "documents"), model, F.struct("doc_id", (_turn(5) == 0).alias("held_out")))
+    docs = _table(spark, sf_dir, "documents")
+    model = quality_classifier.fit(docs, _table(spark, sf_dir, "labels").where(_turn(5) != 0), label="quality")
+    found = quality_classifier.score(docs, model, F.struct("doc_id", (_turn(5) == 0).alias("held_out")))
     return found.select("row.doc_id", "row.held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 

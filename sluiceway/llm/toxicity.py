@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluiceway.llm.samples import labelled
 from sluiceway.llm.stage import col, written
 from sluiceway.llm.text import Words, bounded_batches, letter_words, lower_ascii, slices
 
@@ -201,13 +202,11 @@ def _terms(sample: DataFrame) -> dict[str, float]:
     return {r.term: round(float(np.log(r.odds)), 6) for r in both.orderBy(F.desc("odds"), "term").limit(TERMS).collect()}
 
 
-def fit(training: DataFrame, id_column: str = "doc_id", text: str = "text", label: str = "label", sample: int = SAMPLE) -> Lexicon:
-    """`training` has only rows to learn from, of which at most `sample` by a hash of the id; rows without text or label are left out."""
-    spark = training.sparkSession
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, **columns: str) -> Lexicon:
+    """`labels` has only rows to learn from, of which at most `sample` by a hash of the id; rows without text or label are left out."""
+    spark = docs.sparkSession
     bounded_batches(spark)
-    rows = training.select(col(id_column).cast("string").alias("id"), col(text).cast("string").alias("text"), col(label).cast("int").alias("label"))
-    rows = rows.where("text IS NOT NULL AND label IN (0, 1)").orderBy(F.xxhash64("id", F.lit(7)), F.xxhash64("text")).limit(sample)
-    chosen = written(rows.select("text", "label"))
+    chosen = written(labelled(docs, labels, sample, 7, **columns))
     lexicon = Lexicon(_terms(chosen))
     if not lexicon.terms:
         return lexicon

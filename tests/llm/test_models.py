@@ -33,10 +33,10 @@ def test_quality(spark):
         good = i % 3 > 0
         rows.append((i, prose(i, 80) if good else (prose(i, 80).replace(" ", "## ") if i % 2 else f"{prose(i, 2)} " * 60), int(good)))
     docs = spark.createDataFrame(rows, "doc_id long, text string, label int")
-    model = quality_classifier.fit(docs.where("doc_id % 5 > 0"))
+    model = quality_classifier.fit(docs, docs.where("doc_id % 5 > 0"))
     found = quality_classifier.score(docs.where("doc_id % 5 = 0"), model, F.struct("label")).collect()
     assert sum((r.score >= 0.3) == bool(r.row.label) for r in found) >= len(found) - 1
-    alone = quality_classifier.fit(docs.where("label = 1"))
+    alone = quality_classifier.fit(docs, docs.where("label = 1"))
     assert all(r.score > 0.9 for r in quality_classifier.score(docs, alone, F.lit(1)).collect())
 
 
@@ -53,7 +53,7 @@ def toxic_docs():
 
 def test_toxicity(spark):
     docs = spark.createDataFrame(toxic_docs(), "doc_id long, text string, label int")
-    lexicon = toxicity.fit(docs.where("doc_id % 3 <> 1"))
+    lexicon = toxicity.fit(docs, docs.where("doc_id % 3 <> 1"))
     assert {"vilewort", "grobian", "schuftig"} <= set(lexicon.terms) and any(t.startswith("murk") and t.endswith("*") for t in lexicon.terms)
     found = toxicity.score(docs.where("doc_id % 3 = 1"), lexicon, F.struct("label")).collect()
     assert all((r.score >= 0.7) == bool(r.row.label) for r in found)
