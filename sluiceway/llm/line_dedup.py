@@ -3,8 +3,9 @@
 A text's lines are split at each newline. A rolling hash over the hashes of the last `WIDTH` lines starts a chunk
 where it is divisible by `DIVISOR`; so the bounds move with the lines when text is put in front of them. A chunk
 with at least `least` lines that hold a word is a candidate. Of equal candidates the first (least id, then place) stays, in the
-same text too; the others are removed. A null text has no lines and stays null. Rows that share an id are taken as one
-document: a chunk stays or goes in all of them. Rows without an id come after all others.
+same text too; the others are removed. A null text has no lines and stays null. Rows that share an id and a text (told by
+its hash) are taken as one document: a chunk stays or goes in all of them. Texts of one id come in the order of their
+hashes, and so do rows without an id, after all others.
 """
 
 from __future__ import annotations
@@ -18,12 +19,16 @@ WIDTH = 2
 DIVISOR = 3
 LEAST_LINES = 2
 _WORD = r"[^ \t-\r]"
-_PLACES = 10**10
+
+
+def _whole(text: Column) -> Column:
+    """Tells texts apart that have the same id, or none."""
+    return F.xxhash64(text)
 
 
 def chunked(docs: DataFrame, id_column: str, text: str, carry: Column) -> DataFrame:
-    """Rows `row`, `id`, `lines` and `chunks` (start, end: half-open ranges of lines)."""
-    staged = docs.select(carry.alias("row"), col(id_column).alias("id"), F.split(col(text), "\n").alias("lines"))
+    """Rows `row`, `id`, `whole`, `lines` and `chunks` (start, end: half-open ranges of lines)."""
+    staged = docs.select(carry.alias("row"), col(id_column).alias("id"), _whole(col(text)).alias("whole"), F.split(col(text), "\n").alias("lines"))
     bits = lambda x: F.conv(F.substring(F.md5(x.cast("binary")), 1, 8), 16, 10).cast("long")
     staged = staged.withColumn("_h", F.transform("lines", bits))
     after = F.when(F.size("_h") >= WIDTH, F.sequence(F.lit(WIDTH - 1), F.size("_h") - 1)).otherwise(F.array().cast("array<int>"))
@@ -45,32 +50,41 @@ def _text_of(chunk: Column) -> Column:
     return F.array_join(F.slice("lines", chunk["start"] + 1, chunk["end"] - chunk["start"]), "\n")
 
 
-def repeated(docs: DataFrame, id_column: str = "doc_id", text: str = "text", least: int = LEAST_LINES) -> DataFrame:
-    """Rows `id`, `starts`: the first lines of the chunks to remove from a document."""
-    some = chunked(docs, id_column, text, F.lit(0))
-    wordy = lambda c: F.size(F.filter(F.slice("lines", c["start"] + 1, c["end"] - c["start"]), lambda x: x.rlike(_WORD))) >= least
-    staged = some.withColumn("chunks", F.filter("chunks", wordy))
+def _gone(cut: DataFrame) -> DataFrame:
+    """Rows `id`, `whole`, `start`, `end`: those of the `chunks` that are not the first of their text."""
+    texts = F.transform("chunks", lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), _text_of(c).alias("chunk")))
     # With explode Spark would add a filter on the size of `chunks` and compute them anew for it, below all projections.
-    staged = staged.select("id", "lines", F.explode_outer("chunks").alias("c")).where("c IS NOT NULL")
-    staged = staged.select("id", F.col("c.start").alias("start"), _text_of(F.col("c")).alias("chunk"))
+    staged = cut.select("id", "whole", F.explode_outer(texts).alias("c")).where("c IS NOT NULL").select("id", "whole", "c.*")
     staged = staged.withColumn("key", F.xxhash64("chunk"))
     # Keys alone are counted first, with partial sums: most chunks are unique and go no further.
     twice = written(staged.groupBy("key").count().where("count > 1").select("key"))
     found = written(staged.join(twice.hint("merge"), "key", "left_semi"))
-    place = F.col("id").cast("decimal(28,0)") * F.lit(_PLACES).cast("decimal(11,0)") + F.col("start")
-    found = found.withColumn("place", place.cast("decimal(38,0)"))
+    place = F.struct(F.col("id").isNull().alias("last"), "id", "whole", "start", "end")
     # Grouping by the text itself compares the bytes.
-    first = written(found.groupBy("key", "chunk").agg(F.count("*").alias("n"), F.min("place").alias("first")).where("n > 1"))
-    gone = found.join(first, ["key", "chunk"]).where(F.col("first").isNotNull() & ~F.col("place").eqNullSafe(F.col("first")))
-    return gone.groupBy("id").agg(F.collect_set("start").alias("starts"))
+    first = written(found.groupBy("key", "chunk").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1"))
+    same = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("whole") == F.col("first.whole")) & (F.col("start") < F.col("first.end"))
+    return found.join(first.select("key", "chunk", "first"), ["key", "chunk"]).where(~same).select("id", "whole", "start", "end")
+
+
+def repeated(docs: DataFrame, id_column: str = "doc_id", text: str = "text", least: int = LEAST_LINES) -> DataFrame:
+    """Rows `id`, `whole`, `starts`: the first lines of the chunks to remove from a document."""
+    some = chunked(docs, id_column, text, F.lit(0))
+    wordy = lambda c: F.size(F.filter(F.slice("lines", c["start"] + 1, c["end"] - c["start"]), lambda x: x.rlike(_WORD))) >= least
+    gone = _gone(some.withColumn("chunks", F.filter("chunks", wordy)))
+    return gone.groupBy("id", "whole").agg(F.collect_set("start").alias("starts"))
+
+
+def _with_gone(docs: DataFrame, gone: DataFrame, id_column: str, text: str, carry: Column) -> DataFrame:
+    """Rows `row`, `id`, `text` with what `gone` has for the document."""
+    joined = docs.select(carry.alias("row"), col(id_column).alias("id"), col(text).alias("text"), _whole(col(text)).alias("whole"))
+    gone = gone.withColumnsRenamed({"id": "_id", "whole": "_whole"}).hint("shuffle_hash")
+    return joined.join(gone, F.col("id").eqNullSafe(F.col("_id")) & (F.col("whole") == F.col("_whole")), "left").drop("_id", "whole", "_whole")
 
 
 def dedup(docs: DataFrame, id_column: str = "doc_id", text: str = "text", least: int = LEAST_LINES, carry: Column | None = None) -> DataFrame:
     """Each row with its lines that stay: `row` (the document), `id`, `kept`, `n_lines`, `n_removed`, `n_chunks`."""
     gone = repeated(docs, id_column, text, least)
-    carry = packed(docs.columns) if carry is None else carry
-    joined = docs.select(carry.alias("row"), col(id_column).alias("id"), col(text).alias("text"))
-    joined = joined.join(gone.hint("shuffle_hash").withColumnRenamed("id", "_id"), F.col("id").eqNullSafe(F.col("_id")), "left")
+    joined = _with_gone(docs, gone, id_column, text, packed(docs.columns) if carry is None else carry)
     again = chunked(joined, "id", "text", F.struct("row", "starts")).select("row.*", "id", "lines", "chunks")
     drop = F.coalesce("starts", F.array().cast("array<int>"))
     stay = F.filter("chunks", lambda c: ~F.array_contains(drop, c["start"]))
