@@ -6,6 +6,11 @@ with at least `least` lines that hold a word is a candidate. Of equal candidates
 same text too; the others are removed. A null text has no lines and stays null. Rows that share an id and a text (told by
 its hash) are taken as one document: a chunk stays or goes in all of them. Texts of one id come in the order of their
 hashes, and so do rows without an id, after all others.
+
+Bounds are sparse, so chunks miss most passages of few lines. `remove_repeated`, which the pipeline uses, therefore puts a
+window at every line that holds a word: `LEAST_LINES` such lines with what stands between. A window that repeats an earlier one
+is removed, so every line of a run of that many lines that occurred before goes, wherever the run begins and ends. Windows that overlap
+the first copy in its own text stay.
 """
 
 from __future__ import annotations
@@ -50,6 +55,17 @@ def _text_of(chunk: Column) -> Column:
     return F.array_join(F.slice("lines", chunk["start"] + 1, chunk["end"] - chunk["start"]), "\n")
 
 
+def windows(docs: DataFrame, id_column: str, text: str, carry: Column, least: int = LEAST_LINES) -> DataFrame:
+    """As `chunked`, with a chunk from each line that holds a word to the end of the `least`th of them."""
+    staged = docs.select(carry.alias("row"), col(id_column).alias("id"), _whole(col(text)).alias("whole"), F.split(col(text), "\n").alias("lines"))
+    numbered = F.transform("lines", lambda x, i: F.when(x.rlike(_WORD), i))
+    staged = staged.withColumn("_w", F.filter(numbered, lambda i: i.isNotNull()))
+    ends = F.slice("_w", least, F.greatest(F.size("_w") - least + 1, F.lit(0)))
+    starts = F.slice("_w", 1, F.size(ends))
+    chunks = F.zip_with(starts, ends, lambda s, e: F.struct(s.alias("start"), (e + 1).alias("end")))
+    return staged.withColumn("chunks", F.when(F.size("_w") >= least, chunks)).drop("_w")
+
+
 def _gone(cut: DataFrame) -> DataFrame:
     """Rows `id`, `whole`, `start`, `end`: those of the `chunks` that are not the first of their text."""
     texts = F.transform("chunks", lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), _text_of(c).alias("chunk")))
@@ -98,6 +114,11 @@ def dedup(docs: DataFrame, id_column: str = "doc_id", text: str = "text", least:
 
 
 def remove_repeated(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents without the repeated chunks of lines, with their own columns."""
-    out = dedup(docs, id_column, text)
-    return out.select(*[(F.col("kept") if c == text else F.col("row")[c]).alias(c) for c in docs.columns])
+    """The documents without the runs of lines that occurred before, with their own columns."""
+    gone = _gone(windows(docs, id_column, text, F.lit(0)))
+    gone = gone.groupBy("id", "whole").agg(F.collect_set(F.struct("start", "end")).alias("gone"))
+    out = _with_gone(docs, gone, id_column, text, packed(docs.columns)).withColumn("lines", F.split("text", "\n"))
+    numbers = F.flatten(F.transform("gone", lambda g: F.sequence(g["start"], g["end"] - 1)))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), numbers)
+    kept = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(stay, lambda i: F.get("lines", i)), "\n"))
+    return out.select(*[(kept if c == text else F.col("row")[c]).alias(c) for c in docs.columns])

@@ -43,3 +43,35 @@ def test_rows_of_one_id_and_other_texts(spark):
     assert all(out == text for _, text, out, _ in kept(spark, rows) if text in twins)
     again = {text: n for _, text, _, n in kept(spark, [(5, shared + "\na"), (5, shared + "\nb")])}
     assert sorted(n > 2 for n in again.values()) == [False, True]
+
+
+def shared_runs(texts, least=2):
+    """Lines with a word of each text that lie in a run of `least` such lines that occurs elsewhere or before, by text."""
+    wordy = [[(i, x) for i, x in enumerate(t.split("\n")) if x.strip(" \t\n\v\f\r")] for t in texts]
+    places = {}
+    for d, lines in enumerate(wordy):
+        for k in range(len(lines) - least + 1):
+            places.setdefault(tuple(x for _, x in lines[k : k + least]), []).append((d, k))
+    later = set()
+    for found in places.values():
+        d, first = found[0]
+        later |= {(e, wordy[e][k + j][0]) for e, k in found[1:] for j in range(least) if (e, k) >= (d, first + least) or e != d}
+    return later
+
+
+def test_pipeline_removes_every_repeated_run(spark):
+    """Recall against all repeated runs of two lines or more, at any place and of any length; all else stays."""
+    lines = prose(41, 12 * 60).split("\n")
+    texts = ["\n".join(lines)]
+    for n in range(2, 10):
+        for at in range(0, 60 - n, 7):
+            texts.append(f"{prose(1000 * n + at, 40)}\n" + "\n".join(lines[at : at + n]) + f"\n{prose(9000 + 100 * n + at, 30)}")
+    texts += ["same line\n" * 7, "a b\n\n c d\ne f\n a b", "x y\na b\n\n c d\nz", lines[3], "", " \n\n"]
+    docs = spark.createDataFrame([*enumerate(texts), (None, texts[5]), (None, None)], "doc_id long, text string")
+    later = shared_runs([*texts, texts[5]])
+    got = {r.doc_id: r.text for r in line_dedup.remove_repeated(docs).where("doc_id IS NOT NULL").collect()}
+    wanted = {d: "\n".join(x for i, x in enumerate(t.split("\n")) if (d, i) not in later) for d, t in enumerate(texts)}
+    blank = len(texts) - 4
+    assert got.pop(blank) == "x y\nz" and wanted.pop(blank) == "x y\n\nz"  # what stands between goes too
+    assert got == wanted and sum(d < len(texts) for d, _ in later) > 300
+    assert sorted(str(r.text) for r in line_dedup.remove_repeated(docs).where("doc_id IS NULL").collect()) == ["", "None"]
