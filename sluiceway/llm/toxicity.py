@@ -1,8 +1,8 @@
 """Toxicity: a learned lexicon as a trie, met by Levenshtein automata, and scores from the window around each hit.
 
 Lexicon: words of labelled documents, counted in both classes over the whole sample. A word, or a beginning of at least `STEM` letters that several words
-share, enters if it has the support of at least `SUPPORT` toxic documents and is `ODDS` times as frequent in them as in others. Copies of a
-document count once. A term weighs the logarithm of its odds.
+share, enters if it has the support of at least `SUPPORT` toxic documents and is `ODDS` times as frequent in them as in others. Documents with
+the same set of words are copies and count once, with the label that most of them have (toxic if equally many). A term weighs the logarithm of its odds.
 
 Hits: a document's words are run through the trie with the automaton of the word: a row of edit distances follows each branch and ends it
 when all are above the bound (1 for terms of five letters or more, else 0). A stem is met by a word's beginning. Two tables of three-byte
@@ -183,8 +183,9 @@ def _terms(sample: DataFrame) -> dict[str, float]:
     """Words and stems that toxic documents have and others do not, with their weights."""
     folded = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     words = sample.select("label", F.array_distinct(F.regexp_extract_all(folded, F.lit(r"[0-9a-z[^\x00-\x7F]]+"), F.lit(0))).alias("words"))
-    # Copies share the least hash of their words; one of them is enough.
-    words = words.withColumn("like", F.array_min(F.transform("words", lambda w: F.xxhash64(w)))).dropDuplicates(["like"])
+    # Copies have the whole set of words in common; near copies count each.
+    words = words.withColumn("words", F.sort_array("words")).withColumn("key", F.sha2(F.array_join("words", " ").cast("binary"), 256))
+    words = words.groupBy("key").agg((2 * F.sum("label") >= F.count("*")).cast("int").alias("label"), F.first("words").alias("words"))
     words = written(words.select("label", "words"))
     total = {r.label: r["count"] for r in words.groupBy("label").count().collect()}
     if len(total) < 2:

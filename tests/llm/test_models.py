@@ -70,3 +70,17 @@ def test_one_edit_is_found_and_two_are_not():
         return (trie.met(word) or (None,))[0]
 
     assert [edits(w) for w in ("moron", "m0ron", "morn", "mooron", "m0r0n", "scum", "scun", "loweischaft")] == [0, 1, 1, 1, None, 0, None, 0]
+
+
+def test_only_true_copies_count_once(spark):
+    """Documents that share frequent words stay apart; copies, in any order of words, are one."""
+    rows = []
+    for i in range(240):
+        common = prose(77, 40).split()
+        own = prose(3000 + i, 6).split()
+        rows.append((" ".join(common + own + (["rarebile"] if i < 12 else [])), int(i < 80)))
+    rows += [(" ".join(common + ["copiedbile"]), 1), (" ".join(["copiedbile"] + common[::-1]), 1)] * 10
+    sample = spark.createDataFrame(rows, "text string, label int")
+    terms = toxicity._terms(sample)
+    assert "rarebile" in terms and "copiedbile" not in terms
+    assert toxicity._terms(sample.repartition(7)) == terms
