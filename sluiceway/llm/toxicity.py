@@ -5,8 +5,9 @@ share, enters if it has the support of at least `SUPPORT` toxic documents and is
 the same set of words are copies and count once, with the label that most of them have (toxic if equally many). A term weighs the logarithm of its odds.
 
 Hits: a document's words are run through the trie with the automaton of the word: a row of edit distances follows each branch and ends it
-when all are above the bound (1 for terms of five letters or more, else 0). A stem is met by a word's beginning. Two tables of three-byte
-codes rule out most words before: with one edit, the term's first three bytes or those after them are in the word, moved by one place at most.
+when all are above the bound (1 for terms of five letters or more, else 0). A stem is met by a word's beginning. Two tables of codes
+of three letters (code points, not bytes) rule out most words before: with one edit, the term's first three letters, or the three after them moved by
+one place at most, are in the word. Codes are hashed into the tables, so a word may pass for nothing but is never missed.
 
 Context: a hit counts as quoted if marks of quotation stand on both sides within `REACH` words, or a word of reporting stands before it.
 Exact, misspelled and quoted hits, their share of the words and the sum of their weights go into a logistic score that is fitted on the sample.
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from sluiceway.llm.samples import labelled
 from sluiceway.llm.stage import col, written
-from sluiceway.llm.text import Words, bounded_batches, letter_words, lower_ascii, slices
+from sluiceway.llm.text import Words, bounded_batches, letter_words, lower_ascii, mixed, slices
 
 SAMPLE = 24_000
 SUPPORT = 6
@@ -37,6 +38,7 @@ TERMS = 5_000
 REACH = 8
 FUZZY_LETTERS = 5
 _MEMO = 200_000
+_SPREAD, _NO_LETTER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0)
 # Marks of quotation and words of reporting.
 OPENING = ('"', "“", "„", "«", "‘")
 CLOSING = ('"', "”", "“", "»", "’")
@@ -90,6 +92,25 @@ class Trie:
         return best
 
 
+def _letters(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The letters of all texts, each as the number that its bytes make, and where each word starts and ends among them."""
+    data = np.concatenate([words.data, np.zeros(4, np.uint8)])
+    opens = (data & 0xC0) != 0x80
+    first = np.flatnonzero(opens)
+    letters = data[first].astype(np.uint64)
+    wide = np.flatnonzero(letters >= 0xC0)
+    size = np.diff(first, append=len(data))[wide]
+    for i in range(1, 4):
+        more = wide[size > i]
+        letters[more] = letters[more] << np.uint64(8) | data[first[more] + i].astype(np.uint64)
+    before = np.concatenate([[0], np.cumsum(opens)])
+    return letters, before[words.start], before[words.end]
+
+
+def _slots(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+    return mixed((a * _SPREAD + b) * _SPREAD + c, 9) >> np.uint64(40)
+
+
 class Lexicon:
     """Terms, the tables that rule words out, and the weights of the score."""
 
@@ -100,11 +121,12 @@ class Lexicon:
         self.weights = np.zeros(6)
         self.memo: dict[bytes, tuple[int, float] | None] = {}
         for term in self.terms:
-            raw = term.removesuffix("*").encode()
-            long = len(term.removesuffix("*")) >= FUZZY_LETTERS
-            self._open(self.head, raw[:3])
-            if long:
-                self._open(self.rest, raw[3:6])
+            letters = term.removesuffix("*")
+            if term.endswith("*") and len(letters) < 3:
+                self.head[:] = True
+            self.head[self._slot(letters[:3])] = True
+            if len(letters) >= FUZZY_LETTERS:
+                self.rest[self._slot(letters[3:6])] = True
         self.reporting = {w.encode() for w in REPORTING}
 
     def __getstate__(self) -> dict:
@@ -115,19 +137,17 @@ class Lexicon:
         self.weights = state["weights"]
 
     @staticmethod
-    def _open(table: np.ndarray, code: bytes) -> None:
-        """Marks a code; shorter ones stand for any bytes that follow."""
-        first = int.from_bytes(code.ljust(3, b"\0"), "big")
-        table[first : first + (1 << 8 * (3 - len(code)))] = True
+    def _slot(letters: str) -> int:
+        """Place of up to three letters in the tables."""
+        codes = [int.from_bytes(x.encode(), "big") for x in letters] + [0] * (3 - len(letters))
+        return int(_slots(*(np.array([x], np.uint64) for x in codes))[0])
 
     def _likely(self, words: Words) -> np.ndarray:
-        data = np.concatenate([words.data, np.zeros(8, np.uint8)]).astype(np.uint32)
-        size = words.end - words.start
+        letters, start, end = _letters(words)
 
         def code(shift: int) -> np.ndarray:
-            at = words.start + shift
-            parts = [np.where(size > shift + i, data[np.minimum(at + i, len(data) - 1)], 0) for i in range(3)]
-            return parts[0] << np.uint32(16) | parts[1] << np.uint32(8) | parts[2]
+            at = start + shift
+            return _slots(*(np.where(at + i < end, letters[np.minimum(at + i, len(letters) - 1)], _NO_LETTER) for i in range(3)))
 
         return np.flatnonzero(self.head[code(0)] | self.rest[code(2)] | self.rest[code(3)] | self.rest[code(4)])
 

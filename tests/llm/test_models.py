@@ -84,3 +84,33 @@ def test_only_true_copies_count_once(spark):
     terms = toxicity._terms(sample)
     assert "rarebile" in terms and "copiedbile" not in terms
     assert toxicity._terms(sample.repartition(7)) == terms
+
+
+def test_words_ruled_out_are_no_hits():
+    """Every word that an unfiltered walk through the trie meets passes the tables before it, with letters of any size."""
+    import pyarrow as pa
+
+    from sluiceway.llm.text import Words, letter_words, lower_ascii
+
+    pick = random.Random(5)
+    letters = "abdeor1öéßдуракий­​中😀"
+    terms = {"größer": 1.0, "trödler": 1.0, "brésil": 1.0, "crétin": 1.0, "дурак": 1.0, "moron": 1.0, "grobian": 1.0, "scum": 1.0, "böse*": 1.0, "дурако*": 1.0, "abc": 1.0}
+    for _ in range(60):
+        term = "".join(pick.choice(letters) for _ in range(pick.randint(3, 8)))
+        terms[term + "*" * (len(term) > 3 and pick.random() < 0.3)] = 1.0
+    words = ["großer", "trodler", "bresil", "cretin", "дорак", "mo­ron", "gr​obian", "ab", "дурнакой"]
+    for term in terms:
+        for _ in range(40):
+            word, at = term.removesuffix("*"), pick.randrange(len(term))
+            word = word[:at] + pick.choice(["", pick.choice(letters)]) + word[at + pick.randint(0, 1) :]
+            words.append(word + "".join(pick.choice(letters) for _ in range(pick.choice([0, 0, 3]))))
+    words = [w for w in words if w]
+    lexicon = toxicity.Lexicon(terms)
+    found = Words(pa.array([" ".join(words[:99]), None, "", " ".join(words[99:])]), letter_words(), lower_ascii())
+    assert len(found) == len(words)
+    likely = set(lexicon._likely(found).tolist())
+    met = {i for i, w in enumerate(words) if lexicon.trie.met(w)}
+    assert met <= likely and set(range(7)) <= met and len(met) > 1000
+    assert lexicon._likely(Words(pa.array(["", None]), letter_words(), lower_ascii())).size == 0
+    plain = Words(pa.array([prose(6, 4000)]), letter_words(), lower_ascii())
+    assert len(lexicon._likely(plain)) < 400
