@@ -50,3 +50,17 @@ def test_all_are_registered():
 
 def test_entry(spark):
     assert driver.entry(spark).count() > 0
+
+
+def test_queries_without_the_corpus_package(tmp_path):
+    """A checkout without the removable folders still lists its own queries."""
+    import shutil
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.abspath(driver.__file__))
+    shutil.copy(os.path.join(root, "__spark_entry__.py"), tmp_path)
+    shutil.copytree(os.path.join(root, "sluiceway"), tmp_path / "sluiceway", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    code = "import __spark_entry__ as d; print(len(d.queries()), sorted(d.queries()) == sorted(d.oracle_sql()))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={**os.environ, "PYTHONPATH": ""}, capture_output=True, text=True)
+    assert done.stdout.split() == [str(len(QUERIES)), "True"], done.stderr
