@@ -128,7 +128,52 @@ SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, doc_id = co
 FROM documents JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)
 """
 
+MANIFEST = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, lang, concat(coalesce(strlen(doc_id::VARCHAR)::VARCHAR || ':' || doc_id::VARCHAR, '-'),
+      coalesce(strlen(source)::VARCHAR || ':' || source, '-'), coalesce(strlen(lang)::VARCHAR || ':' || lang, '-'),
+      coalesce(strlen(n_chars::VARCHAR)::VARCHAR || ':' || n_chars::VARCHAR, '-')) AS head,
+    coalesce(strlen(text)::VARCHAR || ':' || text, '-') AS body,
+    list_reduce([4294967295::BIGINT] || flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: [256 + ascii(c), 1, 1, 1, 1, 1, 1, 1, 1]::BIGINT[])),
+      lambda c, x: CASE WHEN x >= 256 THEN xor(c, x - 256) WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS crc
+  FROM documents),
+r AS (
+  SELECT doc_id, lang, sha256(head || body) AS leaf,
+    CASE WHEN xor(crc, 4294967295) % 3 = 0 THEN sha256(head || translate(body, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) END AS other,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, sha256(head || body)) - 1 AS place
+  FROM d),
+n AS (
+  SELECT lang, 0 AS lev, place, leaf AS node FROM r
+  UNION ALL
+  SELECT lang, lev + 1, place // 8, sha256(string_agg(node, '' ORDER BY place))
+  FROM (SELECT *, count(*) OVER (PARTITION BY lang) AS c FROM n) WHERE c > 1 GROUP BY lang, lev, place // 8),
+m AS (SELECT lang, max(lev) AS top, arg_max(node, lev) AS subroot FROM n GROUP BY lang),
+s AS (SELECT *, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place FROM m),
+k AS (
+  SELECT 0 AS lev, place, subroot AS node FROM s
+  UNION ALL
+  SELECT lev + 1, place // 8, sha256(string_agg(node, '' ORDER BY place))
+  FROM (SELECT *, count(*) OVER () AS c FROM k) WHERE c > 1 GROUP BY lev, place // 8),
+w AS (SELECT max(lev) AS top, arg_max(node, lev) AS root FROM k),
+steps AS (
+  SELECT r.lang, r.place, n.lev, coalesce(string_agg(n.node, '' ORDER BY n.place) FILTER (n.place < r.place >> (3 * n.lev)), '') AS l,
+    coalesce(string_agg(n.node, '' ORDER BY n.place) FILTER (n.place > r.place >> (3 * n.lev)), '') AS r
+  FROM r JOIN m ON r.lang IS NOT DISTINCT FROM m.lang JOIN n ON n.lang IS NOT DISTINCT FROM r.lang AND n.lev < m.top
+    AND n.place >> 3 = r.place >> (3 * n.lev + 3) GROUP BY ALL
+  UNION ALL
+  SELECT r.lang, r.place, 1000 + k.lev, coalesce(string_agg(k.node, '' ORDER BY k.place) FILTER (k.place < s.place >> (3 * k.lev)), ''),
+    coalesce(string_agg(k.node, '' ORDER BY k.place) FILTER (k.place > s.place >> (3 * k.lev)), '')
+  FROM r JOIN s ON r.lang IS NOT DISTINCT FROM s.lang JOIN k ON k.lev < (SELECT top FROM w) AND k.place >> 3 = s.place >> (3 * k.lev + 3) GROUP BY ALL),
+p AS (SELECT lang, place, list(l || '|' || r ORDER BY lev) AS path, string_agg(l || r, '' ORDER BY lev) AS siblings FROM steps GROUP BY lang, place),
+f AS (
+  SELECT r.*, m.subroot, w.root, sha256(coalesce(siblings, '')) AS proof_sha256,
+    list_reduce([coalesce(other, leaf)] || coalesce(path, []::VARCHAR[]), lambda h, x: sha256(split_part(x, '|', 1) || h || split_part(x, '|', 2))) AS folded_root
+  FROM r JOIN m ON r.lang IS NOT DISTINCT FROM m.lang CROSS JOIN w LEFT JOIN p ON p.lang IS NOT DISTINCT FROM r.lang AND p.place = r.place)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM f
+"""
+
 ORACLES = {
+    "op13_merkle_manifest": MANIFEST,
     "op2_decontamination": DECONTAMINATION,
     "op3_substring_dedup": SUBSTRING_DEDUP,
     "op4_minhash_near_dedup": NEAR_DEDUP,

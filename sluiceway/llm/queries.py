@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluiceway.llm import (
-    decontamination, language_id, line_dedup, mixing, near_dedup, quality_classifier, quality_rules, secrets, substring_dedup, toxicity,
+    decontamination, language_id, line_dedup, manifest, mixing, near_dedup, quality_classifier, quality_rules, secrets, substring_dedup, toxicity,
 )
 from sluiceway.llm.oracles import ORACLES
 from sluiceway.llm.stage import written
@@ -97,6 +97,16 @@ def quality_rules_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def manifest_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    chosen = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 0
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    other = manifest.leaf([lowered if f == "text" else F.col(f) for f in manifest.FIELDS])
+    out = manifest.manifest(docs, chosen, other)
+    return out.select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 _QUERIES = {
     "op1_line_dedup": line_dedup_query,
     "op2_decontamination": decontamination_query,
@@ -108,6 +118,7 @@ _QUERIES = {
     "op8_toxicity": toxicity_query,
     "op9_quality_classifier": quality_classifier_query,
     "op10_quality_rules": quality_rules_query,
+    "op13_merkle_manifest": manifest_query,
 }
 
 

@@ -75,3 +75,13 @@ def empty(spark, edge, tmp_path_factory):
     for name in ("documents", "benchmark", "labels"):
         spark.read.parquet(f"{edge}/{name}.parquet").where("false").write.parquet(f"{folder}/{name}.parquet")
     return folder
+
+
+CONVERSATIONS = T.StructType([
+    T.StructField("conv_id", T.LongType()), T.StructField("turn", T.LongType()), T.StructField("role", T.StringType()), T.StructField("text", T.StringType()),
+    T.StructField("row", T.StringType()), T.StructField("pos", T.StringType()), T.StructField("letter", T.StringType()),
+])
+EMBEDDINGS = T.StructType([
+    T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.FloatType())), T.StructField("label", T.IntegerType()),
+    T.StructField("ids", T.StringType()), T.StructField("bucket", T.StringType()), T.StructField("query_id", T.StringType()),
+])
