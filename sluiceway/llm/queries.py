@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluiceway.llm import (
-    decontamination, language_id, line_dedup, manifest, mixing, near_dedup, quality_classifier, quality_rules, secrets, substring_dedup, toxicity,
+    decontamination, language_id, line_dedup, manifest, mixing, near_dedup, quality_classifier, quality_rules, secrets, substring_dedup, toxicity, vector_search,
 )
 from sluiceway.llm.oracles import ORACLES
 from sluiceway.llm.stage import written
@@ -97,6 +97,11 @@ def quality_rules_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def vector_search_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = vector_search.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), F.col("distance").alias("score"))
+
+
 def manifest_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     chosen = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 0
@@ -118,6 +123,7 @@ _QUERIES = {
     "op8_toxicity": toxicity_query,
     "op9_quality_classifier": quality_classifier_query,
     "op10_quality_rules": quality_rules_query,
+    "op11_vector_search": vector_search_query,
     "op13_merkle_manifest": manifest_query,
 }
 
