@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluiceway.llm import (
-    decontamination, language_id, line_dedup, manifest, mixing, near_dedup, quality_classifier, quality_rules, secrets, substring_dedup, toxicity, vector_search,
+    conversation_repair, decontamination, language_id, line_dedup, manifest, mixing, near_dedup, quality_classifier, quality_rules, secrets, substring_dedup, toxicity, vector_search,
 )
 from sluiceway.llm.oracles import ORACLES
 from sluiceway.llm.stage import written
@@ -102,6 +102,16 @@ def vector_search_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), F.col("distance").alias("score"))
 
 
+def conversation_repair_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations")
+    report = conversation_repair.repair(conversation_repair.damaged(rows)).report
+    ids = rows.select(F.col("conv_id").alias("_id")).distinct()
+    found = ids.join(report, F.col("_id").eqNullSafe(F.col("conv_id")), "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return found.select(
+        F.col("_id").alias("conv_id"), *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", _sha(F.lit(""))).alias("repaired_sha256"))
+
+
 def manifest_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     chosen = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 0
@@ -124,6 +134,7 @@ _QUERIES = {
     "op9_quality_classifier": quality_classifier_query,
     "op10_quality_rules": quality_rules_query,
     "op11_vector_search": vector_search_query,
+    "op12_conversation_repair": conversation_repair_query,
     "op13_merkle_manifest": manifest_query,
 }
 
