@@ -172,7 +172,69 @@ f AS (
 SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM f
 """
 
+
+def _repair_step() -> str:
+    """Cheapest suffix of edits by state (e, s, u, a) before a turn, from those after it, with the texts that it leaves."""
+    def edit(letter: str, cost: str, after: str, line: str | None) -> str:
+        lines = f"v.{after}.r" if line is None else f"list_prepend({line}, v.{after}.r)"
+        return f"{{'c': {cost} + v.{after}.c, 'a': '{letter}' || v.{after}.a, 'r': {lines}}}"
+
+    parts = []
+    for state in "esua":
+        after, name = ("a", "assistant") if state == "u" else ("u", "user")
+        options = [edit("D", "2", state, None), f"CASE WHEN NOT gone THEN {edit('R', '1 + extra', after, f"'{name}:' || text")} END"]
+        options.append(f"CASE WHEN NOT gone AND initial = '{after}' THEN {edit('K', 'extra', after, "role || ':' || text")} END")
+        if state == "e":
+            options.append(f"CASE WHEN NOT gone AND initial = 's' THEN {edit('K', 'extra', 's', "role || ':' || text")} END")
+        parts.append(f"list_sort(list_filter([{', '.join(options)}], lambda x: x IS NOT NULL))[1] AS {state}")
+    return ",\n      ".join(parts)
+
+
+def _repair_inserts() -> str:
+    user = "{'c': 5 + u.c, 'a': 'I' || u.a, 'r': list_prepend('user:', u.r)}"
+    both = "{'c': 10 + a.c, 'a': 'II' || a.a, 'r': list_prepend('user:', list_prepend('assistant:', a.r))}"
+    assistant = "{'c': 5 + a.c, 'a': 'I' || a.a, 'r': list_prepend('assistant:', a.r)}"
+    return f"list_sort([e, {user}, {both}])[1] AS e, list_sort([s, {user}, {both}])[1] AS s, list_sort([u, {assistant}])[1] AS u, list_sort([a, {user}])[1] AS a"
+
+
+CONVERSATION_REPAIR = rf"""
+WITH RECURSIVE b AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce([4294967295::BIGINT] || flatten(list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+      lambda c: [256 + ascii(c), 1, 1, 1, 1, 1, 1, 1, 1]::BIGINT[])),
+      lambda c, x: CASE WHEN x >= 256 THEN xor(c, x - 256) WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END), 4294967295) % 20 AS f
+  FROM conversations),
+d AS (
+  SELECT conv_id, turn, CASE f WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE f WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(CASE f WHEN 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM b WHERE f <> 0),
+o AS (
+  SELECT *, row_number() OVER w AS i, left(role, 1) AS initial, left(role, 1) || lead(left(role, 1)) OVER w AS pair,
+    NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank, CASE WHEN regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 0 ELSE 5 END AS extra
+  FROM d WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)),
+p AS (SELECT *, NOT blank AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again FROM o),
+z AS (SELECT *, blank OR again AS gone FROM p),
+v AS (
+  SELECT conv_id, max(i) + 1 AS i, {{'c': 0, 'a': '', 'r': []::VARCHAR[]}} AS e, {{'c': 10, 'a': 'II', 'r': ['user:', 'assistant:']}} AS s,
+    {{'c': 5, 'a': 'I', 'r': ['assistant:']}} AS u, {{'c': 0, 'a': '', 'r': []::VARCHAR[]}} AS a FROM z GROUP BY conv_id
+  UNION ALL
+  SELECT conv_id, i, {_repair_inserts()}
+  FROM (
+    SELECT z.conv_id, z.i, {_repair_step()}
+    FROM v JOIN z ON z.conv_id IS NOT DISTINCT FROM v.conv_id AND z.i = v.i - 1)),
+c AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (again) AS duplicate,
+    count(*) FILTER (NOT gone AND extra > 0) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM z GROUP BY conv_id),
+n AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT n.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(v.e.c, 0)::BIGINT AS cost, coalesce(v.e.a, '') AS audit,
+  sha256(coalesce(array_to_string(v.e.r, chr(10)), '')) AS repaired_sha256
+FROM n LEFT JOIN c ON c.conv_id IS NOT DISTINCT FROM n.conv_id LEFT JOIN v ON v.conv_id IS NOT DISTINCT FROM n.conv_id AND v.i = 1
+"""
+
 ORACLES = {
+    "op12_conversation_repair": CONVERSATION_REPAIR,
     "op13_merkle_manifest": MANIFEST,
     "op2_decontamination": DECONTAMINATION,
     "op3_substring_dedup": SUBSTRING_DEDUP,
