@@ -31,14 +31,16 @@ def failed_events(transformed: DataFrame, stamp: Column, *keep: str) -> DataFram
 def serialised(failed: DataFrame, max_bytes: int = MAX_RECORD_BYTES) -> DataFrame:
     """One JSON ``value`` per failed event.
 
-    A record above the cap is replaced by a size violation that states both sizes and the original
-    kind and shows the start of the payload; ``oversized`` holds the whole payload then, to be kept beside it.
+    A record above the cap is replaced by a size violation that states both sizes, the original
+    kind and a key and shows the start of the payload; ``oversized`` holds the whole event then, with its reasons and the same key, to be kept beside it.
     """
     record = failed.select(
-        F.col("kind"), "processor", "payload",
+        F.col("kind"), "processor", "payload", "errors",
         F.to_json(F.struct("kind", "processor", "errors", "payload")).alias("json_"),
     )
 
+    key = F.sha2(F.col("json_").cast("binary"), 256)
+
     def violation(chars: int) -> Column:
         return F.to_json(F.struct(
             F.lit(E.SIZE).alias("kind"),
@@ -47,6 +49,7 @@ def serialised(failed: DataFrame, max_bytes: int = MAX_RECORD_BYTES) -> DataFram
                 F.lit(max_bytes).alias("maximum_bytes"),
                 F.octet_length("json_").alias("actual_bytes"),
                 F.col("kind").alias("original_kind"),
+                key.alias("key"),
             ).alias("failure"),
             F.substring("payload", 1, chars).alias("payload"),
         ))
@@ -55,5 +58,5 @@ def serialised(failed: DataFrame, max_bytes: int = MAX_RECORD_BYTES) -> DataFram
     return record.select(
         F.when(F.octet_length("json_") > max_bytes, violation(preview)).otherwise(F.col("json_")).alias("value"),
         F.when(F.octet_length("json_") > max_bytes, F.lit(E.SIZE)).otherwise(F.col("kind")).alias("kind"),
-        F.when(F.octet_length("json_") > max_bytes, F.col("payload")).alias("oversized"),
+        F.when(F.octet_length("json_") > max_bytes, F.struct(key.alias("key"), "kind", "errors", "payload")).alias("oversized"),
     )

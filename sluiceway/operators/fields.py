@@ -203,6 +203,23 @@ def fields_to_alter(table: T.StructType, batch: Iterable[T.StructField]) -> list
     return [f for f in batch if differs(f)]
 
 
+def changes(table: T.StructType, batch: Iterable[T.StructField]) -> list[T.StructField]:
+    """What :func:`fields_to_alter` gives, cut down to what is new: of a record only the fields that change it."""
+    existing = {f.name: f for f in table.fields}
+
+    def narrowed(dtype: T.DataType, inner: list[T.StructField]) -> T.DataType:
+        return T.ArrayType(narrowed(dtype.elementType, inner), dtype.containsNull) if isinstance(dtype, T.ArrayType) else T.StructType(inner)
+
+    out = []
+    for field in fields_to_alter(table, batch):
+        known = existing.get(field.name)
+        outer, inner = _record(known.dataType) if known else None, _record(field.dataType)
+        if outer is not None and inner is not None:
+            field = T.StructField(field.name, narrowed(field.dataType, changes(outer, inner.fields)), field.nullable, field.metadata)
+        out.append(field)
+    return out
+
+
 def has_fields(table: T.StructType, expected: Iterable[T.StructField]) -> bool:
     """Whether the table already satisfies the expected fields."""
     return not fields_to_alter(table, expected)

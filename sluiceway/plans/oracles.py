@@ -216,7 +216,7 @@ FROM typed WHERE vendor <> 'com.unknown' AND (k_is_int OR addition = 2)"""),
 SELECT CASE WHEN strlen(record) > 380 THEN 'size_violation' ELSE kind END AS kind,
   CASE WHEN strlen(record) > 380 THEN strlen(
     '{"kind":"size_violation","processor":{"artifact":"sluiceway","version":"0.1.0"},"failure":{"maximum_bytes":380,"actual_bytes":'
-    || strlen(record) || ',"original_kind":"' || kind || '"},"payload":' || to_json(payload[1:38]) || '}'
+    || strlen(record) || ',"original_kind":"' || kind || '","key":"' || sha256(record) || '"},"payload":' || to_json(payload[1:38]) || '}'
   ) ELSE strlen(record) END AS record_bytes,
   CASE WHEN strlen(record) > 380 THEN strlen(record) END AS actual_bytes
 FROM records""", _VERDICT),
@@ -238,6 +238,16 @@ SELECT path, type, nullable, n AS occurrences FROM paths JOIN (
 SELECT CASE WHEN event_name IN ('click', 'error', 'purchase') THEN '2024-02-01' ELSE '2024-02-02' END AS load_day,
   event_name, count(*) AS n_rows
 FROM typed WHERE vendor <> 'com.unknown' AND (name = 'error' OR k_is_int) GROUP BY 1, 2"""),
+        "rerun_replaces": _with("""
+SELECT CASE WHEN event_name IN ('click', 'error', 'purchase') THEN 'first-0' ELSE 'second-0' END AS batch_id,
+  CASE WHEN event_name IN ('click', 'error', 'purchase') THEN '2024-02-01' ELSE '2024-02-02' END AS load_day, count(*) AS n
+FROM typed WHERE vendor <> 'com.unknown' AND (name = 'error' OR k_is_int) GROUP BY 1, 2
+UNION ALL
+SELECT 'failed', 'failed', count(*) + (SELECT count(*) FROM bad) FROM typed WHERE NOT (vendor <> 'com.unknown' AND (name = 'error' OR k_is_int))"""),
+        "pruned_read": _with("""
+SELECT CASE event_name WHEN 'click' THEN '2024-02-01' ELSE '2024-02-02' END AS load_day, event_name, count(*) AS n_rows,
+  CAST(sum(event_id) AS BIGINT) AS event_ids
+FROM typed WHERE vendor <> 'com.unknown' AND k_is_int AND event_name IN ('click', 'signup') AND tstamp >= TIMESTAMP '2024-01-10 06:00:00' GROUP BY 1, 2"""),
         "loaded_metrics": _with("""
 SELECT batch_id, count(*) AS n_events, count(*) FILTER (WHERE is_good) AS n_good, count(*) FILTER (WHERE NOT is_good) AS n_bad,
   CAST(sum(strlen(value)) AS BIGINT) AS n_bytes, epoch_us(min(tstamp)) AS earliest_micros

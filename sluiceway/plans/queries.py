@@ -24,7 +24,7 @@ from sluiceway.operators.registry import Resolved, match_registry, resolve, unre
 from sluiceway.operators.transform import failures, good_rows, transform_events
 from sluiceway.plans import fixtures as X
 from sluiceway.sources.lines import since, text_stream
-from sluiceway.sources.table import initial_schema, read_failed, read_metrics, read_table
+from sluiceway.sources.table import compact, initial_schema, read_failed, read_metrics, read_table
 from sluiceway.streaming.loader import configure, load_lines, run_stream
 
 # Fixed values of the queries: moments that would otherwise come from the clock, and size caps.
@@ -385,6 +385,30 @@ def daily_partitions(spark, sf_dir):
         F.count("*").alias("n_rows"))
 
 
+def rerun_replaces(spark, sf_dir):
+    """A batch that was loaded with too many lines on the wrong day, loaded again: rows by batch and day, and all failed events."""
+    root = scratch(spark)
+    options = {**X.LAYOUT, "exit_on_missing_schema": False, "skip_schemas": X.SKIP, "legacy_schemas": X.LEGACY}
+    first, second = _split_lines(spark, sf_dir)
+    state = load_lines(X.enriched_lines(spark, sf_dir), "first-0", root, _registry(spark), X.ATOMIC, SECOND_LOAD, **options)
+    state = load_lines(second, "second-0", root, _registry(spark), X.ATOMIC, SECOND_LOAD, known=state, **options)
+    load_lines(first, "first-0", root, _registry(spark), X.ATOMIC, LOAD_TSTAMP, known=state, **options)
+    loaded = read_table(spark, root).groupBy("batch_id", F.date_format("load_date", "yyyy-MM-dd").alias("load_day")).agg(F.count("*").alias("n"))
+    failed = read_failed(spark, root).agg(F.lit("failed").alias("batch_id"), F.lit("failed").alias("load_day"), F.count("*").alias("n"))
+    return loaded.unionByName(failed)
+
+
+def pruned_read(spark, sf_dir):
+    """Two days in many files, joined into few of narrow ranges; of these only the ones that may hold some event names from a moment on are read."""
+    root = _load_two_days(spark, sf_dir, spread=8)
+    days = ["2024-02-01", "2024-02-02"]
+    for day in days:
+        compact(spark, root, day, target_bytes=1 << 20)
+    rows = read_table(spark, root, days=days, event_names=["click", "signup"], since=START)
+    return rows.groupBy(F.date_format("load_date", "yyyy-MM-dd").alias("load_day"), "event_name").agg(
+        F.count("*").alias("n_rows"), F.sum("event_id").alias("event_ids"))
+
+
 def loaded_metrics(spark, sf_dir):
     metrics = read_metrics(spark, _load_two_days(spark, sf_dir))
     return metrics.select("batch_id", "n_events", "n_good", "n_bad", "n_bytes",
@@ -454,6 +478,6 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         resolve_schemas, unresolved_schemas, any_unresolved, registry_fields, strict_cast_int, cast_all_types,
         json_text_v2, json_text_legacy, array_null_drop, transform_rows, transform_legacy_mode, transform_nested,
         merged_versions, missing_schema_lenient, failed_records, failed_records_capped, row_conformance, schema_diff,
-        schema_merge, append_evolved, daily_partitions, loaded_metrics, column_cap, summary_of_batch,
+        schema_merge, append_evolved, daily_partitions, rerun_replaces, pruned_read, loaded_metrics, column_cap, summary_of_batch,
         metrics_by_period, unhealthy_periods, stream_equals_batch,
     )}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 
@@ -20,13 +21,7 @@ from sluiceway.operators.metrics import batch_summary
 from sluiceway.operators.parse import parse_lines
 from sluiceway.operators.registry import Resolved, match_registry, resolve_matched
 from sluiceway.operators.transform import good_rows, transform_events
-from sluiceway.sources import table
-
-METRICS_SCHEMA = (
-    "load_tstamp timestamp, n_events long, n_good long, n_bad long, n_bytes long, "
-    "earliest_collector_tstamp timestamp, latency_millis long, e2e_latency_millis long"
-)
-
+from sluiceway.sources import store, table
 
 class MissingSchemaError(RuntimeError):
     """A batch names schemas the registry cannot give, and the loader is set to stop on that."""
@@ -53,12 +48,13 @@ def load_batch(lines: DataFrame, batch_id: str, root: str, registry: DataFrame,
                max_columns: int | None = None, column_delay: timedelta = table.TOO_MANY_COLUMNS_DELAY,
                max_failed_bytes: int = MAX_RECORD_BYTES, app: tuple[str, str] = ("sluiceway", "0.1.0"),
                storage: StorageLevel | None = StorageLevel.MEMORY_AND_DISK, spread: int | None = None,
-               send_failed: Callable[[DataFrame, str, str], None] = table.write_failed) -> table.TableState:
+               send_failed: Callable[[DataFrame, str, str], None] | None = None, fresh: bool = False) -> table.TableState:
     """Load one batch of lines with a constant ``load_tstamp`` column and return the table state.
 
-    Order: resolve, stop on missing schemas, evolve, write rows, send failed events, record metrics.
-    Every output goes to a directory of the batch. All output of the batch id is removed before, so running it again
-    replaces it even if rows change their class or the load time falls on another day.
+    Order: resolve, stop on missing schemas, evolve, write rows, send failed events, commit.
+    Rows, failed events and metrics appear together with the commit, and what the batch id had before goes with it. So running it again
+    replaces it even if rows change their class or the load time falls on another day, and a crash at any point leaves it as it was. ``fresh`` says that
+    the batch id cannot have been committed before. ``send_failed`` takes failed events elsewhere instead; it is called before the commit, so at least once.
 
     The lines are read twice: once for the schema keys only, once for the rows. The rows are kept
     (spilling to disk) because three outputs use them; ``storage=None`` recomputes them instead.
@@ -89,8 +85,7 @@ def load_batch(lines: DataFrame, batch_id: str, root: str, registry: DataFrame,
     if storage is not None:
         conformed = conformed.persist(storage)
     try:
-        table.clear_batch(spark, root, batch_id)
-        _write_batch(conformed, batch_id, root, app, max_failed_bytes, sourced, spread, send_failed)
+        _write_batch(conformed, batch_id, root, app, max_failed_bytes, sourced, spread, send_failed, fresh)
     finally:
         if storage is not None:
             conformed.unpersist()
@@ -115,22 +110,27 @@ def _stop_on_missing(spark: SparkSession, root: str, matched: DataFrame, invalid
 
 
 def _write_batch(conformed: DataFrame, batch_id: str, root: str, app: tuple[str, str], max_failed_bytes: int,
-                 sourced: bool, spread: int | None, send_failed) -> None:
-    spark = conformed.sparkSession
+                 sourced: bool, spread: int | None, send_failed, fresh: bool) -> None:
+    spark, attempt, added = conformed.sparkSession, table.begin(), []
     newest = F.max("source_tstamp") if sourced else F.lit(None).cast("timestamp")
     loaded = F.min("load_tstamp").alias("load_tstamp")
     found = batch_summary(conformed, extra=[newest.alias("newest"), loaded]).first()
     if found["n_events"] == 0:
+        table.commit_batch(spark, root, batch_id, [], None, fresh)
         return
     latency = _millis_since(found["newest"])
+    day = found["load_tstamp"].astimezone(timezone.utc).date().isoformat()
     if found["n_good"] > 0:
-        day = found["load_tstamp"].astimezone(timezone.utc).date().isoformat()
-        table.append_rows(good_rows(conformed), root, day, batch_id, spread=spread)
+        added += table.put_rows(good_rows(conformed), root, day, batch_id, attempt, spread=spread)
     e2e = _millis_since(found["earliest_collector_tstamp"])
     if found["n_bad"] > 0:
-        send_failed(serialised(failed_events(conformed, processor(*app)), max_failed_bytes), root, batch_id)
-    row = {**found.asDict(), "latency_millis": latency, "e2e_latency_millis": e2e}
-    table.write_metrics(table.one_row(spark, row, METRICS_SCHEMA), root, batch_id)
+        failed = serialised(failed_events(conformed, processor(*app)), max_failed_bytes)
+        if send_failed is None:
+            added += table.put_failed(failed, root, day, batch_id, attempt)
+        else:
+            send_failed(failed, root, batch_id)
+    metrics = {k: v for k, v in found.asDict().items() if k != "newest"} | {"latency_millis": latency, "e2e_latency_millis": e2e}
+    table.commit_batch(spark, root, batch_id, added, metrics, fresh)
 
 
 def load_lines(lines: DataFrame, batch_id: str, root: str, registry: DataFrame, atomic: T.StructType,
@@ -146,8 +146,8 @@ def run_stream(lines: DataFrame, root: str, registry: DataFrame, atomic: T.Struc
 
     The load time is the time Spark records for the micro-batch in its offset log, so a batch that
     runs again after a crash keeps its load time and replaces its own files. Offsets are committed
-    only after a batch has been fully handled. ``loader`` keeps the batch ids of several streams into
-    one table apart.
+    only after a batch has been fully handled. A batch is named by ``loader``, the id that Spark keeps for the query in its checkpoint, and its number, so streams
+    with other checkpoints never take each other's batches for their own.
     """
     spark = lines.sparkSession
     configure(spark)
@@ -157,11 +157,15 @@ def run_stream(lines: DataFrame, root: str, registry: DataFrame, atomic: T.Struc
     resolutions: dict[frozenset, Resolved] = {}
     stamped = lines.withColumn("load_tstamp", F.current_timestamp())
 
-    def load(batch: DataFrame, batch_id: int) -> None:
+    def load(batch: DataFrame, number: int) -> None:
+        if "query" not in state:
+            state["query"] = json.loads(store.read_text(spark, f"{checkpoint}/metadata"))["id"]
+        # Only the first batch of a run may be one that a run before has committed already.
         state["known"] = load_batch(
-            batch, f"{loader}-{batch_id}", root, registry, atomic, known=state["known"],
-            resolutions=resolutions, **options
+            batch, f"{loader}-{state['query']}-{number}", root, registry, atomic, known=state["known"],
+            resolutions=resolutions, fresh=state.get("started", False), **options
         )
+        state["started"] = True
 
     return (
         stamped.writeStream.foreachBatch(load)
