@@ -3,7 +3,8 @@
 A field tree is a plain Spark data type in which ``VariantType`` stands for a JSON column. Every
 function takes and returns SQL text, so a whole entity casts inside one projection. A value that does
 not have the wanted type becomes null in :func:`cast_value`; :func:`cast_ok` and :func:`cast_errors`
-then tell a legal null from a wrong type.
+then tell a legal null from a wrong type by looking at the value beside its source, and :func:`compacted` drops the nulls of arrays at last. Arrays keep
+their nulls until then, so that each member stands beside its source: nothing is cast twice, and the text grows with the number of fields only.
 """
 
 from __future__ import annotations
@@ -124,15 +125,40 @@ def _nullish(node: str) -> str:
     return f"({node} IS NULL OR is_variant_null({node}))"
 
 
+def _items(node: str, paths: list[str], dtype: T.ArrayType, depth: int) -> tuple[str, str, str | None]:
+    """The members of an array, and of one member its VARIANT and its properties. Properties of records are taken from each member in one step."""
+    items, e = _get(node, paths, "array<variant>"), f"e{depth}"
+    members = members_of(e, dtype.elementType)
+    if members is None:
+        return items, e, None
+    return f"transform({items}, {e} -> named_struct('data', {e}, 'members', {members}))", f"{e}.data", f"{e}.members"
+
+
+def _has_arrays(dtype: T.DataType) -> bool:
+    return isinstance(dtype, T.ArrayType) or (isinstance(dtype, T.StructType) and any(_has_arrays(f.dataType) for f in dtype.fields))
+
+
+def compacted(value: str, dtype: T.DataType, depth: int = 0) -> str:
+    """The result of :func:`cast_value` without the nulls in its arrays, at every level."""
+    if not _has_arrays(dtype):
+        return value
+    if isinstance(dtype, T.StructType):
+        fields = [(f.name, compacted(field(value, f.name), f.dataType, depth)) for f in dtype.fields]
+        return f"CASE WHEN {value} IS NOT NULL THEN {record(fields)} END"
+    c = f"c{depth}"
+    kept = f"filter({value}, {c} -> {c} IS NOT NULL)"
+    return f"transform({kept}, {c} -> {compacted(c, dtype.elementType, depth + 1)})" if _has_arrays(dtype.elementType) else kept
+
+
 def _scalar(node: str, paths: list[str], dtype: T.DataType, tag: str) -> str:
     """Value of a scalar whose JSON type is the wanted one."""
-    number = f"{tag} IN ('BIGINT', 'DOUBLE', 'FLOAT') OR startswith({tag}, 'DECIMAL')"
-    string = f"CASE WHEN {tag} = 'STRING' THEN {_get(node, paths, 'string')} END"
+    string = _get(node, paths, "string")
     if isinstance(dtype, (T.IntegerType, T.LongType)):
         whole = f"{tag} = 'BIGINT' OR (startswith({tag}, 'DECIMAL') AND endswith({tag}, ',0)'))"
         return f"CASE WHEN {whole} THEN {_get(node, paths, dtype.simpleString())} END"
     if isinstance(dtype, T.DoubleType):
-        return f"CASE WHEN {number} THEN {_get(node, paths, 'double')} END"
+        # Objects and arrays are no doubles for the function itself; text and booleans would be.
+        return f"CASE WHEN {tag} NOT IN ('STRING', 'BOOLEAN') THEN {_get(node, paths, 'double')} END"
     if isinstance(dtype, T.DecimalType):
         cast = _get(node, paths, dtype.simpleString())
         digits = f"try_cast(regexp_extract({tag}, ',([0-9]+)', 1) AS int)"
@@ -144,18 +170,18 @@ def _scalar(node: str, paths: list[str], dtype: T.DataType, tag: str) -> str:
     if isinstance(dtype, T.BooleanType):
         return f"CASE WHEN {tag} = 'BOOLEAN' THEN {_get(node, paths, 'boolean')} END"
     if isinstance(dtype, T.StringType):
-        return string
+        return f"CASE WHEN {tag} = 'STRING' THEN {string} END"
+    # No other JSON value looks like a date or a moment, so the pattern tells the type as well.
     if isinstance(dtype, T.DateType):
-        return f"CASE WHEN {string} RLIKE {quoted(DATE_PATTERN)} THEN try_cast({string} AS date) END"
+        return f"try_cast(regexp_extract({string}, {quoted(DATE_PATTERN)}, 0) AS date)"
     if isinstance(dtype, T.TimestampType):
-        moment = f"CASE WHEN {string} RLIKE {quoted(TIMESTAMP_PATTERN)} THEN try_cast({string} AS timestamp) END"
-        return f"date_trunc('millisecond', {moment})"
+        return f"date_trunc('millisecond', try_cast(regexp_extract({string}, {quoted(TIMESTAMP_PATTERN)}, 0) AS timestamp))"
     raise TypeError(f"no cast for {dtype}")
 
 
 def cast_value(node: str, dtype: T.DataType, mode: str = V2, text: str | None = None,
                paths: list[str] | None = None, members: str | None = None, depth: int = 0) -> str:
-    """Typed value of a VARIANT, or null where the JSON type is not the wanted one.
+    """Typed value of a VARIANT, or null where the JSON type is not the wanted one. Arrays keep a null for each such member.
 
     ``text`` is the matching part of the :func:`json_text_type` parse, needed for JSON leaves only.
     """
@@ -171,15 +197,11 @@ def cast_value(node: str, dtype: T.DataType, mode: str = V2, text: str | None =
                   for f in dtype.fields]
         return f"CASE WHEN startswith({tag}, 'OBJECT') THEN {record(fields)} END"
     if isinstance(dtype, T.ArrayType):
-        items, e = _get(node, paths, "array<variant>"), f"e{depth}"
-        if text is not None and json_text_type(dtype.elementType) is not None:
-            t = f"t{depth}"
-            one = cast_value(e, dtype.elementType, mode, t, depth=depth + 1)
-            cast = f"zip_with({items}, {text}, ({e}, {t}) -> {one})"
-        else:
-            one = cast_value(e, dtype.elementType, mode, depth=depth + 1)
-            cast = f"transform({items}, {e} -> {one})"
-        return f"filter({cast}, {e} -> {e} IS NOT NULL)"
+        items, data, members = _items(node, paths, dtype, depth)
+        e, t = f"e{depth}", f"t{depth}"
+        texts = text if json_text_type(dtype.elementType) is not None else None
+        one = cast_value(data, dtype.elementType, mode, t if texts is not None else None, members=members, depth=depth + 1)
+        return f"transform({items}, {e} -> {one})" if texts is None else f"zip_with({items}, coalesce({texts}, array()), ({e}, {t}) -> {one})"
     if isinstance(dtype, T.VariantType):
         plain = _get(node, paths, "string") if mode == LEGACY else f"to_json({found})"
         nested = f"to_json({found})" if text is None else f"coalesce({text}, to_json({found}))"
@@ -203,10 +225,10 @@ def cast_ok(value: str, node: str, dtype: T.DataType, nullable: bool, mode: str
         present += [cast_ok(field(value, f.name), node, f.dataType, f.nullable, mode, _below(paths, f), depth=depth)
                     for f in dtype.fields]
     elif isinstance(dtype, T.ArrayType):
-        e = f"e{depth}"
-        one = cast_value(e, dtype.elementType, mode, depth=depth + 1)
-        legal = cast_ok(one, e, dtype.elementType, dtype.containsNull, mode, depth=depth + 1)
-        present.append(f"forall({_get(node, paths, 'array<variant>')}, {e} -> {legal})")
+        items, data, inner = _items(node, paths, dtype, depth)
+        e, v = f"e{depth}", f"v{depth}"
+        legal = cast_ok(v, data, dtype.elementType, dtype.containsNull, mode, members=inner, depth=depth + 1)
+        present.append(f"forall(zip_with({value}, {items}, ({v}, {e}) -> {legal}), {e} -> {e})")
     if nullable:
         return f"CASE WHEN {value} IS NULL THEN {_nullish(_get(node, paths, 'variant'))} ELSE {every(present)} END"
     return every(present)
@@ -227,10 +249,9 @@ def cast_errors(value: str, node: str, dtype: T.DataType, nullable: bool, key: s
             for f in dtype.fields
         ])
     elif isinstance(dtype, T.ArrayType):
-        e = f"e{depth}"
-        one = cast_value(e, dtype.elementType, mode, depth=depth + 1)
-        inner = cast_errors(one, e, dtype.elementType, dtype.containsNull, key, mode, depth=depth + 1)
-        below = f"flatten(array_compact(transform({_get(node, paths, 'array<variant>')}, {e} -> {inner})))"
+        e, v = f"e{depth}", f"v{depth}"
+        inner = cast_errors(v, e, dtype.elementType, dtype.containsNull, key, mode, depth=depth + 1)
+        below = f"flatten(array_compact(zip_with({value}, {_get(node, paths, 'array<variant>')}, ({v}, {e}) -> {inner})))"
     else:
         return f"CASE WHEN {value} IS NULL THEN {wrong} END"
     return f"CASE WHEN {value} IS NULL THEN {wrong} ELSE {below} END"

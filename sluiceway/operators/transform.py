@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluiceway.functions import errors as E
-from sluiceway.functions.casting import LEGACY, V2, cast_errors, cast_ok, cast_value, json_text_type, members_of
+from sluiceway.functions.casting import LEGACY, V2, cast_errors, cast_ok, cast_value, compacted, json_text_type, members_of
 from sluiceway.functions.sql import every, name, one_of, quoted, record
 from sluiceway.operators.entities import is_legacy, is_skipped
 from sluiceway.operators.parse import ENTITY_TEXT, entities_of
@@ -117,7 +117,7 @@ def _stages(i: int, c: EntityColumn) -> _Stages:
             f"CASE WHEN {source} IS NOT NULL THEN {cast(source)} END",
             f"CASE WHEN {source} IS NULL THEN true ELSE {ok} END",
             f"CASE WHEN {source} IS NOT NULL THEN {errors} END",
-            value,
+            compacted(value, c.data_type),
         )
     mine = f"filter(context_entities, c -> {one_of('c.schema', c.uris)})"
     prepared = f"transform({mine}, c -> {_prepared('c.schema', 'c.data', None, c)})"
@@ -134,7 +134,7 @@ def _stages(i: int, c: EntityColumn) -> _Stages:
         f"transform({source}, c -> {cast('c')})",
         f"forall(zip_with({value}, {source}, (v, s) -> {ok}), fine -> fine)",
         f"flatten(array_compact(zip_with({value}, {source}, (v, s) -> {errors})))",
-        f"CASE WHEN size({value}) > 0 THEN filter({value}, c -> c IS NOT NULL) END",
+        f"CASE WHEN size({value}) > 0 THEN {compacted(value, T.ArrayType(c.data_type))} END",
     )
 
 

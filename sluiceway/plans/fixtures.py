@@ -124,6 +124,24 @@ def array_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def record_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per event an array of records: a number and tags, a null, and by turns a number that is text, a tag that is a number or a record that is none."""
+    i, user = F.col("event_id").cast("string"), F.col("user_id").cast("string")
+    first = F.concat(F.lit('{"n":'), i, F.lit(',"tags":["a",null,"'), F.col("event_type"), F.lit('"]}'))
+    second = (
+        F.when(F.col("event_id") % 5 == 0, F.concat(F.lit('{"n":"x'), user, F.lit('","tags":[]}')))
+        .when(F.col("event_id") % 7 == 0, F.concat(F.lit('{"n":'), user, F.lit(',"tags":["b",'), i, F.lit("]}")))
+        .when(F.col("event_id") % 11 == 0, F.concat(F.lit("["), i, F.lit("]")))
+        .otherwise(F.concat(F.lit('{"n":'), user, F.lit("}")))
+    )
+    return table(spark, sf_dir, "events").select("event_id", F.concat(F.lit('{"rows":['), first, F.lit(",null,"), second, F.lit("]}")).alias("j"))
+
+
+RECORDS = T.StructType([T.StructField("rows", T.ArrayType(T.StructType([
+    T.StructField("n", T.LongType(), False), T.StructField("tags", T.ArrayType(T.StringType(), True), True),
+]), True), False)])
+
+
 ENVELOPED_ATOMIC = T.StructType([
     T.StructField("event_id", T.LongType(), False),
     T.StructField("collector_tstamp", T.TimestampType(), False),

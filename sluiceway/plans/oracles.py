@@ -194,6 +194,15 @@ FROM lineitem""",
         "array_null_drop": """
 SELECT event_id, CASE WHEN event_id % 7 = 0 OR event_id % 5 = 0 THEN 0 ELSE 2 END AS n_items,
   CAST(CASE WHEN event_id % 7 = 0 OR event_id % 5 = 0 THEN 0 ELSE 2 * event_id + 1 END AS BIGINT) AS total
+FROM events""",
+        "array_of_records": """
+SELECT event_id, NOT (event_id % 5 = 0 OR event_id % 7 = 0 OR event_id % 11 = 0) AS ok,
+  CASE WHEN event_id % 5 <> 0 AND event_id % 7 <> 0 AND event_id % 11 = 0 THEN 1 ELSE 2 END AS n_rows,
+  event_id || CASE WHEN event_id % 5 = 0 THEN ',-' WHEN event_id % 7 <> 0 AND event_id % 11 = 0 THEN '' ELSE ',' || user_id END AS ns,
+  CASE WHEN event_id % 5 = 0 THEN 'a,' || event_type WHEN event_id % 7 = 0 THEN 'a,' || event_type || ',b'
+    WHEN event_id % 11 = 0 THEN 'a,' || event_type END AS tags,
+  CASE WHEN event_id % 5 = 0 THEN 'WrongType/"x' || user_id || '"/Long' WHEN event_id % 7 = 0 THEN 'WrongType/' || event_id || '/String'
+    WHEN event_id % 11 = 0 THEN 'WrongType/[' || event_id || ']/Struct' ELSE '' END AS errors
 FROM events""",
         "transform_rows": _rows(),
         "transform_legacy_mode": _with(f"SELECT event_id, {_LOAD} AS load_micros, k, user_id FROM typed WHERE vendor <> 'com.unknown' AND k_is_int"),

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from sluiceway.functions import errors as E
 from sluiceway.functions.casting import LEGACY as LEGACY_STYLE
-from sluiceway.functions.casting import V2, cast_errors, cast_value, json_text_type, members_of
+from sluiceway.functions.casting import V2, cast_errors, cast_ok, cast_value, compacted, json_text_type, members_of
 from sluiceway.functions.keys import column_name, key_columns, legacy_column_name
 from sluiceway.operators.conform import conform
 from sluiceway.operators.entities import entity_occurrences, entity_versions, with_style
@@ -208,8 +208,8 @@ def _typed(spark, sf_dir, dtype, mode):
     rows = X.typed_json(spark, sf_dir).select("l_orderkey", "l_linenumber", "j", F.parse_json("j").alias("v"))
     prepared = rows.select("l_orderkey", "l_linenumber", "v", F.from_json("j", json_text_type(dtype)).alias("text"),
                            F.expr(members_of("v", dtype)).alias("m"))
-    return prepared.select("l_orderkey", "l_linenumber",
-                           F.expr(cast_value("v", dtype, mode, "text", members="m")).alias("r"))
+    cast = prepared.select("l_orderkey", "l_linenumber", F.expr(cast_value("v", dtype, mode, "text", members="m")).alias("r"))
+    return cast.select("l_orderkey", "l_linenumber", F.expr(compacted("r", dtype)).alias("r"))
 
 
 def cast_all_types(spark, sf_dir):
@@ -245,11 +245,27 @@ def array_null_drop(spark, sf_dir):
     dtype = T.StructType([T.StructField("a", T.ArrayType(T.LongType(), True), False)])
     parsed = X.array_json(spark, sf_dir).select("event_id", F.parse_json("j").alias("v"))
     cast = parsed.select("event_id", F.expr(cast_value("v", dtype)).alias("r"))
+    cast = cast.select("event_id", F.expr(compacted("r", dtype)).alias("r"))
     a = F.col("r.a")
     return cast.select("event_id", F.size(a).alias("n_items"),
                        F.aggregate(a, F.lit(0).cast("long"), lambda s, e: s + e).alias("total"))
 
 
+def array_of_records(spark, sf_dir):
+    """Arrays of records with arrays inside: members of a wrong type are errors, nulls are dropped, all errors of an event are reported."""
+    configure(spark)
+    parsed = X.record_json(spark, sf_dir).select("event_id", F.parse_json("j").alias("v"))
+    members = members_of("v", X.RECORDS)
+    cast = parsed.withColumn("r", F.expr(cast_value("v", X.RECORDS, members=members)))
+    checked = cast.select("event_id", F.expr(cast_ok("r", "v", X.RECORDS, False, members=members)).alias("ok"),
+                          F.expr(cast_errors("r", "v", X.RECORDS, False, "'records'")).alias("errors"), F.expr(compacted("r", X.RECORDS)).alias("r"))
+    rows = F.col("r.rows")
+    return checked.select(
+        "event_id", "ok", F.size(rows).alias("n_rows"), F.array_join(F.transform(rows, lambda x: x["n"].cast("string")), ",", "-").alias("ns"),
+        F.array_join(F.flatten(F.transform(rows, lambda x: x["tags"])), ",").alias("tags"),
+        F.array_join(F.transform("errors", lambda e: F.concat_ws("/", e["error"], e["value"], e["expected"])), ";").alias("errors"))
+
+
 # Transform and failures
 
 def _flat_rows(rows: DataFrame) -> DataFrame:
@@ -279,8 +295,9 @@ def transform_nested(spark, sf_dir):
     """Nested records, decimals, JSON and repeated contexts of both context columns."""
     configure(spark)
     parsed = parse_lines(X.enveloped_lines(spark, sf_dir), X.ENVELOPED_ATOMIC)
-    registry = _registry(spark, X.place_registry)
-    rows = good_rows(transform_events(parsed, X.ENVELOPED_ATOMIC, _resolved(parsed, registry), F.lit(LOAD_TSTAMP)))
+    keys = parse_lines(X.enveloped_lines(spark, sf_dir), X.ENVELOPED_ATOMIC, with_data=False)
+    resolved = _resolved(keys, _registry(spark, X.place_registry))
+    rows = good_rows(transform_events(parsed, X.ENVELOPED_ATOMIC, resolved, F.lit(LOAD_TSTAMP)))
     users = F.col("contexts_com_acme_user_ctx_1")
     place = F.get("contexts_com_acme_place_seen_1", F.lit(0))
     clicks = [F.col(f"unstruct_event_com_acme_{e}_1.k") for e in ("click", "error", "signup", "view")]
@@ -476,7 +493,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         parse_good_bad, parse_failures, payload_bytes, payload_as_utf8, unstruct_extract, start_position,
         contexts_concat, entity_counts, column_names_v2, column_names_legacy, skip_schemas, legacy_selection,
         resolve_schemas, unresolved_schemas, any_unresolved, registry_fields, strict_cast_int, cast_all_types,
-        json_text_v2, json_text_legacy, array_null_drop, transform_rows, transform_legacy_mode, transform_nested,
+        json_text_v2, json_text_legacy, array_null_drop, array_of_records, transform_rows, transform_legacy_mode, transform_nested,
         merged_versions, missing_schema_lenient, failed_records, failed_records_capped, row_conformance, schema_diff,
         schema_merge, append_evolved, daily_partitions, rerun_replaces, pruned_read, loaded_metrics, column_cap, summary_of_batch,
         metrics_by_period, unhealthy_periods, stream_equals_batch,
