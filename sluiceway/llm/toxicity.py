@@ -1,18 +1,21 @@
 """Toxicity: a learned lexicon as a trie, met by Levenshtein automata, and scores from the window around each hit.
 
 Lexicon: words of labelled documents, counted in both classes over the whole sample. A word, or a beginning of at least `STEM` letters that several words
-share, enters if it has the support of at least `SUPPORT` toxic documents and is `ODDS` times as frequent in them as in others. Documents with
-the same set of words are copies and count once, with the label that most of them have (toxic if equally many). A term weighs the logarithm of its odds.
+share, enters if at least `SUPPORT` toxic documents have it, it is `ODDS` times as frequent in them as in others, and that many would not have it by chance: the likelihood
+ratio against equal shares must pay for as many trials as there are words. So the lexicon is bounded by what the sample proves, not by a number. Copies and near copies
+are one class, which counts once, with the label that most of its documents have (toxic if equally many). Near copies are found by `MINIMA` minima over a document's words: those that agree in
+a band of them are compared with the first of the band, and are of its class if they agree in `ALIKE` of all minima. A term weighs the logarithm of its odds.
 
 Hits: a document's words are run through the trie with the automaton of the word: a row of edit distances follows each branch and ends it
-when all are above the bound (1 for terms of five letters or more, else 0). A stem is met by a word's beginning. Two tables of codes
-of three letters (code points, not bytes) rule out most words before: with one edit, the term's first three letters, or the three after them moved by
-one place at most, are in the word. Codes are hashed into the tables, so a word may pass for nothing but is never missed.
+when all are above the bound (1 for terms of five letters or more, else 0). A stem is met by a word's beginning. Two filters stand before the walk. Tables of codes
+of three letters (code points, not bytes) rule out most words: with one edit, the term's first three letters, or the three after them moved by
+one place at most, are in the word. Codes are hashed into the tables, so a word may pass for nothing but is never missed. What is left must share a form with a
+term, where the forms of a word are itself and what remains without one of its letters: two words within one edit always share one.
 
 Context: a hit counts as quoted if marks of quotation stand on both sides within `REACH` words, or a word of reporting stands before it.
 Exact, misspelled and quoted hits, their share of the words and the sum of their weights go into a logistic score that is fitted on the sample.
 
-A text without words, or null, has no hits, and the score of that. Without labels of both classes nothing is learned and every score is 0.
+A text without words, or null, has no hits, and the score of that. Without labels of both classes nothing is learned and every score is 0. Repeated rows score alike, empty tables give no rows, texts of any length are read whole.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluiceway.llm.components import components
 from sluiceway.llm.samples import labelled
 from sluiceway.llm.stage import col, written
 from sluiceway.llm.text import Words, bounded_batches, letter_words, lower_ascii, mixed, slices
@@ -34,7 +38,10 @@ STEM = 4
 STEM_WORDS = 4
 STEM_LENGTHS = (4, 5, 6, 7, 8)
 ODDS = 20.0
-TERMS = 5_000
+MINIMA = 64
+BAND = 8
+ALIKE = 54
+PROOF = 3.0
 REACH = 8
 FUZZY_LETTERS = 5
 _MEMO = 200_000
@@ -92,6 +99,10 @@ class Trie:
         return best
 
 
+def _forms(word: str) -> list[str]:
+    return [word, *[word[:i] + word[i + 1 :] for i in range(len(word))]]
+
+
 def _letters(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The letters of all texts, each as the number that its bytes make, and where each word starts and ends among them."""
     data = np.concatenate([words.data, np.zeros(4, np.uint8)])
@@ -120,6 +131,17 @@ class Lexicon:
         self.head, self.rest = np.zeros(1 << 24, bool), np.zeros(1 << 24, bool)
         self.weights = np.zeros(6)
         self.memo: dict[bytes, tuple[int, float] | None] = {}
+        #: Words and stems, and the forms of those that may be misspelled; lengths of the stems among these.
+        self.words, self.stems, self.forms, self.stem_forms = set(), set(), set(), set()
+        for term in self.terms:
+            letters = term.removesuffix("*")
+            (self.stems if term.endswith("*") else self.words).add(letters)
+            if not term.endswith("*") and len(letters) >= FUZZY_LETTERS:
+                self.forms.update(_forms(letters))
+            elif term.endswith("*") and len(letters) > FUZZY_LETTERS:
+                self.stem_forms.update(_forms(letters))
+        self.stem_lengths = sorted({len(x) for x in self.stems})
+        self.near_lengths = sorted({n + d for n in self.stem_lengths if n > FUZZY_LETTERS for d in (-1, 0, 1)})
         for term in self.terms:
             letters = term.removesuffix("*")
             if term.endswith("*") and len(letters) < 3:
@@ -136,6 +158,14 @@ class Lexicon:
         self.__init__(state["terms"])
         self.weights = state["weights"]
 
+    def may_meet(self, word: str) -> bool:
+        """Whether the word can be a term, or begin with a stem, with at most one edit. Never False for one that is."""
+        if word in self.words or any(word[:n] in self.stems for n in self.stem_lengths):
+            return True
+        if not self.forms.isdisjoint(_forms(word)):
+            return True
+        return any(not self.stem_forms.isdisjoint(_forms(word[:n])) for n in self.near_lengths if len(word) >= n)
+
     @staticmethod
     def _slot(letters: str) -> int:
         """Place of up to three letters in the tables."""
@@ -167,7 +197,8 @@ class Lexicon:
                 else:
                     if len(self.memo) >= _MEMO:
                         self.memo.clear()
-                    found = self.memo[word] = self.trie.met(word.decode(errors="replace"))
+                    letters = word.decode(errors="replace")
+                    found = self.memo[word] = self.trie.met(letters) if self.may_meet(letters) else None
                 if found is not None:
                     edits, weight = found
                     quoted = self._quoted(words, raw, i, k)
@@ -199,28 +230,68 @@ def _features(batches: Iterator[pa.RecordBatch], lexicon: Lexicon) -> Iterator[t
             yield batch, lexicon.features(Words(batch.column("text"), chars, fold))
 
 
+def _minima(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Least hashes of each document's words under `MINIMA` orders; empty without words."""
+    chars, fold = letter_words(), lower_ascii()
+    masks = mixed(np.arange(MINIMA, dtype=np.uint64), 11)
+    factors = mixed(np.arange(MINIMA, dtype=np.uint64), 12) | np.uint64(1)
+    for whole in batches:
+        for batch in slices(whole, "text"):
+            words = Words(batch.column("text"), chars, fold)
+            some = np.flatnonzero(words.count)
+            found = np.zeros((len(some), MINIMA), np.uint64)
+            hashes = words.hashes()
+            for m in range(MINIMA if len(some) else 0):
+                found[:, m] = np.minimum.reduceat(mixed((hashes ^ masks[m]) * factors[m], m), words.first[some])
+            at = np.concatenate([[0], np.cumsum(np.where(words.count > 0, MINIMA, 0))]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.ListArray.from_arrays(pa.array(at), pa.array(found.ravel().view(np.int64)))], names=["key", "minima"])
+
+
+def _classed(sample: DataFrame) -> DataFrame:
+    """`label`, `words`: one row for each class of copies and near copies of the sample. The sample bounds all of it."""
+    folded = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    words = sample.select("label", "text", F.sort_array(F.array_distinct(F.regexp_extract_all(folded, F.lit(r"[0-9a-z[^\x00-\x7F]]+"), F.lit(0)))).alias("words"))
+    # True copies have the whole set of words in common. The keys are hashes, so their order is the same in every run.
+    same = words.groupBy(F.xxhash64("words").alias("key")).agg(
+        F.sum("label").alias("toxic"), F.count("*").alias("n"), F.min("words").alias("words"), F.min("text").alias("text"))
+    same = written(same)
+    signed = written(same.select("key", "text").mapInArrow(_minima, "key long, minima array<long>").where("size(minima) > 0"))
+    bands = F.transform(F.sequence(F.lit(0), F.lit(MINIMA // BAND - 1)), lambda b: F.struct(b.alias("band"), F.xxhash64(F.slice("minima", b * BAND + 1, F.lit(BAND))).alias("value")))
+    posted = signed.select("key", "minima", F.explode(bands).alias("b"))
+    first = posted.groupBy("b").agg(F.min_by("key", "key").alias("first"), F.min_by("minima", "key").alias("other"), F.count("*").alias("n")).where("n > 1").drop("n")
+    agree = F.size(F.filter(F.zip_with("minima", "other", lambda x, y: x == y), lambda e: e))
+    links = posted.join(first, "b").where("key <> first").where(agree >= ALIKE).select(F.col("key").alias("a"), F.col("first").alias("b")).distinct()
+    reached = components(links)
+    classed = same.join(reached, F.col("key") == F.col("node"), "left").withColumn("class", F.coalesce("least", "key"))
+    one = classed.groupBy("class").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"), F.min_by("words", "key").alias("words"))
+    return written(one.select((2 * F.col("toxic") >= F.col("n")).cast("int").alias("label"), "words"))
+
+
+def _proof(toxic: Column, clean: Column, share: float) -> Column:
+    """Logarithm of how much likelier the counts are under their own share of toxic documents than under the sample's."""
+    n = toxic + clean
+    part = lambda x, p: F.when(x > 0, x * F.log(x / (n * p))).otherwise(0.0)
+    return part(toxic, F.lit(share)) + part(clean, F.lit(1 - share))
+
+
 def _terms(sample: DataFrame) -> dict[str, float]:
     """Words and stems that toxic documents have and others do not, with their weights."""
-    folded = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    words = sample.select("label", F.array_distinct(F.regexp_extract_all(folded, F.lit(r"[0-9a-z[^\x00-\x7F]]+"), F.lit(0))).alias("words"))
-    # Copies have the whole set of words in common; near copies count each.
-    words = words.withColumn("words", F.sort_array("words")).withColumn("key", F.sha2(F.array_join("words", " ").cast("binary"), 256))
-    words = words.groupBy("key").agg((2 * F.sum("label") >= F.count("*")).cast("int").alias("label"), F.first("words").alias("words"))
-    words = written(words.select("label", "words"))
+    words = _classed(sample)
     total = {r.label: r["count"] for r in words.groupBy("label").count().collect()}
     if len(total) < 2:
         return {}
+    share = total[1] / (total[0] + total[1])
     one = words.select("label", F.explode("words").alias("term")).groupBy("term").agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("clean"))
     one = written(one.where("length(term) >= 3"))
+    trials = float(np.log(max(1, one.where(F.col("toxic") >= SUPPORT).count()))) + PROOF
     stems = one.select(F.explode(F.array(*[F.when(F.length("term") >= n, F.substring("term", 1, n)) for n in STEM_LENGTHS])).alias("stem"), "toxic", "clean")
     stems = stems.where("stem IS NOT NULL").groupBy("stem").agg(
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.sum((F.col("toxic") > 0).cast("int")).alias("n"))
     odds = (F.col("toxic") + 0.5) / total[1] / ((F.col("clean") + 0.5) / total[0])
-    good = (F.col("toxic") >= SUPPORT) & (odds >= ODDS)
+    good = (F.col("toxic") >= SUPPORT) & (odds >= ODDS) & (_proof(F.col("toxic"), F.col("clean"), share) >= trials)
     stems = stems.where(good & (F.col("n") >= STEM_WORDS) & (F.col("toxic") >= 2 * SUPPORT))
     both = stems.select(F.concat("stem", F.lit("*")).alias("term"), odds.alias("odds")).union(one.where(good).select("term", odds.alias("odds")))
-    # Ever more words of a growing vocabulary are rare; the most telling TERMS are kept.
-    return {r.term: round(float(np.log(r.odds)), 6) for r in both.orderBy(F.desc("odds"), "term").limit(TERMS).collect()}
+    return {r.term: round(float(np.log(r.odds)), 6) for r in both.collect()}
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, **columns: str) -> Lexicon:

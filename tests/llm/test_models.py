@@ -86,6 +86,87 @@ def test_only_true_copies_count_once(spark):
     assert toxicity._terms(sample.repartition(7)) == terms
 
 
+def test_near_copies_add_no_term(spark):
+    """Six near copies of three toxic texts, one word changed in each, teach nothing about the ordinary words of these texts."""
+    rows = toxic_docs()
+    docs = [(text, label) for _, text, label in rows]
+    plain = toxicity._terms(spark.createDataFrame(docs, "text string, label int"))
+    for i in (0, 4, 8):
+        for k in range(6):
+            words = rows[i][1].split()
+            words[15 + 5 * k] = f"other{k}"
+            docs.append((" ".join(words), 1))
+    assert set(toxicity._terms(spark.createDataFrame(docs, "text string, label int"))) == set(plain)
+
+
+def test_terms_need_proof(spark):
+    """With as many toxic as clean texts, words that toxic ones have by chance do not enter."""
+    rows = []
+    for i in range(300):
+        own = [random.Random(1000 * i + k).choice(prose(k, 400).split()) for k in range(20)]
+        rows.append((" ".join([*prose(i + 1, 15).split(), *own, *(["vilewort"] if i % 2 and i < 60 else [])]), i % 2))
+    terms = toxicity._terms(spark.createDataFrame(rows, "text string, label int"))
+    assert "vilewort" in terms and len(terms) <= 3
+
+
+def test_score_is_that_of_the_plain_model(spark, edge):
+    """The registered query's values against a plain scoring with the same lexicon."""
+    import math
+    import re
+    import zlib
+
+    from sluiceway.llm.queries import corpus_queries
+
+    trial = [(i, t, y, 0) for i, t, y in toxic_docs()]
+    docs = spark.createDataFrame([(i, t) for i, t, _, _ in trial] + [(9000, None), (9001, ""), (None, "vilewort")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y, _ in trial], "doc_id long, toxic int")
+    import tempfile
+
+    folder = tempfile.mkdtemp(prefix="toxic-")
+    docs.write.parquet(f"{folder}/documents.parquet")
+    labels.write.parquet(f"{folder}/labels.parquet")
+    learnt = labels.where(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) != 1)
+    lexicon = toxicity.fit(docs, learnt, label="toxic")
+
+    def edits(word):
+        found = []
+        for term, weight in lexicon.terms.items():
+            core, stem = term.removesuffix("*"), term.endswith("*")
+            heads = {word[:n] for n in range(len(core) - 1, len(core) + 2)} if stem else {word}
+            exact = word[: len(core)] == core if stem else word == core
+            near = len(core) >= (6 if stem else 5) and any(_distance(h, core) <= 1 for h in heads)
+            if exact or near:
+                found.append((0 if exact else 1, -weight))
+        return (min(found)[0], -min(x for x in found if x[0] == min(found)[0])[1]) if found else None
+
+    def plain(text):
+        words = re.findall(r"[0-9a-z\u0080-\U0010ffff]+", (text or "").lower())
+        counts = [0, 0]
+        total = 0.0
+        for w in words:
+            hit = edits(w)
+            if hit:
+                counts[hit[0]] += 1
+                total += hit[1] / (1 + hit[0])
+        row = [*counts, 0, 100 * sum(counts) / max(len(words), 1), total]
+        z = sum(math.log1p(x) * w for x, w in zip(row, lexicon.weights)) + lexicon.weights[5]
+        return 1 / (1 + math.exp(-z))
+
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in corpus_queries()["op8_toxicity"](spark, folder).collect():
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode() if r.doc_id is not None else b"") % 3 == 1)
+        assert abs(r.score - plain(texts[r.doc_id])) < 1e-9 and r.predicted == int(r.score >= 0.7)
+
+
+def _distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
 def test_words_ruled_out_are_no_hits():
     """Every word that an unfiltered walk through the trie meets passes the tables before it, with letters of any size."""
     import pyarrow as pa
@@ -110,6 +191,7 @@ def test_words_ruled_out_are_no_hits():
     assert len(found) == len(words)
     likely = set(lexicon._likely(found).tolist())
     met = {i for i, w in enumerate(words) if lexicon.trie.met(w)}
+    assert all(lexicon.may_meet(words[i]) for i in met)
     assert met <= likely and set(range(7)) <= met and len(met) > 1000
     assert lexicon._likely(Words(pa.array(["", None]), letter_words(), lower_ascii())).size == 0
     plain = Words(pa.array([prose(6, 4000)]), letter_words(), lower_ascii())
