@@ -2,7 +2,8 @@
 
 Words are runs of characters other than blanks and the controls 9 to 13. Every measure is a built-in
 expression over the text; `verdict` turns `RULES` into one boolean. A null text has no words, so all counts are
-0 and it fails `n_words`; a ratio without a denominator is 0. Every row gives one row, repeated rows too.
+0 and it fails `n_words`; a ratio without a denominator is 0. Every row gives one row, repeated rows too, and an empty table none; a text of any length is measured whole, in
+time that grows with its length (windows that repeat are sorted). A filter on the measures stays above them, as it would else be worked out anew for each use.
 """
 
 from __future__ import annotations
@@ -12,7 +13,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.llm.stage import col, packed, where_last
+from sluiceway.functions.errors import settled
+from sluiceway.llm.stage import col, packed
 
 BLANKS = r"[ \t-\r]+"
 SYMBOLS = r"[#*$%&|<>]"
@@ -53,7 +55,7 @@ def measured(docs: DataFrame, text: str = "text", keep: Iterable[str] | None = N
     twice = F.size(F.array_distinct("_keys")) < F.size("_keys")
     keyed = F.transform(starts, lambda i: F.struct(F.get("_keys", i).alias("k"), i.alias("i")))
     staged = staged.withColumn("_sorted", F.when(twice, F.sort_array(keyed)))
-    return staged.select(
+    return settled(staged.select(
         "row",
         size.cast("long").alias("n_words"),
         F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
@@ -63,7 +65,7 @@ def measured(docs: DataFrame, text: str = "text", keep: Iterable[str] | None = N
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         F.coalesce(_covered(), F.lit(0)).cast("long").alias("n_repeat_words"),
         F.size(F.filter("_words", lambda w: F.lower(w).isin(*STOP_WORDS))).cast("long").alias("n_stop_words"),
-    )
+    ))
 
 
 def _covered() -> Column:
@@ -96,4 +98,4 @@ def verdict(rules: Iterable[tuple[str, str, float | None, float | None]] = RULES
 
 def filter_documents(docs: DataFrame, text: str = "text", rules: Iterable = RULES) -> DataFrame:
     """The documents that pass the base rules and the table, with their own columns."""
-    return where_last(measured(docs, text), ~base_failed() & verdict(rules)).select("row.*")
+    return measured(docs, text).where(~base_failed() & verdict(rules)).select("row.*")

@@ -6,8 +6,12 @@ by one, and so does the sum of n * log2(n), kept in whole numbers so that nothin
 threshold. The stretch from the first to the last window above it is a span of kind entropy, unless the candidate is on
 the allow list or the stretch touches a pattern's span.
 
-Positions count code points, the end is exclusive. A null text is empty; a text without a match has no spans. Rows are
-independent, so repeated rows give repeated results.
+Thresholds are below what nearly all random strings of 20 characters of a class reach. Left out on purpose are strings of lower-case letters alone, with or without a
+capital at the front and hyphens, slashes and underscores between: they are identifiers and long words much more often than secrets.
+
+Positions count code points, the end is exclusive. A null text is empty; a text without a match has no spans, a table without rows gives none. Rows are
+independent, so repeated rows give repeated results. Texts are searched whole; the time grows with their length, and with the square of the number of matches in one
+text only by a copy of numbers.
 """
 
 from __future__ import annotations
@@ -17,6 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluiceway.functions.errors import settled
 from sluiceway.llm.stage import col
 
 # The patterns.
@@ -29,30 +34,30 @@ WINDOW = 20
 SCALE = 1 << 20
 #: Character classes in the order in which they are tried: pattern of the whole candidate, least entropy of a window in bits.
 CLASSES = (
-    ("[0-9]+", 9.0),
+    ("[0-9]+", 2.6),
     ("[0-9a-fA-F]+", 2.9),
     ("(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z]).*", 3.6),
-    ("(?=.*[0-9])(?=.*[A-Za-z]).*", 3.7),
-    (".*", 4.2),
+    ("(?=.*[0-9])(?=.*[A-Za-z]).*", 3.6),
+    ("(?=.*[a-z])(?=.*[A-Z]).*", 3.8),
+    (".*", 3.5),
 )
 #: Candidates that are placeholders or plain identifiers.
 ALLOWED = (
     r"(?i)example|sample|dummy|placeholder|changeme|your[_-]?(key|token|secret)",
     r"^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$",
     r"(?i)0123456789|abcdefghij",
-    r"^[a-z]+([_/-][a-z]+)*$",
+    r"^[A-Z]?[a-z]+([_/-][A-Z]?[a-z]+)*$",
 )
 
 
 def located(matches: str, gaps: str) -> Column:
     """Start, end and text of each match, from the matches and the texts between them."""
-    span = lambda values, n: F.aggregate(F.slice(values, 1, n), F.lit(0), lambda a, x: a + F.length(x))
-
-    def place(m: Column, k: Column) -> Column:
-        start = span(F.col(gaps), k + 1) + span(F.col(matches), k)
-        return F.struct(start.alias("start"), (start + F.length(m)).alias("end"), m.alias("match"))
-
-    return F.when(F.size(matches) > 0, F.transform(F.col(matches), place)).otherwise(F.array().cast("array<struct<start:int,end:int,match:string>>"))
+    lengths = F.zip_with(F.slice(gaps, F.lit(1), F.size(matches)), F.col(matches), lambda g, m: F.struct(F.length(g).alias("g"), F.length(m).alias("m")))
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
+    starts = F.aggregate(lengths, begin, lambda s, x: F.struct(
+        (s["at"] + x["g"] + x["m"]).alias("at"), F.concat(s["starts"], F.array(s["at"] + x["g"])).alias("starts")), lambda s: s["starts"])
+    places = F.zip_with(starts, F.col(matches), lambda start, m: F.struct(start.alias("start"), (start + F.length(m)).alias("end"), m.alias("match")))
+    return F.when(F.size(matches) > 0, places).otherwise(F.array().cast("array<struct<start:int,end:int,match:string>>"))
 
 
 def _runs(frame: DataFrame, name: str, pattern: str) -> DataFrame:
@@ -79,7 +84,9 @@ def _slid(codes: Column, least: Column) -> Column:
         n, m = F.get(state["counts"], comes), F.get(state["counts"], goes)
         other = (i < WINDOW) | (comes == goes)
         total = state["total"] + F.when(other & (i >= WINDOW), F.lit(0)).otherwise(part(n + 1) - part(n)) + F.when(other, F.lit(0)).otherwise(part(m - 1) - part(m))
-        counts = F.transform(state["counts"], lambda v, j: v + F.when(j == comes, 1).otherwise(0) - F.when((i >= WINDOW) & (j == goes), 1).otherwise(0))
+        put = lambda counts, j, v: F.concat(F.slice(counts, F.lit(1), j), F.array(v), F.slice(counts, j + 2, F.lit(128)))
+        more = F.when(other & (i >= WINDOW), state["counts"]).otherwise(put(state["counts"], comes, n + 1))
+        counts = F.when(other, more).otherwise(put(more, goes, m - 1))
         # Entropy is log2(WINDOW) - total / WINDOW, so a small total is a high entropy.
         high = (i >= WINDOW - 1) & (total <= least)
         first = F.when(high & (state["first"] < 0), i - WINDOW + 1).otherwise(state["first"])
@@ -117,7 +124,7 @@ def scan(docs: DataFrame, carry: Column, text: str = "text") -> DataFrame:
         F.substring(x["match"], x["s"]["first"] + 1, x["s"]["last"] - x["s"]["first"]).alias("match")))
     frame = frame.withColumn("_high", high)
     apart = F.filter("_high", lambda x: ~F.exists("_base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
-    return frame.select("row", F.sort_array(F.concat("_base", apart)).alias("spans"))
+    return settled(frame.select("row", F.sort_array(F.concat("_base", apart)).alias("spans")))
 
 
 def listed(spans: Column) -> Column:

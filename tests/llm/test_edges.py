@@ -184,3 +184,43 @@ def test_near_copies_in_blocks(spark, monkeypatch):
 def test_rules_keep_the_documents_columns(spark, nasty):
     docs = spark.read.parquet(f"{nasty}/documents.parquet")
     assert quality_rules.filter_documents(docs).columns == docs.columns
+
+
+@pytest.mark.parametrize("frame,condition", [
+    (lambda docs: quality_rules.measured(docs), "n_words > 5 AND n_repeat_words < 3 AND n_dup_lines = 0"),
+    (lambda docs: secrets.scan(docs, F.struct("doc_id")), "size(spans) > 0 AND spans[0].kind = 'hex'"),
+])
+def test_a_filter_does_not_repeat_the_work(spark, nasty, frame, condition):
+    """The optimised plan evaluates patterns and word splits as often with a filter on the result as without."""
+    result = frame(spark.read.parquet(f"{nasty}/documents.parquet"))
+
+    def work(plan):
+        text = plan._jdf.queryExecution().optimizedPlan().toString()
+        return sum(text.count(x) for x in ("split(", "regexp_extract_all(", "RLIKE", "xxhash64("))
+
+    assert work(result.where(condition)) == work(result) > 0
+
+
+def test_random_strings_of_each_class_are_found(spark):
+    """At least nine of ten random strings of 20 and 32 characters; lower-case letters alone are left out on purpose."""
+    import random
+    import string
+
+    pick, rows = random.Random(3), []
+    classes = {"digits": string.digits, "hex": "0123456789ABCDEF", "alnum": string.ascii_letters + string.digits, "lower": string.ascii_lowercase + string.digits,
+               "letters": string.ascii_letters, "capitals": string.ascii_uppercase, "base64": string.ascii_letters + string.digits + "+/"}
+    for name, letters in classes.items():
+        for size in (20, 32):
+            rows += [(name, size, "see " + "".join(pick.choice(letters) for _ in range(size)) + " here") for _ in range(120)]
+    words = ["Donaudampfschifffahrtsgesellschaft", "internationalization-of-everything", "a" * 23, "A" * 30, "1" * 23]
+    rows += [("none", 0, w) for w in words]
+    docs = spark.createDataFrame(rows, "name string, size int, text string")
+    found = secrets.scan(docs, F.struct("name", "size")).select("row.*", (F.size("spans") > 0).cast("double").alias("hit")).groupBy("name", "size").agg(F.avg("hit").alias("share"))
+    share = {(r.name, r["size"]): r.share for r in found.collect()}
+    assert share.pop(("none", 0)) == 0 and min(share.values()) >= 0.9, share
+
+
+def test_many_matches_in_one_text(spark):
+    text = " ".join(f"{i:024x}" for i in range(4000))
+    spans = secrets.scan(spark.createDataFrame([(1, text)], "doc_id long, text string"), F.struct("doc_id")).first().spans
+    assert [(s.start, s.end) for s in spans] == [(25 * i, 25 * i + 24) for i in range(4000)]
