@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,7 +31,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def enriched_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One tab-separated line per event; some are malformed, mistyped or of an unknown schema."""
-    events = table(spark, sf_dir, "events")
+    return table(spark, sf_dir, "events").select(_line(F.col("ts")).alias("value"))
+
+
+def _line(moment: Column) -> Column:
     i = F.col("event_id")
     vendor = F.when(i % 103 == 0, "com.unknown").otherwise("com.acme")
     data = F.when(i % 101 == 0, '{"k":"xyz"}').otherwise(F.col("props"))
@@ -44,11 +47,15 @@ def enriched_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id").cast("string"), F.lit("}}]"),
     )
     line = F.concat_ws(
-        "\t", i.cast("string"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS"), F.col("event_type"), unstruct, contexts
-    )
-    return events.select(
-        F.when(i % 97 == 0, F.concat(F.lit("nonsense"), i.cast("string"))).otherwise(line).alias("value")
+        "\t", i.cast("string"), F.date_format(moment, "yyyy-MM-dd HH:mm:ss.SSS"), F.col("event_type"), unstruct, contexts
     )
+    return F.when(i % 97 == 0, F.concat(F.lit("nonsense"), i.cast("string"))).otherwise(line)
+
+
+def sourced_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same lines with the moment at which the source got each, malformed ones too."""
+    moments = table(spark, sf_dir, "events").withColumn("source_tstamp", F.col("ts").cast("timestamp"))
+    return moments.select(_line(F.col("source_tstamp")).alias("value"), "source_tstamp")
 
 
 def _schema(properties: dict, required: list[str]) -> str:

@@ -142,10 +142,17 @@ present AS (
 
 _HOURS = """,
 hours AS (
-  SELECT date_trunc('hour', tstamp) + INTERVAL 1 HOUR AS load_tstamp, count(*) AS n,
-    count(*) FILTER (WHERE vendor <> 'com.unknown' AND k_is_int) AS n_good,
-    epoch_ms(date_trunc('hour', tstamp) + INTERVAL 1 HOUR) - epoch_ms(min(tstamp)) AS waited
-  FROM typed GROUP BY date_trunc('hour', tstamp)
+  SELECT date_trunc('hour', ts) + INTERVAL 1 HOUR AS load_tstamp, count(*) AS n,
+    count(*) FILTER (WHERE event_id % 97 <> 0 AND event_id % 103 <> 0 AND event_id % 101 <> 0) AS n_good, epoch_ms(max(ts)) AS newest,
+    epoch_ms(date_trunc('hour', ts) + INTERVAL 1 HOUR) - epoch_ms(max(ts)) AS lag,
+    epoch_ms(date_trunc('hour', ts) + INTERVAL 1 HOUR) - epoch_ms(min(ts) FILTER (WHERE event_id % 97 <> 0)) AS waited
+  FROM events GROUP BY date_trunc('hour', ts)
+),
+calendar AS (SELECT unnest(generate_series(min(load_tstamp), max(load_tstamp) + INTERVAL 24 HOUR, INTERVAL 1 HOUR)) AS load_tstamp FROM hours),
+filled AS (
+  SELECT load_tstamp, coalesce(n, 0) AS n, coalesce(n_good, 0) AS n_good,
+    coalesce(lag, epoch_ms(load_tstamp + INTERVAL 1 HOUR) - max(newest) OVER (ORDER BY load_tstamp ROWS UNBOUNDED PRECEDING)) AS lag
+  FROM calendar LEFT JOIN hours USING (load_tstamp)
 )
 """
 
@@ -280,10 +287,12 @@ SELECT count(*) + (SELECT count(*) FROM bad) AS n_events, count(*) FILTER (WHERE
 FROM verdict""", _VERDICT),
         "metrics_by_period": _with("""
 SELECT epoch_us(date_trunc('day', load_tstamp)) AS period_start, CAST(sum(n_good) AS BIGINT) AS events_good,
-  CAST(sum(n - n_good) AS BIGINT) AS events_bad, max(waited) AS latency_millis, max(waited) AS e2e_latency_millis
+  CAST(sum(n - n_good) AS BIGINT) AS events_bad, max(lag) AS latency_millis, max(waited) AS e2e_latency_millis
 FROM hours GROUP BY date_trunc('day', load_tstamp)""", _HOURS),
         "unhealthy_periods": _with("""
-SELECT epoch_us(load_tstamp) AS period_start, waited AS e2e_latency_millis FROM hours
-WHERE waited > 59 * 60 * 1000 + 30000""", _HOURS),
+SELECT epoch_us(load_tstamp) AS period_start, lag AS latency_millis, waited AS e2e_latency_millis FROM hours WHERE lag > 5 * 60 * 1000""", _HOURS),
+        "stalled_source": _with("""
+SELECT epoch_us(load_tstamp) AS period_start, n_good AS events_good, n - n_good AS events_bad, lag AS latency_millis
+FROM filled WHERE lag > 5 * 60 * 1000""", _HOURS),
         "stream_equals_batch": _rows(),
     }

@@ -18,7 +18,9 @@ from sluiceway.operators.conform import conform
 from sluiceway.operators.entities import entity_occurrences, entity_versions, with_style
 from sluiceway.operators.failed import failed_events, processor, serialised
 from sluiceway.operators.fields import fields_to_alter, flat_paths, legacy_type, merge_columns
-from sluiceway.operators.metrics import METRIC_E2E_LATENCY, batch_summary, latency_millis, per_period, unhealthy
+from sluiceway.operators.metrics import (
+    METRIC_BAD, METRIC_E2E_LATENCY, METRIC_GOOD, METRIC_LATENCY, NEWEST_SOURCE, batch_summary, every_period, latency_millis, per_period, unhealthy,
+)
 from sluiceway.operators.parse import bad_lines, good_events, parse_lines, payload_text
 from sluiceway.operators.registry import Resolved, match_registry, resolve, unresolved
 from sluiceway.operators.transform import failures, good_rows, transform_events
@@ -450,23 +452,34 @@ def summary_of_batch(spark, sf_dir):
 
 
 def _hourly_batches(spark, sf_dir):
-    """Every hour of event time taken as one batch that is loaded when the hour is over."""
-    transformed = _transformed(spark, sf_dir).filter(F.col("collector_tstamp").isNotNull())
-    loaded = F.date_trunc("hour", "collector_tstamp") + F.expr("interval 1 hour")
-    batches = batch_summary(transformed.withColumn("load_tstamp", loaded), "load_tstamp")
-    waited = latency_millis(F.col("load_tstamp"), F.col("earliest_collector_tstamp"))
-    return batches.withColumns({"e2e_latency_millis": waited, "latency_millis": waited})
+    """Every hour of the source taken as one batch, with its malformed lines, that is loaded when the hour is over."""
+    configure(spark)
+    parsed = parse_lines(X.sourced_lines(spark, sf_dir), X.ATOMIC, **X.LAYOUT)
+    resolved = _resolved(_parsed(spark, sf_dir, with_data=False), _registry(spark))
+    transformed = transform_events(parsed, X.ATOMIC, resolved, F.lit(LOAD_TSTAMP), **X.LAYOUT, keep=("collector_tstamp", "source_tstamp"))
+    loaded = F.date_trunc("hour", "source_tstamp") + F.expr("interval 1 hour")
+    batches = batch_summary(transformed.withColumn("load_tstamp", loaded), "load_tstamp", extra=[F.max("source_tstamp").alias("newest")])
+    return batches.withColumns({
+        "e2e_latency_millis": latency_millis(F.col("load_tstamp"), F.col("earliest_collector_tstamp")),
+        "latency_millis": latency_millis(F.col("load_tstamp"), F.col("newest")),
+    })
 
 
 def metrics_by_period(spark, sf_dir):
-    return per_period(_hourly_batches(spark, sf_dir), "1 day").withColumn(
+    return per_period(_hourly_batches(spark, sf_dir), "1 day").drop(NEWEST_SOURCE).withColumn(
         "period_start", F.unix_micros("period_start"))
 
 
 def unhealthy_periods(spark, sf_dir):
-    limit = 59 * 60 * 1000 + 30_000
     periods = per_period(_hourly_batches(spark, sf_dir), "1 hour")
-    return unhealthy(periods, limit).select(F.unix_micros("period_start").alias("period_start"), METRIC_E2E_LATENCY)
+    return unhealthy(periods).select(F.unix_micros("period_start").alias("period_start"), METRIC_LATENCY, METRIC_E2E_LATENCY)
+
+
+def stalled_source(spark, sf_dir):
+    """Every hour until a day after the last batch, of which those are shown whose lag is too long; in the last ones nothing came."""
+    batches = _hourly_batches(spark, sf_dir)
+    periods = every_period(per_period(batches, "1 hour"), "1 hour", F.max("period_start") + F.expr("interval 24 hours"))
+    return unhealthy(periods).select(F.unix_micros("period_start").alias("period_start"), METRIC_GOOD, METRIC_BAD, METRIC_LATENCY)
 
 
 # Streaming
@@ -496,5 +509,5 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         json_text_v2, json_text_legacy, array_null_drop, array_of_records, transform_rows, transform_legacy_mode, transform_nested,
         merged_versions, missing_schema_lenient, failed_records, failed_records_capped, row_conformance, schema_diff,
         schema_merge, append_evolved, daily_partitions, rerun_replaces, pruned_read, loaded_metrics, column_cap, summary_of_batch,
-        metrics_by_period, unhealthy_periods, stream_equals_batch,
+        metrics_by_period, unhealthy_periods, stalled_source, stream_equals_batch,
     )}

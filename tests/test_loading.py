@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from sluiceway import MissingSchemaError, load_lines, run_stream
 from sluiceway.operators.fields import column_count
-from sluiceway.operators.metrics import batch_summary, latency_millis, per_period, unhealthy
+from sluiceway.operators.metrics import batch_summary, every_period, latency_millis, per_period, unhealthy
 from sluiceway.sources import table
 from sluiceway.sources.lines import kafka_options, parquet_lines, since, text_lines, text_stream
 from tests.conftest import ATOMIC, entity, line, lines_of
@@ -352,6 +352,19 @@ def test_periods_start_afresh(spark):
         (datetime.datetime(2024, 1, 1, 0, 1, 0), 0, 3, None, None),
     ], "load_tstamp timestamp, n_good long, n_bad long, latency_millis long, e2e_latency_millis long")
     periods = per_period(batches)
-    got = [tuple(r)[1:] for r in periods.sort("period_start").collect()]
+    got = [tuple(r)[1:5] for r in periods.sort("period_start").collect()]
     assert got == [(7, 1, 400000, 50), (0, 3, 0, None)]
     assert unhealthy(periods).count() == 1
+
+
+def test_periods_without_batches_lag_ever_more(spark):
+    """A source that stalls for three minutes, and one that never comes back."""
+    batches = spark.createDataFrame([
+        (datetime.datetime(2024, 1, 1, 0, 0, 30), 5, 0, 10_000, 50), (datetime.datetime(2024, 1, 1, 0, 4, 10), 1, 1, 2_000, None),
+    ], "load_tstamp timestamp, n_good long, n_bad long, latency_millis long, e2e_latency_millis long")
+    periods = every_period(per_period(batches), until=F.lit(datetime.datetime(2024, 1, 1, 0, 10, 0)))
+    got = [(r["period_start"].minute, r["events_good"], r["events_bad"], r["latency_millis"]) for r in periods.sort("period_start").collect()]
+    waits = [(m, 0, 0, 60_000 * (m + 1) - 20_000) for m in (1, 2, 3)] + [(m, 0, 0, 60_000 * (m + 1) - 248_000) for m in range(5, 11)]
+    assert got == sorted([(0, 5, 0, 10_000), (4, 1, 1, 2_000), *waits])
+    assert [r["period_start"].minute for r in unhealthy(periods).collect()] == [9, 10]
+    assert every_period(per_period(batches.limit(0))).count() == 0 and every_period(per_period(batches)).count() == 5
