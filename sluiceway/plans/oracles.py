@@ -143,9 +143,9 @@ present AS (
 _HOURS = """,
 hours AS (
   SELECT date_trunc('hour', ts) + INTERVAL 1 HOUR AS load_tstamp, count(*) AS n,
-    count(*) FILTER (WHERE event_id % 97 <> 0 AND event_id % 103 <> 0 AND event_id % 101 <> 0) AS n_good, epoch_ms(max(ts)) AS newest,
-    epoch_ms(date_trunc('hour', ts) + INTERVAL 1 HOUR) - epoch_ms(max(ts)) AS lag,
-    epoch_ms(date_trunc('hour', ts) + INTERVAL 1 HOUR) - epoch_ms(min(ts) FILTER (WHERE event_id % 97 <> 0)) AS waited
+    count(*) FILTER (WHERE event_id % 97 <> 0 AND event_id % 103 <> 0 AND event_id % 101 <> 0) AS n_good, epoch_us(max(ts)) // 1000 AS newest,
+    epoch_ms(date_trunc('hour', ts) + INTERVAL 1 HOUR) - epoch_us(max(ts)) // 1000 AS lag,
+    epoch_ms(date_trunc('hour', ts) + INTERVAL 1 HOUR) - epoch_us(min(ts) FILTER (WHERE event_id % 97 <> 0)) // 1000 AS waited
   FROM events GROUP BY date_trunc('hour', ts)
 ),
 calendar AS (SELECT unnest(generate_series(min(load_tstamp), max(load_tstamp) + INTERVAL 24 HOUR, INTERVAL 1 HOUR)) AS load_tstamp FROM hours),
