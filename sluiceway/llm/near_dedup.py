@@ -15,7 +15,10 @@ A list of a pair may still be long, as all near copies of a text share it. So li
 what has not the most frequent label of its list is compared with all of that label, in blocks of texts. Every pair that is
 left out has a common label, and so a path of confirmed links. Links are counted on the full sets of both texts.
 
-Rows without an id are linked with nothing and stay. Rows that share an id are one document if their texts are equal.
+`row_classes` tells rows apart by their place in a written copy of the table, so ids may be of any type, null or shared by several rows: each row has a class, named by its
+least id (null if none of its rows has one), and repeated rows are copies of each other. `classes` is the same for a table whose ids are whole numbers that no two rows share. A null or
+empty text, or one of blanks only, is linked with nothing. An empty table gives no rows. Texts of any length are compared whole. The threshold on matches acts through
+the prefixes; how many coordinates a pair has in common is not counted, as every pair is compared by its full sets anyway.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluiceway.llm.components import components
@@ -242,7 +245,25 @@ def _linked_blocks(unit: pa.Table) -> Iterator[pa.RecordBatch]:
         at = to
 
 
+def row_classes(docs: DataFrame, carry: Column, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row for each row: `row`, `id`, `n_shingles`, `component` (the least id of the class) and `first` (whether it is the class's first row by id)."""
+    place = F.monotonically_increasing_id().alias("place")
+    rows = written(docs.select(place, carry.alias("row"), col(id_column).alias("id"), col(text).cast("string").alias("text")))
+    found = written(classes(rows.select("place", "text"), "place").select(F.col("id").alias("place"), "n_shingles", "component"))
+    slim = rows.select("place", "row", "id").join(found.hint("shuffle_hash"), "place")
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "place")
+    least = slim.groupBy("component").agg(F.min(order).alias("least"))
+    return slim.join(least.hint("shuffle_hash"), "component").select(
+        "row", "id", "n_shingles", F.col("least.id").alias("component"), (F.col("least.place") == F.col("place")).alias("first"))
+
+
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents without those that have a near duplicate of a smaller id; columns as they were."""
-    gone = classes(docs, id_column, text).where("id <> component").select(F.col("id").alias("_gone"))
-    return docs.join(gone.hint("shuffle_hash"), col(id_column).cast("long") == F.col("_gone"), "left_anti")
+    """One row of each class, that of the least id; columns as they were. Copies without an id and repeated rows go as others do."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    place = F.monotonically_increasing_id().alias("place")
+    rows = written(docs.select(place, F.struct(*[col(c).alias(n) for c, n in zip(docs.columns, names)]).alias("row")))
+    at = lambda column: F.col("row")[names[docs.columns.index(column)]]
+    found = written(classes(rows.select("place", at(text).alias("text")), "place").select(F.col("id").alias("place"), "component"))
+    slim = rows.select("place", at(id_column).alias("id")).join(found.hint("shuffle_hash"), "place")
+    kept = slim.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "place")).alias("least")).select(F.col("least.place").alias("place"))
+    return rows.join(kept.hint("shuffle_hash"), "place", "left_semi").select(*[F.col("row")[n].alias(c) for c, n in zip(docs.columns, names)])

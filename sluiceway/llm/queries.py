@@ -43,9 +43,9 @@ def substring_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def near_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = near_dedup.classes(_table(spark, sf_dir, "documents"))
-    return found.select(
-        F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept"))
+    found = near_dedup.row_classes(_table(spark, sf_dir, "documents"), F.struct("doc_id"))
+    kept = F.coalesce(F.col("id") == F.col("component"), F.lit(False))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), kept.alias("kept"))
 
 
 def mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:

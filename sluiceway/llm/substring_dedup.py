@@ -14,8 +14,9 @@ grouped by a prefix, and a tree is built for each group; a node at the depth of
    starts. A group that shares it is one node at full depth, so counting with partial sums settles it.
 
 Steps 2 and 4 compare hashes of 64 bits within equal 12-word hashes, step 3 the words' hashes. Every result is a range of words for a document.
-A null text has no words. Texts with fewer than `WINDOW` words have no window. A document is told by its id; one without an id by its text.
-Repeated rows repeat each other's windows, so these are removed from both.
+A null text has no words. Texts with fewer than `WINDOW` words have no window. A document is told by a hash (64 bits) of its id, of any type, and its text, so rows
+that share an id or have none are told apart, too. Repeated rows repeat each other's windows, so these are removed from both. An empty table gives no rows; a
+text of any length is cut into suffixes whole.
 """
 
 from __future__ import annotations
@@ -255,10 +256,11 @@ def dedup(docs: DataFrame, carry: Column, id_column: str = "doc_id", text: str =
     """Rows `row`, `n_words`, `n_removed` and `kept`, the text of the words that stay."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    keyed = docs.select(F.coalesce(col(id_column).cast("long"), F.xxhash64(col(text))).alias("key"), col(text).cast("string").alias("text"))
+    key = F.xxhash64(col(id_column).cast("string"), F.lit(":"), col(text).cast("string")).alias("key")
+    keyed = docs.select(key, col(text).cast("string").alias("text"))
     ranges = written(repeats(keyed, group).groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("ranges")))
     release(spark)
-    rows = docs.select(carry.alias("row"), F.coalesce(col(id_column).cast("long"), F.xxhash64(col(text))).alias("key"), col(text).cast("string").alias("text"))
+    rows = docs.select(carry.alias("row"), key, col(text).cast("string").alias("text"))
     rows = rows.join(ranges.withColumnRenamed("key", "_k").hint("shuffle_hash"), F.col("key") == F.col("_k"), "left")
     rows = rows.select("row", "text", F.coalesce("ranges", F.array().cast("array<struct<start:long,end:long>>")).alias("ranges"))
     kind = rows.schema["row"].dataType.simpleString()
