@@ -15,7 +15,6 @@ FIELD_DECODING = "FieldDecodingError"
 NOT_FOUND = "SchemaNotFound"
 INVALID_SCHEMA = "InvalidSchema"
 WRONG_TYPE = "WrongType"
-MISSING_IN_VALUE = "MissingInValue"
 NOT_IN_TABLE = "UnknownField"
 MISSING_REQUIRED = "MissingRequiredField"
 

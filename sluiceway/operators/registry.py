@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import hashlib
+from collections.abc import Iterable, Mapping
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,8 +18,8 @@ from sluiceway.operators.fields import ARRAY_STEP, build_tree, drop_json, legacy
 INT_MIN, INT_MAX = -(2**31), 2**31 - 1
 
 
-def registry_from_directory(spark: SparkSession, path: str) -> DataFrame:
-    """Schemas below ``path`` in the layout ``vendor/name/format/model-revision-addition``."""
+def registry_from_directory(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Schemas below ``path``, or in a list of files, in the layout ``vendor/name/format/model-revision-addition``."""
     files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
     key = F.regexp_extract("_metadata.file_path", r"([^/]+/[^/]+/[^/]+/[^/]+?)(?:\.json)?$", 1)
     return _keyed(files.select(F.concat(F.lit(URI_SCHEME), key).alias("uri"), F.col("value").alias("doc")))
@@ -113,18 +114,28 @@ def compile_registry(docs: DataFrame) -> DataFrame:
 
     This is the form the loader resolves against. It is built once and kept, not once per batch.
     """
+    levels: list[DataFrame] = []
+    compiled = compiled_schemas(docs, levels).persist()
+    compiled.count()
+    for level in levels:
+        level.unpersist()
+    return compiled
+
+
+def compiled_schemas(docs: DataFrame, levels: list[DataFrame]) -> DataFrame:
+    """What :func:`compile_registry` gives, not kept; the levels of the walk, kept while it runs, are added to ``levels``."""
     node = F.struct("path", "name", "kind", "nullable")
     by_schema = ["uri", "vendor", F.col("schema_name").alias("name"), "format", "model", "revision", "addition"]
-    return field_catalog(docs).groupBy(*by_schema).agg(
+    return field_catalog(docs, levels).groupBy(*by_schema).agg(
         F.collect_list(node).alias("nodes"), F.bool_and("legal").alias("legal")
-    ).persist()
+    )
 
 
-def field_catalog(docs: DataFrame) -> DataFrame:
+def field_catalog(docs: DataFrame, levels: list[DataFrame] | None = None) -> DataFrame:
     """One row per node of every schema: ``path``, snake-case ``name``, ``kind``, ``nullable``, ``legal``.
 
     The walk goes one level per step until nothing is left below, so it runs as many small jobs as
-    the deepest schema has levels; a document is finite, so the walk ends.
+    the deepest schema has levels; a document is finite, so the walk ends. Levels are kept and listed in ``levels``, to be released by the caller.
     """
     keys = ["uri", "vendor", "name", "format", "model", "revision", "addition"]
     key_struct = F.struct(*keys).alias("key")
@@ -154,6 +165,8 @@ def field_catalog(docs: DataFrame) -> DataFrame:
             ((F.col("kind") == "struct") & ~F.array_contains("required_names", F.col("child"))).alias("optional"),
             F.col("below_node").alias("node"),
         ).persist()
+        if levels is not None:
+            levels.append(level)
         if level.isEmpty():
             return catalog
 
@@ -161,13 +174,14 @@ def field_catalog(docs: DataFrame) -> DataFrame:
 # Resolving the entities of a batch
 
 class EntityColumn(NamedTuple):
-    """One derived column: the entity kind, the versions it takes, their type and the JSON style."""
+    """One derived column: the entity kind, the versions it takes, their type, the JSON style, and whose column it is."""
 
     name: str
     entity: str
     uris: tuple[str, ...]
     data_type: T.DataType
     mode: str
+    owner: str
 
     @property
     def field(self) -> T.StructField:
@@ -194,10 +208,31 @@ class Resolved(NamedTuple):
 
     @property
     def fields(self) -> list[T.StructField]:
-        merged = {}
-        for column in self.columns:
-            merged[column.name] = column.batch_field
-        return list(merged.values())
+        return [column.batch_field for column in self.columns]
+
+    @property
+    def owners(self) -> dict[str, str]:
+        """Column names with the schema family, version or recovery that each belongs to."""
+        return {column.name: column.owner for column in self.columns}
+
+
+def other_name(column: str, owner: str) -> str:
+    """The name of a column whose own name belongs to another schema. It depends on the schema only, not on the order of arrival."""
+    return f"{column}_{hashlib.sha256(owner.encode()).hexdigest()[:8]}"
+
+
+class _Names:
+    """Column names by owner. A name once given stays; names may differ in spelling only in the schema, not in the column."""
+
+    def __init__(self, owners: Mapping[str, str]):
+        self.taken = dict(owners)
+        self.given = {owner: column for column, owner in owners.items()}
+
+    def claim(self, column: str, owner: str) -> str:
+        if owner not in self.given:
+            name = other_name(column, owner) if column in self.taken else column
+            self.taken[name], self.given[owner] = owner, name
+        return self.given[owner]
 
 
 def match_registry(versions: DataFrame, registry: DataFrame) -> DataFrame:
@@ -230,18 +265,20 @@ def wanted_schemas(found: DataFrame, registry: DataFrame) -> DataFrame:
 
 
 def resolve(versions: DataFrame, registry: DataFrame, skip_schemas=(), legacy_schemas=(),
-            legacy_mode: bool = False) -> Resolved:
+            legacy_mode: bool = False, owners: Mapping[str, str] | None = None) -> Resolved:
     """Derive the columns of a batch from its entity versions and a compiled registry."""
     styled = with_style(versions, skip_schemas, legacy_schemas, legacy_mode)
-    return resolve_matched(match_registry(styled, registry), registry)
+    return resolve_matched(match_registry(styled, registry), registry, owners=owners)
 
 
-def resolve_matched(matched: DataFrame, registry: DataFrame, known: dict[frozenset, Resolved] | None = None) -> Resolved:
+def resolve_matched(matched: DataFrame, registry: DataFrame, known: dict[tuple, Resolved] | None = None,
+                    owners: Mapping[str, str] | None = None, version: int = 0) -> Resolved:
     """Derive columns from styled versions that were matched with the registry.
 
     Only versions that the registry holds reach the driver, as column metadata; however many
     unresolved keys the data has does not matter. ``known`` keeps the last result, since
-    most batches of a stream hold the same schemas as the one before.
+    most batches of a stream hold the same schemas as the one before, in the same ``version`` of the registry. ``owners`` are the columns that
+    the table has, with the schemas they belong to.
     """
     found = matched.filter("found")
     entity, vendor, name, model = (F.col(c) for c in ("entity", "vendor", "name", "model"))
@@ -251,19 +288,23 @@ def resolve_matched(matched: DataFrame, registry: DataFrame, known: dict[frozens
             legacy_column_name(entity, vendor, name, model, F.col("revision"), F.col("addition"))
         ).alias("column"),
     ).collect()
-    batch = frozenset((r["entity"], r["style"], r["uri"]) for r in present)
+    batch = (version, frozenset((r["entity"], r["style"], r["uri"]) for r in present))
     if known is not None and batch in known:
         return known[batch]
     schemas = {r["uri"]: r for r in wanted_schemas(found, registry).collect()} if present else {}
-    resolved = _columns_of(present, schemas)
+    resolved = _columns_of(present, schemas, owners or {})
     if known is not None:
         known.clear()
         known[batch] = resolved
     return resolved
 
 
-def _columns_of(present: list, schemas: dict) -> Resolved:
-    """Group the schemas of a batch into columns, merging the versions of each family."""
+def _columns_of(present: list, schemas: dict, owners: Mapping[str, str]) -> Resolved:
+    """Group the schemas of a batch into columns, merging the versions of each family.
+
+    Different schemas may come to the same column name, as names lose case and punctuation. The one that has the column in the table keeps it; among new ones
+    legacy versions come first, then the least. Any other gets :func:`other_name`, so no value displaces another.
+    """
     invalid = {uri for uri, r in schemas.items() if not r["legal"]}
 
     def family_of(row) -> tuple:
@@ -277,22 +318,25 @@ def _columns_of(present: list, schemas: dict) -> Resolved:
         series.setdefault(family_of(row), []).append(row)
     families: dict[tuple, dict] = {}
     for row in present:
-        members = families.setdefault((row["style"], row["entity"], row["column"]), {})
+        own = sub(row) if row["style"] == LEGACY else ()
+        members = families.setdefault((row["style"], row["entity"], row["column"], family_of(row), own), {})
         for schema in series.get(family_of(row), []):
             wanted = schema["uri"] == row["uri"] if row["style"] == LEGACY else sub(schema) <= sub(row)
             if wanted and schema["uri"] not in invalid:
-                # The URI is part of the order: two schema names may share one snake-case column.
                 members[(*sub(schema), schema["uri"])] = schema
-    columns = []
-    for (style, kind, column), members in sorted(families.items(), key=lambda f: (f[0][0] == LEGACY, f[0])):
+    names, legacy, main = _Names(owners), [], []
+    for (style, kind, column, family, own), members in sorted(families.items(), key=lambda f: (f[0][0] != LEGACY, f[0])):
         trees = {version: build_tree(schema["nodes"]) for version, schema in members.items()}
+        owner = f"{kind} {style} " + "/".join([*map(str, family), *map(str, own)])
         if style == LEGACY:
-            columns += [EntityColumn(column, kind, (v[2],), legacy_type(t), LEGACY) for v, t in sorted(trees.items())]
+            legacy += [EntityColumn(names.claim(column, owner), kind, (v[2],), legacy_type(t), LEGACY, owner) for v, t in trees.items()]
             continue
         merged, inside, recoveries = merge_series(list(trees.items()))
         if inside:
-            columns.append(EntityColumn(column, kind, tuple(v[2] for v in inside), merged, V2))
-        columns += [
-            EntityColumn(f"{column}_recovered_{v[0]}_{v[1]}", kind, (v[2],), dtype, V2) for v, dtype in recoveries
-        ]
-    return Resolved(tuple(columns), tuple(sorted(invalid)))
+            column = names.claim(column, owner)
+            main.append(EntityColumn(column, kind, tuple(v[2] for v in inside), merged, V2, owner))
+        for v, dtype in recoveries:
+            recovered = f"{owner} recovered {v[0]}-{v[1]}"
+            name = names.claim(f"{column}_recovered_{v[0]}_{v[1]}", recovered)
+            main.append(EntityColumn(name, kind, (v[2],), dtype, V2, recovered))
+    return Resolved((*main, *legacy), tuple(sorted(invalid)))

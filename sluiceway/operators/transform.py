@@ -182,7 +182,7 @@ def transform_events(parsed: DataFrame, atomic: T.StructType, resolved: Resolved
     failure = f"""CASE WHEN clean_ THEN NULL
         WHEN size(parse_errors) > 0 THEN {E.failure(E.PARSING, 'parse_errors')}
         ELSE {E.failure(E.SCHEMA, schema_errors)} END"""
-    finals = {c.name: s.final for c, s in zip(columns, stages)}  # legacy comes last, so it wins
+    finals = {c.name: s.final for c, s in zip(columns, stages)}  # names are told apart when columns are resolved
     row = record([(f, name(f)) for f in fixed] + [("load_tstamp", "stamp_"), *finals.items()])
     return staged.selectExpr(
         "payload", "n_bytes", *[name(c) for c in keep], f"{failure} AS failure", f"{row} AS row"

@@ -6,7 +6,8 @@ its files beside those that are there and then commits them in one step, which a
 Readers take files from the log alone, so they see a batch as it was before or as it is after, whatever crashes in between.
 
 The table schema is the merge of all records of its log in order. Changes only add fields or relax them, and each takes the next free version, so two
-loaders that evolve the table at once both keep their columns; old files read with the newer schema give nulls for what they lack.
+loaders that evolve the table at once both keep their columns; old files read with the newer schema give nulls for what they lack. A record also says which
+schema each new column belongs to, so a column never takes values of another schema whose name becomes the same.
 """
 
 from __future__ import annotations
@@ -15,8 +16,9 @@ import json
 import math
 import time
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from datetime import datetime, timedelta, timezone
+from types import MappingProxyType
 from typing import NamedTuple
 
 from py4j.protocol import Py4JError
@@ -45,6 +47,11 @@ class TableState(NamedTuple):
     schema: T.StructType
     version: int
     disabled_until: datetime | None = None
+    owners: Mapping[str, str] = MappingProxyType({})
+
+    def yields(self, owners: Mapping[str, str]) -> bool:
+        """Whether none of these columns belongs to another schema already."""
+        return all(self.owners.get(column, owner) == owner for column, owner in owners.items())
 
 
 def _now() -> datetime:
@@ -90,21 +97,23 @@ def load_state(spark: SparkSession, root: str) -> TableState | None:
     state = TableState(T.StructType([]), -1)
     if at.snapshot is not None:
         known = json.loads(log.record(spark, folder, at.snapshot, "snapshot"))
-        state = TableState(T.StructType.fromJson(known["schema"]), at.snapshot, _read_moment(known["disabled_until"]))
+        state = TableState(T.StructType.fromJson(known["schema"]), at.snapshot, _read_moment(known["disabled_until"]), known.get("owners", {}))
     for version in at.later:
         change = json.loads(log.record(spark, folder, version))
         merged = merge_columns(state.schema, T.StructType.fromJson(change["fields"]).fields)
-        state = TableState(merged, version, _read_moment(change["disabled_until"]))
+        state = TableState(merged, version, _read_moment(change["disabled_until"]), {**state.owners, **change.get("owners", {})})
     return state
 
 
-def _schema_record(version: int, fields: list[T.StructField], disabled_until: datetime | None, at: datetime) -> str:
-    return json.dumps({"version": version, "at": _shown(at), "fields": T.StructType(fields).jsonValue(), "disabled_until": _shown(disabled_until)}) + "\n"
+def _schema_record(version: int, fields: list[T.StructField], disabled_until: datetime | None, at: datetime, owners: Mapping[str, str] | None = None) -> str:
+    named = {"owners": dict(owners)} if owners else {}
+    return json.dumps({"version": version, "at": _shown(at), "fields": T.StructType(fields).jsonValue(), "disabled_until": _shown(disabled_until), **named}) + "\n"
 
 
 def _schema_snapshot(spark: SparkSession, root: str, state: TableState) -> None:
     if state.version and state.version % log.SNAPSHOT_EVERY == 0:
-        log.put_snapshot(spark, _schema_log(root), state.version, json.dumps({"schema": state.schema.jsonValue(), "disabled_until": _shown(state.disabled_until)}))
+        known = {"schema": state.schema.jsonValue(), "disabled_until": _shown(state.disabled_until), "owners": dict(state.owners)}
+        log.put_snapshot(spark, _schema_log(root), state.version, json.dumps(known))
 
 
 def create_if_missing(spark: SparkSession, root: str, schema: T.StructType, now: datetime | None = None) -> TableState:
@@ -143,9 +152,12 @@ def _setup_alert(spark: SparkSession, root: str, alert: str, columns: Iterable[s
 
 def evolve(spark: SparkSession, root: str, known: TableState, batch: list[T.StructField],
            max_columns: int | None = None, delay: timedelta = TOO_MANY_COLUMNS_DELAY,
-           now: datetime | None = None) -> TableState:
+           now: datetime | None = None, owners: Mapping[str, str] | None = None) -> TableState:
     """Add what a batch needs to the table schema.
 
+    ``owners`` are the schemas that the columns of the batch belong to. If another loader has given one of the columns to another schema, nothing is
+    changed and the state returned no longer ``yields`` to them: the batch has to find other names.
+
     ``known`` is the schema the loader last saw; the log is read again only when something has to
     change. There is no cap on columns unless the caller sets one. Above it nothing is added, an alert is written, and further attempts wait for
     ``delay``; rows that need the columns fail until then. If another loader changes the schema first, the change is worked out again on top of that.
@@ -155,7 +167,8 @@ def evolve(spark: SparkSession, root: str, known: TableState, batch: list[T.Stru
     def paused(state: TableState) -> bool:
         return max_columns is not None and state.disabled_until is not None and now < state.disabled_until
 
-    if not fields_to_alter(known.schema, batch) or paused(known):
+    owners = owners or {}
+    if not (fields_to_alter(known.schema, batch) or owners.keys() - known.owners.keys()) or paused(known):
         return known
     found: dict[str, TableState | str | list] = {}
 
@@ -164,17 +177,18 @@ def evolve(spark: SparkSession, root: str, known: TableState, batch: list[T.Stru
         wanted = changes(latest.schema, batch)
         found.clear()
         found["state"] = latest
-        if not wanted or paused(latest):
+        claimed = {c: o for c, o in owners.items() if c not in latest.owners}
+        if not (wanted or claimed) or paused(latest) or not latest.yields(owners):
             return None
         merged = merge_columns(latest.schema, wanted)
         count = column_count(merged)
         if max_columns is not None and count > max_columns:
             found["cause"] = f"too many total leaf fields: {count}, allowed: {max_columns}"
             found["names"] = [f.name for f in wanted]
-            found["state"] = TableState(latest.schema, version, now + delay)
+            found["state"] = TableState(latest.schema, version, now + delay, latest.owners)
             return _schema_record(version, [], now + delay, now)
-        found["state"] = TableState(merged, version)
-        return _schema_record(version, wanted, None, now)
+        found["state"] = TableState(merged, version, None, {**latest.owners, **claimed})
+        return _schema_record(version, wanted, None, now, claimed)
 
     if log.commit(spark, _schema_log(root), change) is not None:
         _schema_snapshot(spark, root, found["state"])

@@ -22,6 +22,7 @@ from sluiceway.operators.parse import parse_lines
 from sluiceway.operators.registry import Resolved, match_registry, resolve_matched
 from sluiceway.operators.transform import good_rows, transform_events
 from sluiceway.sources import store, table
+from sluiceway.sources.schemas import SchemaDirectory, SchemaVersion
 
 class MissingSchemaError(RuntimeError):
     """A batch names schemas the registry cannot give, and the loader is set to stop on that."""
@@ -40,11 +41,11 @@ def _millis_since(moment: datetime | None) -> int | None:
     return int((now - moment.astimezone(timezone.utc)) / timedelta(milliseconds=1))
 
 
-def load_batch(lines: DataFrame, batch_id: str, root: str, registry: DataFrame, atomic: T.StructType, *,
+def load_batch(lines: DataFrame, batch_id: str, root: str, registry: DataFrame | SchemaDirectory, atomic: T.StructType, *,
                unstruct: str = "unstruct_event", contexts: tuple[str, ...] = ("contexts", "derived_contexts"),
                enveloped: bool = True, skip_schemas=(), legacy_schemas=(), legacy_mode: bool = False,
                exit_on_missing_schema: bool = True, known: table.TableState | None = None,
-               resolutions: dict[frozenset, Resolved] | None = None,
+               resolutions: dict[tuple, Resolved] | None = None,
                max_columns: int | None = None, column_delay: timedelta = table.TOO_MANY_COLUMNS_DELAY,
                max_failed_bytes: int = MAX_RECORD_BYTES, app: tuple[str, str] = ("sluiceway", "0.1.0"),
                storage: StorageLevel | None = StorageLevel.MEMORY_AND_DISK, spread: int | None = None,
@@ -56,6 +57,9 @@ def load_batch(lines: DataFrame, batch_id: str, root: str, registry: DataFrame,
     replaces it even if rows change their class or the load time falls on another day, and a crash at any point leaves it as it was. ``fresh`` says that
     the batch id cannot have been committed before. ``send_failed`` takes failed events elsewhere instead; it is called before the commit, so at least once.
 
+    ``registry`` is a compiled registry, or a directory of schemas, which is looked at again when a batch names a schema that it does not have. Either
+    way the whole batch resolves against one version.
+
     The lines are read twice: once for the schema keys only, once for the rows. The rows are kept
     (spilling to disk) because three outputs use them; ``storage=None`` recomputes them instead.
     ``known`` and ``resolutions`` carry table and column metadata from one batch to the next.
@@ -68,15 +72,21 @@ def load_batch(lines: DataFrame, batch_id: str, root: str, registry: DataFrame,
     parsed = parse_lines(lines, atomic, **parsing)
 
     versions = entity_versions(parse_lines(lines, atomic, **parsing, with_data=False))
-    matched = match_registry(with_style(versions, **criteria), registry).persist()
+    matched, pinned = _matched(with_style(versions, **criteria), registry, exit_on_missing_schema)
     try:
-        resolved = resolve_matched(matched, registry, resolutions)
-        if exit_on_missing_schema:
-            _stop_on_missing(spark, root, matched, resolved.invalid)
+        while True:
+            resolved = resolve_matched(matched, pinned.compiled, resolutions, state.owners, pinned.number)
+            if exit_on_missing_schema:
+                _stop_on_missing(spark, root, matched, resolved.invalid)
+            state = table.evolve(spark, root, state, resolved.fields, max_columns, column_delay, owners=resolved.owners)
+            if state.yields(resolved.owners):
+                break
+            # Another loader has given one of the columns to another schema meanwhile.
+            if resolutions is not None:
+                resolutions.clear()
     finally:
         matched.unpersist()
 
-    state = table.evolve(spark, root, state, resolved.fields, max_columns, column_delay)
     transformed = transform_events(
         parsed, atomic, resolved, F.col("load_tstamp"), **parsing, **criteria,
         keep=("load_tstamp", "collector_tstamp", *(("source_tstamp",) if sourced else ())),
@@ -92,6 +102,26 @@ def load_batch(lines: DataFrame, batch_id: str, root: str, registry: DataFrame,
     return state
 
 
+def _matched(styled: DataFrame, registry: DataFrame | SchemaDirectory, exit_on_missing: bool) -> tuple[DataFrame, SchemaVersion]:
+    """The versions of a batch, kept, with whether each is found, and the version of the registry that the whole batch uses.
+
+    Before a stream stops on a missing schema the directory is looked at whenever the last look was.
+    """
+    if isinstance(registry, DataFrame):
+        return match_registry(styled, registry).persist(), SchemaVersion(0, registry)
+    pinned = registry.current()
+    matched = match_registry(styled, pinned.compiled).persist()
+    if matched.where("NOT found").isEmpty():
+        return matched, pinned
+    newest = registry.refresh(force=exit_on_missing)
+    if newest.number == pinned.number:
+        return matched, pinned
+    again = match_registry(matched.drop("found"), newest.compiled).persist()
+    again.count()
+    matched.unpersist()
+    return again, newest
+
+
 def _stop_on_missing(spark: SparkSession, root: str, matched: DataFrame, invalid: tuple[str, ...]) -> None:
     """Stop if the batch names a schema that is missing or invalid. The whole list is written to the table's alerts."""
     problem = F.when(~F.col("found"), F.lit(NOT_FOUND)).when(F.expr(one_of("uri", invalid)), F.lit(INVALID_SCHEMA))
@@ -133,14 +163,14 @@ def _write_batch(conformed: DataFrame, batch_id: str, root: str, app: tuple[str,
     table.commit_batch(spark, root, batch_id, added, metrics, fresh)
 
 
-def load_lines(lines: DataFrame, batch_id: str, root: str, registry: DataFrame, atomic: T.StructType,
+def load_lines(lines: DataFrame, batch_id: str, root: str, registry: DataFrame | SchemaDirectory, atomic: T.StructType,
                load_tstamp: datetime, **options) -> table.TableState:
     """Backfill: load a DataFrame of lines as one batch with the given load time."""
     configure(lines.sparkSession)
     return load_batch(lines.withColumn("load_tstamp", F.lit(load_tstamp)), batch_id, root, registry, atomic, **options)
 
 
-def run_stream(lines: DataFrame, root: str, registry: DataFrame, atomic: T.StructType, checkpoint: str, *,
+def run_stream(lines: DataFrame, root: str, registry: DataFrame | SchemaDirectory, atomic: T.StructType, checkpoint: str, *,
                loader: str = "main", trigger: dict | None = None, **options) -> StreamingQuery:
     """Load a stream of lines in micro-batches.
 
@@ -154,7 +184,7 @@ def run_stream(lines: DataFrame, root: str, registry: DataFrame, atomic: T.Struc
     state = {"known": table.create_if_missing(spark, root, table.initial_schema(
         atomic, options.get("unstruct", "unstruct_event"), options.get("contexts", ("contexts", "derived_contexts"))
     ))}
-    resolutions: dict[frozenset, Resolved] = {}
+    resolutions: dict[tuple, Resolved] = {}
     stamped = lines.withColumn("load_tstamp", F.current_timestamp())
 
     def load(batch: DataFrame, number: int) -> None:
