@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluiceway.functions.keys import URI_SCHEME
 from sluiceway.operators.registry import compile_registry, registry_from_rows
+from sluiceway.sources import store
 
 ATOMIC = T.StructType([
     T.StructField("event_id", T.LongType(), False),
@@ -217,3 +219,103 @@ def drifting_registry(spark: SparkSession) -> DataFrame:
         for event in EVENT_TYPES for i, kind in enumerate(kinds)
     ]
     return compile_registry(registry_from_rows(spark, rows + acme_schemas()[-1:]))
+
+
+def put_schemas(spark: SparkSession, folder: str, rows: list[tuple[str, str]]) -> None:
+    """Schemas as files below a folder, each put at once."""
+    for uri, doc in rows:
+        store.put_if_absent(spark, f"{folder}/{uri.removeprefix(URI_SCHEME)}", doc)
+
+
+def _event_line(unstruct: Column, contexts: Column) -> Column:
+    return F.concat_ws("\t", F.col("event_id").cast("string"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS"), F.col("event_type"), unstruct, contexts).alias("value")
+
+
+def _entity(name: str, data: Column, version: str = "1-0-0", vendor: str = "com.acme") -> Column:
+    return F.concat(F.lit(f'{{"schema":"iglu:{vendor}/{name}/jsonschema/{version}","data":'), data, F.lit("}"))
+
+
+# The one column names of each pair of schemas would come to, and the legacy one of them.
+PAGE_VIEW = "unstruct_event_com_acme_page_view_1"
+ITEM = "unstruct_event_com_acme_item_1_0_1"
+TWIN_LEGACY = ("iglu:com.acme/item/jsonschema/*-*-*",)
+
+
+def twin_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page views of two schemas that differ in spelling, and items of a legacy version and of a schema that is named like it."""
+    text = lambda letter: F.concat(F.lit(f'{{"k":"{letter}'), F.col("user_id").cast("string"), F.lit('"}'))
+    unstruct = (
+        F.when(F.col("event_type") == "click", _entity("pageView", F.col("props")))
+        .when(F.col("event_type") == "view", _entity("page_view", text("v")))
+        .when(F.col("event_type") == "purchase", _entity("item", F.col("props"), "1-0-1"))
+        .when(F.col("event_type") == "signup", _entity("item_1_0", text("s")))
+        .otherwise("")
+    )
+    return table(spark, sf_dir, "events").select("event_type", _event_line(unstruct, F.lit("")))
+
+
+def twin_registry(spark: SparkSession) -> DataFrame:
+    number, text = _schema({"k": {"type": "integer"}}, ["k"]), _schema({"k": {"type": "string"}}, ["k"])
+    kinds = {"pageView/jsonschema/1-0-0": number, "page_view/jsonschema/1-0-0": text, "item/jsonschema/1-0-1": number, "item_1_0/jsonschema/1-0-0": text}
+    return compile_registry(registry_from_rows(spark, [(f"iglu:com.acme/{key}", doc) for key, doc in kinds.items()]))
+
+
+FAULTY_LEGACY = ("iglu:com.acme/note/jsonschema/*-*-*",)
+
+
+def faulty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By the remainder of the id by 9: a good order, then a missing member, a null, two wrong types, missing JSON, a wrong legacy context, a wrong order
+    with that, a wrong order with an unknown context, and an invalid and an unknown context. Good orders have moments with and without fraction and offset.
+    """
+    i = F.col("event_id")
+    case = i % 9
+    k = F.concat(F.lit('"k":'), (F.col("user_id") % 1000).cast("string"))
+    second = F.lpad((i % 60).cast("string"), 2, "0")
+    moment = F.when(i % 2 == 0, F.concat(F.lit("2024-03-17T20:37:"), second, F.lit("."), F.lpad((i % 1000).cast("string"), 3, "0"), F.lit("456+02:00"))).otherwise(
+        F.concat(F.lit("2024-03-17T20:37:"), second, F.lit("Z")))
+    wrong = F.concat(F.lit('"k":"x'), F.col("user_id").cast("string"), F.lit('"'))
+    data = (
+        F.when(case == 1, F.lit('{"tag":"t","extra":{}}'))
+        .when(case == 2, F.concat(F.lit("{"), k, F.lit(',"tag":null,"extra":{}}')))
+        .when(case == 3, F.concat(F.lit("{"), wrong, F.lit(',"tag":5,"extra":[]}')))
+        .when(case == 4, F.concat(F.lit("{"), k, F.lit(',"tag":"t"}')))
+        .when(case.isin(6, 7), F.concat(F.lit("{"), wrong, F.lit(',"tag":"t","extra":{}}')))
+        .otherwise(F.concat(F.lit("{"), k, F.lit(',"tag":"t","extra":{},"at":"'), moment, F.lit('"}')))
+    )
+    fine = _entity("note", F.lit('{"text":"n","body":{}}'))
+    unknown = _entity("ctx", F.lit("{}"), vendor="com.unknown")
+    contexts = (
+        F.when(case.isin(5, 6), _entity("note", F.lit('{"text":null}')))
+        .when(case == 7, F.concat(fine, F.lit(","), unknown))
+        .when(case == 8, F.concat(_entity("broken", F.lit("{}")), F.lit(","), unknown))
+        .otherwise(fine)
+    )
+    return table(spark, sf_dir, "events").select(_event_line(_entity("order", data), F.concat(F.lit("["), contexts, F.lit("]"))))
+
+
+def faulty_registry(spark: SparkSession) -> DataFrame:
+    order = _schema({
+        "k": {"type": "integer", "minimum": 0, "maximum": 1000}, "tag": {"type": "string"}, "extra": {"type": "object"},
+        "at": {"type": "string", "format": "date-time"},
+    }, ["k", "tag", "extra"])
+    note = _schema({"text": {"type": "string"}, "body": {"type": "object"}}, ["text", "body"])
+    docs = {"order": order, "note": note, "broken": '{"properties":"none"}'}
+    return compile_registry(registry_from_rows(spark, [(f"iglu:com.acme/{name}/jsonschema/1-0-0", doc) for name, doc in docs.items()]))
+
+
+def relaxing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of two versions of their schema; of the second, every fifth id lacks the number."""
+    later = F.col("event_id") % 3 != 0
+    data = F.when(later & (F.col("event_id") % 5 == 0), "{}").otherwise(F.col("props"))
+    version = F.when(later, "1").otherwise("0")
+    unstruct = F.concat(F.lit('{"schema":"iglu:com.acme/'), F.col("event_type"), F.lit("/jsonschema/1-0-"), version, F.lit('","data":'), data, F.lit("}"))
+    return table(spark, sf_dir, "events").select(later.alias("later"), _event_line(unstruct, F.lit("")))
+
+
+def relaxing_registry(spark: SparkSession) -> DataFrame:
+    """The number is required in the first version only."""
+    rows = [
+        (f"iglu:com.acme/{event}/jsonschema/1-0-{i}", _schema({"k": {"type": "integer"}}, required))
+        for event in EVENT_TYPES for i, required in enumerate((["k"], []))
+    ]
+    return compile_registry(registry_from_rows(spark, rows))

@@ -156,6 +156,16 @@ filled AS (
 )
 """
 
+_FAULTY = """
+WITH cases AS (SELECT event_id, user_id, event_id % 9 AS c FROM events),
+errors(c, position, error, name, found, expected) AS (VALUES
+  (1, 0, 'WrongType', 'order', 'null', 'Integer'), (2, 0, 'WrongType', 'order', 'null', 'String'),
+  (3, 0, 'WrongType', 'order', NULL, 'Integer'), (3, 1, 'WrongType', 'order', '5', 'String'),
+  (4, 0, 'WrongType', 'order', 'null', 'Json'), (5, 0, 'WrongType', 'note', 'null', 'String'), (5, 1, 'WrongType', 'note', 'null', 'String'),
+  (6, 0, 'WrongType', 'order', NULL, 'Integer'), (7, 0, 'SchemaNotFound', 'ctx', NULL, NULL),
+  (8, 0, 'InvalidSchema', 'broken', NULL, NULL), (8, 1, 'SchemaNotFound', 'ctx', NULL, NULL))
+"""
+
 
 def all_oracles() -> dict[str, str]:
     return {
@@ -295,4 +305,40 @@ SELECT epoch_us(load_tstamp) AS period_start, lag AS latency_millis, waited AS e
 SELECT epoch_us(load_tstamp) AS period_start, n_good AS events_good, n - n_good AS events_bad, lag AS latency_millis
 FROM filled WHERE lag > 5 * 60 * 1000""", _HOURS),
         "stream_equals_batch": _rows(),
+        "error_details": f"""
+{_FAULTY}
+SELECT event_id, 'loader_schema_error' AS kind, CAST(position AS INTEGER) AS position, error,
+  'iglu:com.' || CASE name WHEN 'ctx' THEN 'unknown' ELSE 'acme' END || '/' || name || '/jsonschema/1-0-0' AS schema_key,
+  CASE WHEN error = 'WrongType' THEN coalesce(found, '"x' || user_id || '"') END AS found, expected
+FROM cases JOIN errors USING (c)""",
+        "moments_cast": f"""
+{_FAULTY}
+SELECT event_id, epoch_us(CASE WHEN event_id % 2 = 0 THEN TIMESTAMP '2024-03-17 18:37:00' ELSE TIMESTAMP '2024-03-17 20:37:00' END)
+  + 1000000 * (event_id % 60) + CASE WHEN event_id % 2 = 0 THEN 1000 * (event_id % 1000) ELSE 0 END AS at_micros,
+  '{{}}' AS extra_json, 'n' AS note_json
+FROM cases WHERE c = 0""",
+        "alerts_raised": _with(f"""
+SELECT 'failed_to_add_columns' AS alert, 'too many total leaf fields: 11, allowed: 8' AS cause, {_COLUMN} AS column_name,
+  CAST(sum(occurrences) AS BIGINT) AS occurrences
+FROM versions WHERE vendor = 'com.acme' AND name IN ('click', 'purchase', 'user_ctx') GROUP BY ALL"""),
+        "relaxed_columns": """
+SELECT 'unstruct_event_com_acme_' || event_type || '_1' AS column_name, false AS nullable_first, true AS nullable_last,
+  false AS first_has_last, true AS last_has_first, count(*) AS n_values, count(*) FILTER (WHERE event_id % 3 <> 0 AND event_id % 5 = 0) AS n_without
+FROM events GROUP BY event_type""",
+        "colliding_names": _ENVELOPED + """
+SELECT event_id, CASE WHEN event_type = 'view' THEN 'v' || user_id END AS page_view_k, CASE WHEN event_type = 'click' THEN k END AS page_view_other_k,
+  CASE WHEN event_type = 'purchase' THEN k END AS item_k, CASE WHEN event_type = 'signup' THEN 's' || user_id END AS item_other_k
+FROM place""",
+        "refreshed_registry": _with("""
+, outcome AS (
+  SELECT CASE WHEN event_id % 2 = 0 THEN 'before' ELSE 'after' END AS batch_id, event_name,
+    vendor = 'com.acme' AND k_is_int AND (event_id % 2 = 1 OR name <> 'signup') AS fine FROM typed
+  UNION ALL
+  SELECT CASE WHEN CAST(value[9:] AS BIGINT) % 2 = 0 THEN 'before' ELSE 'after' END, NULL, false FROM bad
+)
+SELECT batch_id, event_name, count(*) AS n FROM outcome WHERE fine GROUP BY 1, 2
+UNION ALL SELECT batch_id, 'failed', count(*) FROM outcome WHERE NOT fine GROUP BY 1"""),
+        "outputs_by_batch": _with("""
+SELECT 'good' AS batch_id, count(*) AS n_events, CAST(count(*) AS BIGINT) AS n_rows, true AS has_rows, false AS has_failed FROM typed WHERE vendor = 'com.acme' AND k_is_int
+UNION ALL SELECT 'bad', count(*), 0, false, true FROM bad"""),
     }

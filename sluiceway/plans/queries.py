@@ -17,7 +17,7 @@ from sluiceway.functions.keys import column_name, key_columns, legacy_column_nam
 from sluiceway.operators.conform import conform
 from sluiceway.operators.entities import entity_occurrences, entity_versions, with_style
 from sluiceway.operators.failed import failed_events, processor, serialised
-from sluiceway.operators.fields import fields_to_alter, flat_paths, legacy_type, merge_columns
+from sluiceway.operators.fields import fields_to_alter, flat_paths, has_fields, legacy_type, merge_columns
 from sluiceway.operators.metrics import (
     METRIC_BAD, METRIC_E2E_LATENCY, METRIC_GOOD, METRIC_LATENCY, NEWEST_SOURCE, batch_summary, every_period, latency_millis, per_period, unhealthy,
 )
@@ -25,8 +25,10 @@ from sluiceway.operators.parse import bad_lines, good_events, parse_lines, paylo
 from sluiceway.operators.registry import Resolved, match_registry, resolve, unresolved
 from sluiceway.operators.transform import failures, good_rows, transform_events
 from sluiceway.plans import fixtures as X
+from sluiceway.sources import log
 from sluiceway.sources.lines import since, text_stream
-from sluiceway.sources.table import compact, initial_schema, read_failed, read_metrics, read_table
+from sluiceway.sources.schemas import SchemaDirectory
+from sluiceway.sources.table import ALERT_SCHEMA, compact, initial_schema, read_failed, read_metrics, read_table
 from sluiceway.streaming.loader import configure, load_lines, run_stream
 
 # Fixed values of the queries: moments that would otherwise come from the clock, and size caps.
@@ -324,6 +326,29 @@ def missing_schema_lenient(spark, sf_dir):
     return failed.select("event_id", F.inline("failure.errors"))
 
 
+def _faulty(spark, sf_dir):
+    configure(spark)
+    lines = X.faulty_lines(spark, sf_dir)
+    resolved = _resolved(parse_lines(lines, X.ATOMIC, **X.LAYOUT, with_data=False), _registry(spark, X.faulty_registry), legacy_schemas=X.FAULTY_LEGACY)
+    return transform_events(parse_lines(lines, X.ATOMIC, **X.LAYOUT), X.ATOMIC, resolved, F.lit(LOAD_TSTAMP), **X.LAYOUT,
+                            legacy_schemas=X.FAULTY_LEGACY, keep=("event_id",))
+
+
+def error_details(spark, sf_dir):
+    """Every error of every event in order: missing members and nulls, several at once, unknown and invalid schemas, and what hides what."""
+    failed = failures(_faulty(spark, sf_dir), "event_id")
+    return failed.select("event_id", "failure.kind", F.posexplode("failure.errors").alias("position", "e")).select(
+        "event_id", "kind", "position", "e.error", "e.schema_key", F.col("e.value").alias("found"), "e.expected")
+
+
+def moments_cast(spark, sf_dir):
+    """Moments with offsets and with more digits than are kept."""
+    rows = good_rows(_faulty(spark, sf_dir))
+    order = F.col("unstruct_event_com_acme_order_1")
+    return rows.select("event_id", F.unix_micros(order["at"]).alias("at_micros"), order["extra"].alias("extra_json"),
+                       F.get("contexts_com_acme_note_1_0_0", F.lit(0))["text"].alias("note_json"))
+
+
 def failed_records(spark, sf_dir):
     return serialised(failed_events(_transformed(spark, sf_dir), processor(*STAMP))).select("kind", "value")
 
@@ -441,6 +466,81 @@ def column_cap(spark, sf_dir):
     return failed.groupBy(F.get_json_object("value", "$.kind").alias("kind")).agg(F.count("*").alias("n_failed"))
 
 
+def alerts_raised(spark, sf_dir):
+    """What the cap on columns has alerted, with the entities in the data that need each column."""
+    root = _load_two_days(spark, sf_dir, max_columns=FEW_COLUMNS, column_delay=timedelta(days=1))
+    alerts = spark.read.schema(ALERT_SCHEMA).json(f"{root}/alerts")
+    counts = _occurrences_by_column(_parsed(spark, sf_dir, with_data=False))
+    return alerts.select("alert", "cause", F.explode("columns").alias("column_name")).join(counts, "column_name")
+
+
+def relaxed_columns(spark, sf_dir):
+    """A number that the first batch's schemas require and those of the second do not: whether each table schema holds the other one's column."""
+    configure(spark)
+    root, lines, registry = scratch(spark), X.relaxing_lines(spark, sf_dir), _registry(spark, X.relaxing_registry)
+    first = load_lines(lines.where("NOT later").select("value"), "first-0", root, registry, X.ATOMIC, LOAD_TSTAMP, **X.LAYOUT)
+    last = load_lines(lines.where("later").select("value"), "second-0", root, registry, X.ATOMIC, SECOND_LOAD, known=first, **X.LAYOUT)
+    names = sorted(last.owners)
+    facts = [
+        (n, first.schema[n].dataType["k"].nullable, last.schema[n].dataType["k"].nullable,
+         has_fields(first.schema, [last.schema[n]]), has_fields(last.schema, [first.schema[n]]))
+        for n in names
+    ]
+    rows = read_table(spark, root)
+    counted = rows.select(F.explode(F.array(*[
+        F.struct(F.lit(n).alias("column_name"), F.col(n).isNotNull().alias("there"), (F.col(n).isNotNull() & F.col(n)["k"].isNull()).alias("lacks"))
+        for n in names
+    ])).alias("x")).select("x.*").groupBy("column_name").agg(F.count_if("there").alias("n_values"), F.count_if("lacks").alias("n_without"))
+    described = spark.createDataFrame(facts, "column_name string, nullable_first boolean, nullable_last boolean, first_has_last boolean, last_has_first boolean")
+    return described.join(counted, "column_name")
+
+
+def colliding_names(spark, sf_dir):
+    """Schemas whose columns would have the same name, the second of them in a later batch, and a legacy version beside a schema that is named like it."""
+    configure(spark)
+    root, lines, registry = scratch(spark), X.twin_lines(spark, sf_dir), _registry(spark, X.twin_registry)
+    options = {**X.LAYOUT, "legacy_schemas": X.TWIN_LEGACY}
+    first = F.col("event_type") == "view"
+    state = load_lines(lines.where(first).select("value"), "first-0", root, registry, X.ATOMIC, LOAD_TSTAMP, **options)
+    state = load_lines(lines.where(~first).select("value"), "second-0", root, registry, X.ATOMIC, SECOND_LOAD, known=state, **options)
+    other = {plain: next(c for c in state.owners if c.startswith(f"{plain}_")) for plain in (X.PAGE_VIEW, X.ITEM)}
+    k = lambda column, kind: F.col(column)["k"].cast(kind)
+    return read_table(spark, root).select(
+        "event_id", k(X.PAGE_VIEW, "string").alias("page_view_k"), k(other[X.PAGE_VIEW], "long").alias("page_view_other_k"),
+        k(X.ITEM, "long").alias("item_k"), k(other[X.ITEM], "string").alias("item_other_k"))
+
+
+def refreshed_registry(spark, sf_dir):
+    """Schemas of sign-ups are put into the directory after the first of two batches; the same loader uses them for the second."""
+    configure(spark)
+    root, lines = scratch(spark), X.enriched_lines(spark, sf_dir)
+    options = {**X.LAYOUT, "exit_on_missing_schema": False}
+    signups = [row for row in X.acme_schemas() if "/signup/" in row[0]]
+    X.put_schemas(spark, f"{root}/schemas", [row for row in X.acme_schemas() if row not in signups])
+    registry = SchemaDirectory(spark, f"{root}/schemas", f"{root}/registry", every=timedelta(0))
+    even = F.regexp_extract("value", "^[a-z]*([0-9]+)", 1).cast("long") % 2 == 0
+    state = load_lines(lines.where(even), "before", f"{root}/table", registry, X.ATOMIC, LOAD_TSTAMP, **options)
+    X.put_schemas(spark, f"{root}/schemas", signups)
+    load_lines(lines.where(~even), "after", f"{root}/table", registry, X.ATOMIC, SECOND_LOAD, known=state, **options)
+    rows = read_table(spark, f"{root}/table").groupBy("batch_id", "event_name").agg(F.count("*").alias("n"))
+    failed = read_metrics(spark, f"{root}/table").select("batch_id", F.lit("failed").alias("event_name"), F.col("n_bad").alias("n"))
+    return rows.unionByName(failed)
+
+
+def outputs_by_batch(spark, sf_dir):
+    """A batch without bad lines, one of bad lines only and one without lines: which outputs each has."""
+    root, lines = scratch(spark), X.enriched_lines(spark, sf_dir)
+    malformed = F.col("value").startswith("nonsense")
+    fine = ~malformed & ~F.col("value").contains("com.unknown") & ~F.col("value").contains("xyz")
+    for batch_id, some in {"good": fine, "bad": malformed, "none": F.lit(False)}.items():
+        load_lines(lines.where(some), batch_id, root, _registry(spark), X.ATOMIC, LOAD_TSTAMP, **X.LAYOUT)
+    kind = F.col("kind")
+    files = log.live_files(spark, root).select(F.explode("batches").alias("batch_id"), "kind", "n_rows").groupBy("batch_id").agg(
+        F.coalesce(F.sum(F.when(kind == log.ROWS, F.col("n_rows"))), F.lit(0)).alias("n_rows"), F.bool_or(kind == log.ROWS).alias("has_rows"),
+        F.bool_or(kind == log.FAILED).alias("has_failed"))
+    return read_metrics(spark, root).select("batch_id", "n_events").join(files, "batch_id")
+
+
 # Metrics
 
 def summary_of_batch(spark, sf_dir):
@@ -509,5 +609,6 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         json_text_v2, json_text_legacy, array_null_drop, array_of_records, transform_rows, transform_legacy_mode, transform_nested,
         merged_versions, missing_schema_lenient, failed_records, failed_records_capped, row_conformance, schema_diff,
         schema_merge, append_evolved, daily_partitions, rerun_replaces, pruned_read, loaded_metrics, column_cap, summary_of_batch,
-        metrics_by_period, unhealthy_periods, stalled_source, stream_equals_batch,
+        metrics_by_period, unhealthy_periods, stalled_source, stream_equals_batch, error_details, moments_cast, alerts_raised, relaxed_columns,
+        colliding_names, refreshed_registry, outputs_by_batch,
     )}
