@@ -222,7 +222,7 @@ def other_name(column: str, owner: str) -> str:
 
 
 class _Names:
-    """Column names by owner. A name once given stays; names may differ in spelling only in the schema, not in the column."""
+    """Column names by owner; a name once given stays."""
 
     def __init__(self, owners: Mapping[str, str]):
         self.taken = dict(owners)
