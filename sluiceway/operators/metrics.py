@@ -14,22 +14,27 @@ NEWEST_SOURCE = "newest_source_tstamp"
 UNHEALTHY_MILLIS = 5 * 60 * 1000
 
 
-def batch_summary(transformed: DataFrame, *by: str, extra: list[Column] | tuple[Column, ...] = ()) -> DataFrame:
-    """Counts, bytes and the earliest collector time of a batch, or of each group in ``by``.
-
-    ``transformed`` needs ``n_bytes``, ``failure`` and ``collector_tstamp``. Bytes include
-    unparseable lines. The earliest time covers every parsed event, also one that fails later.
-    """
+def summary_columns(extra: list[Column] | tuple[Column, ...] = ()) -> list[Column]:
+    """The measures of a batch, as aggregates for a grouping or for an observation of rows that are on their way elsewhere."""
     bad = F.col("failure").isNotNull()
     total = F.count("*")
-    return transformed.groupBy(*by).agg(
+    return [
         total.alias("n_events"),
         (total - F.count_if(bad)).alias("n_good"),
         F.count_if(bad).alias("n_bad"),
         F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("n_bytes"),
         F.min("collector_tstamp").alias("earliest_collector_tstamp"),
         *extra,
-    )
+    ]
+
+
+def batch_summary(transformed: DataFrame, *by: str, extra: list[Column] | tuple[Column, ...] = ()) -> DataFrame:
+    """Counts, bytes and the earliest collector time of a batch, or of each group in ``by``.
+
+    ``transformed`` needs ``n_bytes``, ``failure`` and ``collector_tstamp``. Bytes include
+    unparseable lines. The earliest time covers every parsed event, also one that fails later.
+    """
+    return transformed.groupBy(*by).agg(*summary_columns(extra))
 
 
 def latency_millis(now: Column, since: Column) -> Column:

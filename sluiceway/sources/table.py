@@ -16,7 +16,7 @@ import json
 import math
 import time
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from datetime import datetime, timedelta, timezone
 from types import MappingProxyType
 from typing import NamedTuple
@@ -236,10 +236,12 @@ def _settle(spark: SparkSession, root: str, attempt: str, kind: str, load_date:
 _FOLDERS = {log.ROWS: "events", log.FAILED: "failed", log.OVERSIZED: "failed_oversized"}
 
 
-def put_rows(rows: DataFrame, root: str, load_date: str, batch_id: str, attempt: str, cluster_by: str | None = "event_name",
+def put_rows(rows: DataFrame, root: str, load_date: str | Callable[[], str | None], batch_id: str, attempt: str, cluster_by: str | None = "event_name",
              spread: int | None = None) -> list[dict]:
     """Write the good rows of one batch for a commit.
 
+    A ``load_date`` that is only known from the rows themselves may be a function: it is called once they are written, and gives None if there were none.
+
     A batch has one load time, so no dynamic partitioning is needed. Rows are
     sorted inside each task, which gives files and row groups narrow ``event_name`` ranges without a shuffle.
     With ``spread`` the rows are range-partitioned first into that many files; a hash of the row as
@@ -251,8 +253,13 @@ def put_rows(rows: DataFrame, root: str, load_date: str, batch_id: str, attempt:
             rows = rows.repartitionByRange(spread, F.col(cluster_by), F.xxhash64(*scalars))
         rows = rows.sortWithinPartitions(cluster_by)
     rows = rows.withColumn("batch_id", F.lit(batch_id))
-    rows.write.mode("overwrite").parquet(f"{root}/_staging/{attempt}/{log.ROWS}")
-    return _settle(rows.sparkSession, root, attempt, log.ROWS, load_date, [batch_id], rows.schema)
+    staged = f"{root}/_staging/{attempt}/{log.ROWS}"
+    rows.write.mode("overwrite").parquet(staged)
+    day = load_date() if callable(load_date) else load_date
+    if day is None:
+        store.remove(rows.sparkSession, staged)
+        return []
+    return _settle(rows.sparkSession, root, attempt, log.ROWS, day, [batch_id], rows.schema)
 
 
 def put_failed(serialised: DataFrame, root: str, load_date: str, batch_id: str, attempt: str) -> list[dict]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -17,7 +17,7 @@ from sluiceway.functions.sql import one_of
 from sluiceway.operators.conform import conform
 from sluiceway.operators.entities import entity_versions, with_style
 from sluiceway.operators.failed import MAX_RECORD_BYTES, failed_events, processor, serialised
-from sluiceway.operators.metrics import batch_summary
+from sluiceway.operators.metrics import batch_summary, summary_columns
 from sluiceway.operators.parse import parse_lines
 from sluiceway.operators.registry import Resolved, match_registry, resolve_matched
 from sluiceway.operators.transform import good_rows, transform_events
@@ -34,10 +34,13 @@ def configure(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
 
 
-def _millis_since(moment: datetime | None) -> int | None:
+def _day(moment: datetime) -> str:
+    return moment.astimezone(timezone.utc).date().isoformat()
+
+
+def _millis_since(moment: datetime | None, now: datetime) -> int | None:
     if moment is None:
         return None
-    now = datetime.now(timezone.utc)
     return int((now - moment.astimezone(timezone.utc)) / timedelta(milliseconds=1))
 
 
@@ -141,25 +144,38 @@ def _stop_on_missing(spark: SparkSession, root: str, matched: DataFrame, invalid
 
 def _write_batch(conformed: DataFrame, batch_id: str, root: str, app: tuple[str, str], max_failed_bytes: int,
                  sourced: bool, spread: int | None, send_failed, fresh: bool) -> None:
-    spark, attempt, added = conformed.sparkSession, table.begin(), []
-    newest = F.max("source_tstamp") if sourced else F.lit(None).cast("timestamp")
-    loaded = F.min("load_tstamp").alias("load_tstamp")
-    found = batch_summary(conformed, extra=[newest.alias("newest"), loaded]).first()
-    if found["n_events"] == 0:
+    """Write and commit a batch. Its measures are observed while the good rows are written, so they cost no job of their own.
+
+    With ``spread`` they do: tasks before a shuffle may run again, and the bounds of its ranges are sampled in a job before, so what is observed there may count twice.
+    """
+    spark, attempt, began = conformed.sparkSession, table.begin(), datetime.now(timezone.utc)
+    moment = F.col("source_tstamp") if sourced else F.lit(None).cast("timestamp")
+    extra = [F.max(moment).alias("newest"), F.min("load_tstamp").alias("load_tstamp")]
+    if spread is None:
+        observation = Observation()
+        rows = conformed.observe(observation, *summary_columns(extra))
+        found = lambda: observation.get
+    else:
+        rows, summary = conformed, batch_summary(conformed, extra=extra).first().asDict()
+        found = lambda: summary
+
+    def day() -> str | None:
+        return _day(found()["load_tstamp"]) if found()["n_good"] > 0 else None
+
+    added = table.put_rows(good_rows(rows), root, day, batch_id, attempt, spread=spread)
+    measures = found()
+    if measures["n_events"] == 0:
         table.commit_batch(spark, root, batch_id, [], None, fresh)
         return
-    latency = _millis_since(found["newest"])
-    day = found["load_tstamp"].astimezone(timezone.utc).date().isoformat()
-    if found["n_good"] > 0:
-        added += table.put_rows(good_rows(conformed), root, day, batch_id, attempt, spread=spread)
-    e2e = _millis_since(found["earliest_collector_tstamp"])
-    if found["n_bad"] > 0:
+    if measures["n_bad"] > 0:
         failed = serialised(failed_events(conformed, processor(*app)), max_failed_bytes)
         if send_failed is None:
-            added += table.put_failed(failed, root, day, batch_id, attempt)
+            added += table.put_failed(failed, root, _day(measures["load_tstamp"]), batch_id, attempt)
         else:
             send_failed(failed, root, batch_id)
-    metrics = {k: v for k, v in found.asDict().items() if k != "newest"} | {"latency_millis": latency, "e2e_latency_millis": e2e}
+    now = datetime.now(timezone.utc)
+    latencies = {"latency_millis": _millis_since(measures["newest"], began), "e2e_latency_millis": _millis_since(measures["earliest_collector_tstamp"], now)}
+    metrics = {k: v for k, v in measures.items() if k != "newest"} | latencies
     table.commit_batch(spark, root, batch_id, added, metrics, fresh)
 
 

@@ -213,3 +213,28 @@ def test_put_once(spark, tmp_path):
     frame.write.text(str(tmp_path / "staged"))
     moved = store.move_into(spark, str(tmp_path / "staged"), str(tmp_path / "to"), "p")
     assert [spark.read.text(p).first()[0] for p, _ in moved.values()] == ["x"]
+
+
+@pytest.mark.parametrize("spread", [None, 2])
+def test_measures_of_a_batch_are_those_of_all_its_rows(spark, registry, tmp_path, spread):
+    """Observed while the good rows are written: unparseable lines count too, a batch of bad lines alone leaves no files of rows, an empty one nothing."""
+    load(spark, tmp_path, registry, "b-0", line("a"), line("b"), "bad", spread=spread)
+    load(spark, tmp_path, registry, "b-1", "worse", "worst", spread=spread)
+    load(spark, tmp_path, registry, "b-2", spread=spread)
+    found = {r["batch_id"]: r for r in table.read_metrics(spark, str(tmp_path)).collect()}
+    size = len(line("a").encode()) + len(line("b").encode())
+    assert {k: (r["n_events"], r["n_good"], r["n_bad"], r["n_bytes"]) for k, r in found.items()} == {"b-0": (3, 2, 1, size + 3), "b-1": (2, 0, 2, 10)}
+    assert all(r["load_tstamp"].astimezone(UTC) == NOW for r in found.values())
+    assert found["b-0"]["earliest_collector_tstamp"] is not None and found["b-1"]["earliest_collector_tstamp"] is None
+    assert ids(spark, tmp_path) == ["a", "b"] and failed(spark, tmp_path) == 3
+
+
+def test_a_batch_is_written_without_a_job_for_its_measures(spark, registry, tmp_path, monkeypatch):
+    from sluiceway.streaming import loader
+
+    def never(*args, **options):
+        raise AssertionError("a job of its own")
+
+    monkeypatch.setattr(loader, "batch_summary", never)
+    load(spark, tmp_path, registry, "b-0", line("a"), "bad")
+    assert ids(spark, tmp_path) == ["a"] and failed(spark, tmp_path) == 1
