@@ -8,17 +8,17 @@ chance of 0.41, and in fewer than `MATCHES` of them in about one of a million ca
 
 Each representative is posted under its (coordinate, value) pairs. Pairs that only one has go, and so does a representative
 with fewer than `MATCHES` left. In the order of rarity, two that agree in `MATCHES` pairs share one among the first
-s - MATCHES + 1 of their s pairs, so only these prefixes are joined: what many documents have by chance is skipped.
+s - MATCHES + 1 of their s pairs, so only these prefixes are joined: what many documents have by chance is skipped. Of each two that
+are joined the common coordinates are counted on their whole signatures, and only pairs with `MATCHES` or more come to their texts.
 
 A list of a pair may still be long, as all near copies of a text share it. So lists are not joined with themselves. First, in
 `ROUNDS` rounds, each representative is compared with `LEADS` others that lead its lists, and components of the links become labels. Then
-what has not the most frequent label of its list is compared with all of that label, in blocks of texts. Every pair that is
+what has not the most frequent label of its list is compared with all of that label, in blocks. Every pair above the threshold that is
 left out has a common label, and so a path of confirmed links. Links are counted on the full sets of both texts.
 
 `row_classes` tells rows apart by their place in a written copy of the table, so ids may be of any type, null or shared by several rows: each row has a class, named by its
 least id (null if none of its rows has one), and repeated rows are copies of each other. `classes` is the same for a table whose ids are whole numbers that no two rows share. A null or
-empty text, or one of blanks only, is linked with nothing. An empty table gives no rows. Texts of any length are compared whole. The threshold on matches acts through
-the prefixes; how many coordinates a pair has in common is not counted, as every pair is compared by its full sets anyway.
+empty text, or one of blanks only, is linked with nothing. An empty table gives no rows. Texts of any length are compared whole.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluiceway.llm.components import components
-from sluiceway.llm.stage import col, written
+from sluiceway.llm.stage import col, discard, written
 from sluiceway.llm.text import Words, bounded_batches, lower_ascii, mixed, sequence_hashes, slices, space_words
 
 SIMILARITY = 80
@@ -109,6 +109,14 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield batch.select(["a", "b"]).filter(pa.array(linked))
 
 
+def _matched(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
+    """Of pairs `a`, `b` those with `MATCHES` or more coordinates in common. Values of different coordinates never agree, so common values are counted."""
+    of_a = signatures.select(F.col("rep").alias("a"), F.col("signature").alias("signature_a"))
+    of_b = signatures.select(F.col("rep").alias("b"), F.col("signature").alias("signature_b"))
+    both = pairs.hint("merge").join(of_a, "a").hint("merge").join(of_b, "b")
+    return both.where(F.size(F.array_intersect("signature_a", "signature_b")) >= MATCHES).select("a", "b")
+
+
 def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Of pairs `a`, `b` those that are linked. Here as elsewhere the hint keeps one way of joining at every size."""
     texts_a = texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a"))
@@ -123,6 +131,7 @@ def classes(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> D
     signed = written(known.where("id IS NOT NULL").mapInArrow(_signed, "id long, n long, k1 long, k2 long, signature array<long>"))
     groups = written(signed.where("n > 0").groupBy("k1", "k2").agg(F.min("id").alias("rep")))
     members = written(signed.join(groups.hint("merge"), ["k1", "k2"]).select("id", "rep", F.when(F.col("id") == F.col("rep"), F.col("signature")).alias("signature")))
+    discard(groups)
     least = _linked(known, members)
     reached = members.select("id", "rep").join(least.select(F.col("node").alias("rep"), "least").hint("merge"), "rep", "left")
     reached = reached.groupBy("id").agg(F.min(F.coalesce("least", "rep")).alias("component"))
@@ -132,12 +141,16 @@ def classes(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> D
 
 def _linked(known: DataFrame, members: DataFrame) -> DataFrame:
     """Rows `node`, `least` for the representatives that are linked with another."""
-    posted = members.where("signature IS NOT NULL").dropDuplicates(["rep"]).select("rep", F.explode("signature").alias("pair"))
+    signatures = written(members.where("signature IS NOT NULL").dropDuplicates(["rep"]).select("rep", "signature"))
+    posted = signatures.select("rep", F.explode("signature").alias("pair"))
     often = written(posted.groupBy("pair").agg(F.count("*").alias("n")).where("n > 1"))
     held = posted.join(often.hint("merge"), "pair").groupBy("rep").agg(F.collect_list(F.struct("n", "pair")).alias("pairs")).where(F.size("pairs") >= MATCHES)
     prefix = F.slice(F.sort_array("pairs"), 1, F.size("pairs") - MATCHES + 1)
     lists = written(held.select("rep", F.explode(prefix).alias("p")).select("rep", F.col("p.pair").alias("pair")))
+    discard(often)
     wanted = written(lists.select("rep").distinct())
+    every, signatures = signatures, written(signatures.hint("merge").join(wanted, "rep", "left_semi"))
+    discard(every)
     # Texts of one id are as one: rows that share an id and differ would each be a class of their own.
     texts = written(known.join(wanted.hint("merge"), F.col("id") == F.col("rep"), "left_semi").select(F.col("id").alias("rep"), "text").dropDuplicates(["rep"]))
     links = None
@@ -145,11 +158,12 @@ def _linked(known: DataFrame, members: DataFrame) -> DataFrame:
         entries = lists if links is None else lists.join(labels.hint("merge"), "rep", "left")
         label = F.col("rep") if links is None else F.coalesce("least", "rep")
         entries = entries.withColumn("label", label).select("pair", "rep", "label")
-        found = written(_confirmed(_led(entries, turn), texts))
+        found = written(_confirmed(_matched(_led(entries, turn), signatures), texts))
         links = found if links is None else links.union(found)
         labels = components(links).withColumnRenamed("node", "rep")
     entries = written(lists.join(labels.hint("merge"), "rep", "left").select("pair", "rep", F.coalesce("least", "rep").alias("label")))
-    found = written(_left_over(entries, texts))
+    found = written(_left_over(entries, texts, signatures))
+    discard(texts, signatures, lists, wanted, entries)
     return written(components(links.union(found)))
 
 
@@ -164,7 +178,7 @@ def _led(entries: DataFrame, turn: int) -> DataFrame:
     return pairs.select(F.col("rep").alias("a"), F.explode(ordered).alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _left_over(entries: DataFrame, texts: DataFrame) -> DataFrame:
+def _left_over(entries: DataFrame, texts: DataFrame, signatures: DataFrame) -> DataFrame:
     """Links between different labels that share a list.
 
     The most frequent label of a list stands for it. All others of the list are asked: each is compared with every member of that label, and with all
@@ -184,7 +198,8 @@ def _left_over(entries: DataFrame, texts: DataFrame) -> DataFrame:
     every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     units = both.where("asks").select("main", F.col("r").cast("int").alias("r"), F.explode(every("columns")).alias("c"), "rep", "label", "asks").union(
         both.select("main", F.explode(every("rows")).alias("r"), F.col("c").cast("int").alias("c"), "rep", "label", F.lit(False)))
-    units = units.select(F.xxhash64("main", "r", "c").alias("unit"), "rep", "label", "asks").hint("merge").join(texts, "rep").select("unit", "asks", "rep", "label", "text")
+    units = units.select(F.xxhash64("main", "r", "c").alias("unit"), "rep", "label", "asks").hint("merge").join(signatures, "rep").hint("merge").join(texts, "rep")
+    units = units.select("unit", "asks", "rep", "label", "signature", "text")
     return units.repartition("unit").sortWithinPartitions("unit").mapInArrow(_unit_links, "a long, b long")
 
 
@@ -209,18 +224,32 @@ def _unit_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield from _linked_blocks(table.slice(a, b - a))
 
 
+def _enough_matches(signatures_a: np.ndarray, signatures_b: np.ndarray) -> np.ndarray:
+    """For each of `b` and each of `a` whether `MATCHES` or more coordinates agree."""
+    count = np.zeros((len(signatures_b), len(signatures_a)), np.uint8)
+    for c in range(COORDINATES):
+        count += signatures_b[:, c, None] == signatures_a[None, :, c]
+    return count >= MATCHES
+
+
 def _linked_blocks(unit: pa.Table) -> Iterator[pa.RecordBatch]:
-    """Links between the texts that ask and those that are asked, with different labels."""
+    """Links between the texts that ask and those that are asked, with different labels. Only texts that a pair above the threshold names are read."""
     asks = unit.column("asks").to_numpy()
+    if asks.all() or not asks.any():
+        return
+    label = unit.column("label").to_numpy()
+    signatures = unit.column("signature").combine_chunks().flatten().to_numpy().reshape(-1, COORDINATES)
+    enough = _enough_matches(signatures[asks], signatures[~asks]) & (label[~asks, None] != label[None, asks])
     chars, fold = space_words(), lower_ascii()
     sides = []
-    for mask in (asks, ~asks):
-        part = unit.filter(pa.array(mask))
-        if not part.num_rows:
+    for mask, named in ((asks, enough.any(0)), (~asks, enough.any(1))):
+        if not named.any():
             return
+        part = unit.select(["rep", "label", "text"]).take(pa.array(np.flatnonzero(mask)[named]))
         owner, hashes = shingles(Words(part.column("text").combine_chunks(), chars, fold))
-        sides.append((part.column("rep").to_numpy(), part.column("label").to_numpy(), np.bincount(owner, minlength=part.num_rows), owner, hashes))
-    (rep_a, label_a, size_a, owner_a, hash_a), (rep_b, label_b, size_b, owner_b, hash_b) = sides
+        sides.append((part.column("rep").to_numpy(), np.bincount(owner, minlength=part.num_rows), owner, hashes))
+    enough = enough[enough.any(1)][:, enough.any(0)]
+    (rep_a, size_a, owner_a, hash_a), (rep_b, size_b, owner_b, hash_b) = sides
     order = np.argsort(hash_a, kind="stable")
     owner_a, hash_a = owner_a[order], hash_a[order]
     first = np.searchsorted(hash_a, hash_b)
@@ -238,7 +267,7 @@ def _linked_blocks(unit: pa.Table) -> Iterator[pa.RecordBatch]:
         index = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first[begin:end], count)
         common = np.bincount((np.repeat(owner_b[begin:end], count) - at) * n + owner_a[index], minlength=(to - at) * n).reshape(to - at, n)
         linked = 100 * common >= SIMILARITY * (size_b[at:to, None] + size_a[None, :] - common)
-        linked &= (common > 0) & (label_b[at:to, None] != label_a[None, :])
+        linked &= (common > 0) & enough[at:to]
         b, a = np.nonzero(linked)
         if len(a):
             yield pa.RecordBatch.from_arrays([pa.array(rep_a[a]), pa.array(rep_b[at + b])], names=["a", "b"])

@@ -8,11 +8,13 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Iterable
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluiceway.functions.errors import settled
+from sluiceway.sources.store import remove
 
 
 def col(name: str) -> Column:
@@ -60,7 +62,21 @@ def written(frame: DataFrame) -> DataFrame:
     spark = frame.sparkSession
     path = f"{shared_folder(spark)}/{uuid.uuid4().hex}.parquet"
     frame.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    table = spark.read.schema(frame.schema).parquet(path)
+    _paths[table] = path
+    return table
+
+
+#: Where the tables of this process that are still held lie.
+_paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that `written` gave, once all that is made from them is written itself."""
+    for table in tables:
+        path = _paths.pop(table, None)
+        if path is not None:
+            remove(table.sparkSession, path)
 
 
 def release(spark: SparkSession) -> None:
