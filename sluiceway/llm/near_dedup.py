@@ -281,7 +281,8 @@ def row_classes(docs: DataFrame, carry: Column, id_column: str = "doc_id", text:
     found = written(classes(rows.select("place", "text"), "place").select(F.col("id").alias("place"), "n_shingles", "component"))
     slim = rows.select("place", "row", "id").join(found.hint("shuffle_hash"), "place")
     order = F.struct(F.col("id").isNull().alias("none"), "id", "place")
-    least = slim.groupBy("component").agg(F.min(order).alias("least"))
+    # Written, so that both sides of the join come straight from a shuffle: only then does Spark split the partition of a class with very many rows.
+    least = written(slim.groupBy("component").agg(F.min(order).alias("least")))
     return slim.join(least.hint("shuffle_hash"), "component").select(
         "row", "id", "n_shingles", F.col("least.id").alias("component"), (F.col("least.place") == F.col("place")).alias("first"))
 
