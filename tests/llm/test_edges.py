@@ -156,6 +156,18 @@ def test_mix_keeps_its_targets(spark):
     assert order == sorted(order)
 
 
+def test_mixing_query_takes_what_the_curriculum_places(spark, tmp_path, monkeypatch):
+    """A document that the schedule puts after the end of training is not taken by the registered query."""
+    rows = [(i, "w " * 9, "a" if i % 2 else "b") for i in range(40)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    mixing_query = QUERIES["op5_mixing"]
+    plain = mixing_query(spark, str(tmp_path)).where("taken > 0").count()
+    monkeypatch.setattr(mixing, "position", lambda demand, slope: demand + 0.5)
+    late = mixing_query(spark, str(tmp_path)).select(F.sum("taken")).first()[0]
+    monkeypatch.setattr(mixing, "position", lambda demand, slope: demand + 1.0)
+    assert plain > 0 and late > 0 and mixing_query(spark, str(tmp_path)).where("taken > 0").isEmpty()
+
+
 def test_near_copies_in_blocks(spark, monkeypatch):
     """Long lists in many blocks, with few rounds before, lose no link."""
     monkeypatch.setattr(near_dedup, "ROUNDS", 1)
