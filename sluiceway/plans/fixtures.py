@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from sluiceway.functions.keys import URI_SCHEME
 from sluiceway.operators.registry import compile_registry, registry_from_rows
 from sluiceway.sources import store
+from sluiceway.sources.lines import dealt
 
 ATOMIC = T.StructType([
     T.StructField("event_id", T.LongType(), False),
@@ -31,9 +32,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _shared_out(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """The columns of a table whose rows become lines or JSON, in equal shares for all cores."""
+    rows = table(spark, sf_dir, name)
+    return dealt(rows.select(*columns) if columns else rows)
+
+
 def enriched_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One tab-separated line per event; some are malformed, mistyped or of an unknown schema."""
-    return table(spark, sf_dir, "events").select(_line(F.col("ts")).alias("value"))
+    return _shared_out(spark, sf_dir, "events").select(_line(F.col("ts")).alias("value"))
 
 
 def _line(moment: Column) -> Column:
@@ -56,7 +63,7 @@ def _line(moment: Column) -> Column:
 
 def sourced_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same lines with the moment at which the source got each, malformed ones too."""
-    moments = table(spark, sf_dir, "events").withColumn("source_tstamp", F.col("ts").cast("timestamp"))
+    moments = _shared_out(spark, sf_dir, "events").withColumn("source_tstamp", F.col("ts").cast("timestamp"))
     return moments.select(_line(F.col("source_tstamp")).alias("value"), "source_tstamp")
 
 
@@ -83,9 +90,9 @@ def acme_registry(spark: SparkSession) -> DataFrame:
 
 def typed_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per line item a shipping record: nested numbers, rates, dates, free JSON and a remark that is null."""
-    ship = F.date_format("l_shipdate", "yyyy-MM-dd")
+    ship = F.col("l_shipdate").cast("date").cast("string")
     columns = ["l_orderkey", "l_linenumber", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
-    return table(spark, sf_dir, "lineitem").select(*columns).select(
+    return _shared_out(spark, sf_dir, "lineitem", *columns).select(
         "l_orderkey", "l_linenumber",
         F.to_json(F.struct(
             F.struct(F.col("l_orderkey").alias("number"), F.col("l_linenumber").alias("line")).alias("order"),
@@ -96,11 +103,8 @@ def typed_json(spark: SparkSession, sf_dir: str) -> DataFrame:
             ship.alias("shipped_on"),
             F.concat(ship, F.lit("T07:45:10Z")).alias("packed_at"),
             F.from_json(F.lit("{}"), "map<string,string>").alias("extras"),
-        )).alias("j0"),
-    ).select(
-        "l_orderkey", "l_linenumber",
-        # to_json leaves nulls out, so the explicit null member is added to the text.
-        F.concat(F.expr("substring(j0, 1, length(j0) - 1)"), F.lit(',"remark":null}')).alias("j"),
+            F.lit(None).cast("string").alias("remark"),
+        ), {"ignoreNullFields": "false"}).alias("j"),
     )
 
 
@@ -126,7 +130,7 @@ def array_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = F.col("event_id").cast("string")
     following = (F.col("event_id") + 1).cast("string")
     full = F.concat(F.lit('{"a":['), i, F.lit(",null,"), following, F.lit("]}"))
-    return table(spark, sf_dir, "events").select(
+    return _shared_out(spark, sf_dir, "events").select(
         "event_id",
         F.when(F.col("event_id") % 7 == 0, '{"a":[null]}')
         .when(F.col("event_id") % 5 == 0, '{"a":[]}').otherwise(full).alias("j"),
@@ -143,7 +147,7 @@ def record_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("event_id") % 11 == 0, F.concat(F.lit("["), i, F.lit("]")))
         .otherwise(F.concat(F.lit('{"n":'), user, F.lit("}")))
     )
-    return table(spark, sf_dir, "events").select("event_id", F.concat(F.lit('{"rows":['), first, F.lit(",null,"), second, F.lit("]}")).alias("j"))
+    return _shared_out(spark, sf_dir, "events").select("event_id", F.concat(F.lit('{"rows":['), first, F.lit(",null,"), second, F.lit("]}")).alias("j"))
 
 
 RECORDS = T.StructType([T.StructField("rows", T.ArrayType(T.StructType([
@@ -187,7 +191,7 @@ def enveloped_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         envelope("contexts", F.concat(F.lit("["), user, F.lit(","), place, F.lit("]"))))
     derived = F.when(F.col("event_type") == "error", "").otherwise(
         envelope("contexts", F.concat(F.lit("["), user, F.lit("]"))))
-    return table(spark, sf_dir, "events").select(F.concat_ws(
+    return _shared_out(spark, sf_dir, "events").select(F.concat_ws(
         "\t", F.col("event_id").cast("string"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS"),
         F.col("event_type"), number, F.when(F.col("event_type") == "purchase", "1").otherwise("0"),
         unstruct, contexts, derived,
@@ -251,7 +255,7 @@ def twin_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("event_type") == "signup", _entity("item_1_0", text("s")))
         .otherwise("")
     )
-    return table(spark, sf_dir, "events").select("event_type", _event_line(unstruct, F.lit("")))
+    return _shared_out(spark, sf_dir, "events").select("event_type", _event_line(unstruct, F.lit("")))
 
 
 def twin_registry(spark: SparkSession) -> DataFrame:
@@ -290,7 +294,7 @@ def faulty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(case == 8, F.concat(_entity("broken", F.lit("{}")), F.lit(","), unknown))
         .otherwise(fine)
     )
-    return table(spark, sf_dir, "events").select(_event_line(_entity("order", data), F.concat(F.lit("["), contexts, F.lit("]"))))
+    return _shared_out(spark, sf_dir, "events").select(_event_line(_entity("order", data), F.concat(F.lit("["), contexts, F.lit("]"))))
 
 
 def faulty_registry(spark: SparkSession) -> DataFrame:
@@ -309,7 +313,7 @@ def relaxing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = F.when(later & (F.col("event_id") % 5 == 0), "{}").otherwise(F.col("props"))
     version = F.when(later, "1").otherwise("0")
     unstruct = F.concat(F.lit('{"schema":"iglu:com.acme/'), F.col("event_type"), F.lit("/jsonschema/1-0-"), version, F.lit('","data":'), data, F.lit("}"))
-    return table(spark, sf_dir, "events").select(later.alias("later"), _event_line(unstruct, F.lit("")))
+    return _shared_out(spark, sf_dir, "events").select(later.alias("later"), _event_line(unstruct, F.lit("")))
 
 
 def relaxing_registry(spark: SparkSession) -> DataFrame:

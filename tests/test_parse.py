@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from sluiceway.operators.entities import entity_occurrences
 from sluiceway.operators.parse import bad_lines, good_events, parse_lines
+from sluiceway.sources.lines import parquet_lines
 from tests.conftest import ATOMIC, entity, line, lines_of, uri
 
 
@@ -107,3 +108,10 @@ def test_good_and_bad_split(spark):
 def test_filters_do_not_repeat_the_parse(spark):
     plan = good_events(parse(spark, line()), "event_id", "unstruct_entity")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") <= 4
+
+
+def test_compact_lines_are_dealt_to_all_cores(spark, tmp_path):
+    """One small file, which is one split, is parsed in several tasks of equal shares, and no line is lost."""
+    spark.range(8000).selectExpr("concat('line', id) AS value").coalesce(1).write.parquet(f"{tmp_path}/lines")
+    shares = [len(part) for part in parquet_lines(spark, f"{tmp_path}/lines").rdd.glom().collect()]
+    assert sum(shares) == 8000 and len(shares) >= spark.sparkContext.defaultParallelism and max(shares) <= 2 * min(shares)
