@@ -69,6 +69,23 @@ def json_text_type(dtype: T.DataType) -> T.DataType | None:
     return T.StringType() if isinstance(dtype, T.VariantType) else None
 
 
+def narrowed(dtype: T.StructType, *paths: str) -> T.StructType:
+    """The part of a record that holds the fields with these dotted names; all of it if there are none.
+
+    Spark's column pruning does not see through the conditions around a record, so a reader of few fields asks for them before the cast.
+    """
+    if not paths:
+        return dtype
+    kept = []
+    for f in dtype.fields:
+        below = [p.split(".", 1)[1] for p in paths if p.startswith(f"{f.name}.")]
+        if f.name in paths:
+            kept.append(f)
+        elif below:
+            kept.append(T.StructField(f.name, narrowed(f.dataType, *below), f.nullable, f.metadata))
+    return T.StructType(kept)
+
+
 def _ambiguous(dtype: T.StructType) -> bool:
     """Whether two property names differ by case only, so that Spark cannot tell them apart."""
     names = [a.lower() for f in dtype.fields for a in accessors(f)]

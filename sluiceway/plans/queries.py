@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from sluiceway.functions import errors as E
 from sluiceway.functions.casting import LEGACY as LEGACY_STYLE
-from sluiceway.functions.casting import V2, cast_errors, cast_ok, cast_value, compacted, json_text_type, members_of
+from sluiceway.functions.casting import V2, cast_errors, cast_ok, cast_value, compacted, json_text_type, members_of, narrowed
 from sluiceway.functions.keys import column_name, key_columns, legacy_column_name
 from sluiceway.operators.conform import conform
 from sluiceway.operators.entities import entity_occurrences, entity_versions, with_style
@@ -207,18 +207,22 @@ def strict_cast_int(spark, sf_dir):
                        wrong["value"].alias("wrong_value"), wrong["expected"].alias("expected"))
 
 
-def _typed(spark, sf_dir, dtype, mode):
+def _typed(spark, sf_dir, dtype, mode, *fields):
+    """The shipping records cast to the fields that the query shows."""
     configure(spark)
+    dtype = narrowed(dtype, *fields)
+    texts = json_text_type(dtype)
     rows = X.typed_json(spark, sf_dir).select("l_orderkey", "l_linenumber", "j", F.parse_json("j").alias("v"))
-    prepared = rows.select("l_orderkey", "l_linenumber", "v", F.from_json("j", json_text_type(dtype)).alias("text"),
-                           F.expr(members_of("v", dtype)).alias("m"))
-    cast = prepared.select("l_orderkey", "l_linenumber", F.expr(cast_value("v", dtype, mode, "text", members="m")).alias("r"))
+    text = [] if texts is None else [F.from_json("j", texts).alias("text")]
+    prepared = rows.select("l_orderkey", "l_linenumber", "v", *text, F.expr(members_of("v", dtype)).alias("m"))
+    cast = prepared.select("l_orderkey", "l_linenumber", F.expr(cast_value("v", dtype, mode, "text" if text else None, members="m")).alias("r"))
     return cast.select("l_orderkey", "l_linenumber", F.expr(compacted("r", dtype)).alias("r"))
 
 
 def cast_all_types(spark, sf_dir):
     r = F.col("r")
-    return _typed(spark, sf_dir, X.TYPED, V2).select(
+    shown = ("order", "price", "rates", "label.flag", "returned", "shipped_on", "packed_at", "remark")
+    return _typed(spark, sf_dir, X.TYPED, V2, *shown).select(
         "l_orderkey", "l_linenumber", r["order"]["number"].alias("order_number"), r["order"]["line"].alias("order_line"),
         r["price"].alias("price"), F.get(r["rates"], F.lit(0)).alias("first_rate"), F.get(r["rates"], F.lit(1)).alias("second_rate"),
         F.size(r["rates"]).alias("n_rates"), r["label"]["flag"].alias("flag"), r["returned"].alias("returned"),
@@ -228,7 +232,7 @@ def cast_all_types(spark, sf_dir):
 
 def json_text_v2(spark, sf_dir):
     r = F.col("r")
-    return _typed(spark, sf_dir, X.TYPED, V2).select(
+    return _typed(spark, sf_dir, X.TYPED, V2, "label.stage", "extras").select(
         "l_orderkey", "l_linenumber", r["label"]["stage"].alias("stage_json"), r["extras"].alias("extras_json"),
     )
 
@@ -238,7 +242,7 @@ def json_text_legacy(spark, sf_dir):
     dtype = legacy_type(T.StructType([
         f if f.name != "label" else T.StructField("label", T.VariantType(), False) for f in X.TYPED.fields
     ]))
-    return _typed(spark, sf_dir, dtype, LEGACY_STYLE).select(
+    return _typed(spark, sf_dir, dtype, LEGACY_STYLE, "shipped_on", "label", "extras", "price").select(
         "l_orderkey", "l_linenumber", r["shipped_on"].cast("string").alias("shipped_on"), r["label"].alias("label_json"),
         r["extras"].alias("extras_json"), r["price"].cast("decimal(12,2)").alias("price"),
     )

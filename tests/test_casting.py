@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluiceway.functions.casting import LEGACY, V2, cast_errors, cast_ok, cast_value, compacted, json_text_type, members_of
+from sluiceway.functions.casting import LEGACY, V2, cast_errors, cast_ok, cast_value, compacted, json_text_type, members_of, narrowed
 
 INT, LONG, DOUBLE, BOOL, TEXT = T.IntegerType(), T.LongType(), T.DoubleType(), T.BooleanType(), T.StringType()
 JSON, DATE, TSTAMP = T.VariantType(), T.DateType(), T.TimestampType()
@@ -202,3 +202,21 @@ def test_arrays_in_arrays_and_records_in_arrays(spark):
         '{"anA":[[{"k":1,"j":{"z":1,"a":2}}],null,[]]}', '{"anA":[[{"k":1}],[{"k":"x"},3]]}', '{"anA":[[{"k":1},null]]}'], dtype)
     assert [[r.asDict() for r in x] for x in value["a"]] == [[{"k": 1, "j": '{"z":1,"a":2}'}], []] and errors == []
     assert wrong == [("WrongType", '"x"', "Integer"), ("WrongType", "3", "Struct")] and inside == [("WrongType", "null", "Struct")]
+
+
+def test_narrowed_keeps_the_named_fields():
+    inner = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.VariantType())])
+    tree = T.StructType([T.StructField("x", inner, False), T.StructField("y", T.StringType()), T.StructField("z", inner)])
+    assert narrowed(tree) == tree and narrowed(tree, "y", "x").fieldNames() == ["x", "y"]
+    part = narrowed(tree, "x.b")
+    assert part == T.StructType([T.StructField("x", T.StructType([inner["b"]]), False)])
+
+
+@pytest.mark.parametrize("name, unused", [
+    ("json_text_v2", "regexp_extract"), ("json_text_legacy", "date_trunc"), ("cast_all_types", "from_json(StructField(label")])
+def test_queries_cast_the_fields_they_show(spark, name, unused):
+    """The JSON text queries cast no dates, moments and decimals that they do not show, and a query without JSON texts parses none."""
+    from sluiceway.plans import queries
+
+    plan = getattr(queries, name)(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "variant" in plan and unused not in plan
